@@ -27,16 +27,33 @@ def _qname(q: float) -> str:
     return "q" + (f"{q:.6f}".rstrip("0").rstrip(".").replace("0.", "", 1) if q < 1 else "100")
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tuple = (),
+def distinct_counts(df: DataFrame, value: str, by: list[str] | tuple = ()) -> DataFrame:
+    """``(by..., __x, __c)``: each distinct non-null value with its row count.
+
+    Map-side combined, then written once to the shared checkpoint folder: every later
+    step of a quantile / box computation reads this (usually much smaller) table
+    instead of re-scanning the source.
+    """
+    x = F.col(value).cast("double")
+    base = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan(F.col("__x")))
+    return base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")).checkpoint(eager=True)
+
+
+def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: list[str] | tuple = (),
                     names: list[str] | None = None, buckets: int = 64,
-                    sketch_accuracy: int = 10000) -> DataFrame:
-    """One row per group: ``by...``, ``n`` (non-null count) and one column per prob."""
+                    sketch_accuracy: int = 10000, counts: DataFrame | None = None) -> DataFrame:
+    """One row per group: ``by...``, ``n`` (non-null count) and one column per prob.
+
+    Pass ``counts`` (from ``distinct_counts``) to share one scan between several
+    summaries of the same column.
+    """
     by = list(by)
     names = names or [_qname(q) for q in probs]
-    x = F.col(value).cast("double")
-    base = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
-    counts = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
+    if counts is None:
+        counts = distinct_counts(df, value, by)
+    base = counts
 
+    # Buckets balance DISTINCT values (the rows a window partition holds below).
     fracs = [i / buckets for i in range(1, buckets)]
     sketch = F.percentile_approx("__x", fracs, sketch_accuracy)
     if by:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions.joins import lookup_join
 from pricelens.functions.kernels import kernel_partial_sums
-from pricelens.functions.quantiles import exact_quantiles, approx_quantiles
+from pricelens.functions.quantiles import approx_quantiles, distinct_counts, exact_quantiles
 from pricelens.operators.profile import melt_numeric
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
@@ -25,43 +25,52 @@ def _finite(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
     return df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
 
 
-def numpy_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin index exactly as numpy's equal-width histogram (last bin closed).
+def with_numpy_bin(df: DataFrame, x: str, lo: float, hi: float, bins: int, out: str = "bin") -> DataFrame:
+    """Add the bin index numpy's equal-width histogram gives (last bin closed).
 
     First guess ``floor((x - lo) / (hi - lo) * bins)``, then the same one-step
-    corrections numpy applies against the ``linspace`` edges ``lo + i * step``.
+    corrections numpy applies against the ``linspace`` edges ``i * step + lo``. Each
+    step is its own projection so the expression never repeats itself.
     """
-    step = (hi - lo) / F.lit(float(bins))
+    step = (hi - lo) / float(bins)
 
     def edge(i: Column) -> Column:
-        return F.when(i == bins, hi).otherwise(i.cast("double") * step + lo)
+        return F.when(i == bins, F.lit(hi)).otherwise(i.cast("double") * F.lit(step) + F.lit(lo))
 
-    b0 = F.floor((x - lo) / (hi - lo) * F.lit(float(bins)))
-    b0 = F.when(b0 == bins, F.lit(bins - 1)).otherwise(b0)
-    b1 = F.when(x < edge(b0), b0 - 1).otherwise(b0)
-    return F.when((x >= edge(b1 + 1)) & (b1 != bins - 1), b1 + 1).otherwise(b1)
+    xc = F.col(x)
+    b = F.floor((xc - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins)))
+    df = df.withColumn("__b0", F.when(b == bins, F.lit(bins - 1)).otherwise(b))
+    b0 = F.col("__b0")
+    df = df.withColumn("__b1", F.when(xc < edge(b0), b0 - 1).otherwise(b0))
+    b1 = F.col("__b1")
+    df = df.withColumn(out, F.when((xc >= edge(b1 + 1)) & (b1 != bins - 1), b1 + 1).otherwise(b1))
+    return df.drop("__b0", "__b1")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram over [min, max]: ``(bin, bin_lo, bin_hi, count)``, empty bins kept.
 
-    min/max is a one-row scalar subquery; a constant column widens to [v-0.5, v+0.5].
+    min/max come back to the driver as two numbers; a constant column widens to
+    [v-0.5, v+0.5] like numpy. The count table has at most ``bins`` rows, which is the
+    proven bound that lets it be broadcast onto the bin frame.
     """
     data = _finite(df, value)
-    rng = data.agg(F.min("__x").alias("lo"), F.max("__x").alias("hi")).select(F.struct(
-        F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"),
-        F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"))).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
-    counts = (data.select(numpy_bin(F.col("__x"), lo, hi, bins).alias("bin"))
-                  .groupBy("bin").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
+    lo, hi = data.agg(F.min("__x"), F.max("__x")).first()
     spark = df.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "bin bigint, bin_lo double, bin_hi double, count bigint")
+    if hi <= lo:
+        lo, hi = lo - 0.5, hi + 0.5
+    counts = (with_numpy_bin(data, "__x", lo, hi, bins).groupBy("bin")
+              .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
     frame = spark.range(bins).select(F.col("id").alias("bin"))
-    step = (hi - lo) / F.lit(float(bins))
-    out = frame.join(counts, "bin", "left")  # both sides have at most `bins` rows
+    step = (hi - lo) / float(bins)
+    out = frame.join(F.broadcast(counts), "bin", "left")
     return out.select(
         F.col("bin").cast("bigint").alias("bin"),
-        (F.col("bin").cast("double") * step + lo).alias("bin_lo"),
-        F.when(F.col("bin") == bins - 1, hi).otherwise((F.col("bin") + 1).cast("double") * step + lo).alias("bin_hi"),
+        (F.col("bin").cast("double") * F.lit(step) + F.lit(lo)).alias("bin_lo"),
+        F.when(F.col("bin") == bins - 1, F.lit(hi))
+         .otherwise((F.col("bin") + 1).cast("double") * F.lit(step) + F.lit(lo)).alias("bin_hi"),
         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
 
 
@@ -118,20 +127,28 @@ def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: in
 
 def box_stats(df: DataFrame, columns: list[str], whis: float = 1.5, approx: bool = False) -> DataFrame:
     """Box-plot statistics per variable: quartiles, IQR, whiskers at the last datum
-    inside ``whis * IQR``, and the number of outliers beyond the whiskers."""
-    long = melt_numeric(df, columns).where(F.col("value").isNotNull())
-    q = (approx_quantiles if approx else exact_quantiles)(
-        long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q1", "median", "q3"])
+    inside ``whis * IQR``, and the number of outliers beyond the whiskers.
+
+    Quartiles and whiskers are both computed from the distinct-value counts, so the
+    source is scanned once.
+    """
+    long = melt_numeric(df, columns)
+    counts = distinct_counts(long, "value", ["variable"])
+    if approx:
+        q = approx_quantiles(long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q1", "median", "q3"])
+    else:
+        q = exact_quantiles(None, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q1", "median", "q3"],
+                            counts=counts)
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_lim", F.col("q1") - F.lit(whis) * F.col("iqr"))
           .withColumn("hi_lim", F.col("q3") + F.lit(whis) * F.col("iqr")))
     q = q.checkpoint(eager=True)
-    tagged = lookup_join(long, q.select("variable", "lo_lim", "hi_lim"), ["variable"], "left",
+    tagged = lookup_join(counts, q.select("variable", "lo_lim", "hi_lim"), ["variable"], "left",
                          materialize=False)
-    v, lo, hi = F.col("value"), F.col("lo_lim"), F.col("hi_lim")
+    v, lo, hi = F.col("__x"), F.col("lo_lim"), F.col("hi_lim")
     whisk = tagged.groupBy("variable").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"), F.max(F.when(v <= hi, v)).alias("whisker_hi"),
-        F.sum(F.when((v < lo) | (v > hi), 1).otherwise(0)).cast("bigint").alias("n_outliers"))
+        F.sum(F.when((v < lo) | (v > hi), F.col("__c")).otherwise(0)).cast("bigint").alias("n_outliers"))
     out = lookup_join(q, whisk, ["variable"], "left")
     return out.select("variable", "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers")
 
@@ -236,14 +253,13 @@ def bins2d(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """Counts on a ``bins x bins`` grid over the data range (non-empty cells only)."""
     data = df.select(F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")) \
              .where(F.col("__x").isNotNull() & F.col("__y").isNotNull())
-    r = data.agg(F.struct(F.min("__x").alias("x0"), F.max("__x").alias("x1"),
-                          F.min("__y").alias("y0"), F.max("__y").alias("y1"))).scalar()
+    x0, x1, y0, y1 = data.agg(F.min("__x"), F.max("__x"), F.min("__y"), F.max("__y")).first()
 
     def b(c, lo, hi):
-        width = hi - lo
-        return F.when(width > 0, F.least(F.floor((F.col(c) - lo) / width * F.lit(float(bins))),
-                                         F.lit(bins - 1))).otherwise(F.lit(0)).cast("bigint")
+        if lo is None or not hi > lo:
+            return F.lit(0).cast("bigint")
+        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))),
+                       F.lit(bins - 1)).cast("bigint")
 
-    return (data.select(b("__x", r.getField("x0"), r.getField("x1")).alias("x_bin"),
-                        b("__y", r.getField("y0"), r.getField("y1")).alias("y_bin"))
+    return (data.select(b("__x", x0, x1).alias("x_bin"), b("__y", y0, y1).alias("y_bin"))
                 .groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).cast("bigint").alias("count")))

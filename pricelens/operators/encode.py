@@ -181,10 +181,14 @@ def ordinal_indexer(cols: list[str], order: str = "frequency", suffix: str = "_i
 
 
 def one_hot_stages(cols: list[str], order: str = "frequency") -> list:
-    """Index then one-hot with every slot kept plus one slot for unknown/null."""
+    """Index then one-hot with every slot kept plus ONE slot for unknown/null.
+
+    The indexer already maps unknown/null to code ``numLabels`` (``keep``), so the
+    encoder must not add a second unknown slot: width = labels + 1.
+    """
     idx = ordinal_indexer(cols, order, suffix="_ohidx")
     enc = OneHotEncoder(inputCols=[c + "_ohidx" for c in cols], outputCols=[c + "_vec" for c in cols],
-                        dropLast=False, handleInvalid="keep")
+                        dropLast=False, handleInvalid="error")
     return [idx, enc]
 
 

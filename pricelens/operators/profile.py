@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.joins import bounded_count, lookup_join
-from pricelens.functions.quantiles import approx_quantiles, exact_quantiles
+from pricelens.functions.quantiles import approx_quantiles, distinct_counts, exact_quantiles
 from pricelens.functions.ranking import sorted_rank
 
 # Value-count tables above this many categories are ranked by a distributed sort
@@ -88,8 +88,11 @@ def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False,
         F.count("value").cast("bigint").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    quant = (approx_quantiles if approx else exact_quantiles)(
-        long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q25", "q50", "q75"])
+    if approx:
+        quant = approx_quantiles(long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q25", "q50", "q75"])
+    else:
+        quant = exact_quantiles(None, "value", [0.25, 0.5, 0.75], by=["variable"],
+                                names=["q25", "q50", "q75"], counts=distinct_counts(long, "value", ["variable"]))
     out = lookup_join(moments, quant.drop("n"), ["variable"], "left")
     cols = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     r = (lambda c: F.round(F.col(c), digits)) if digits is not None else F.col

@@ -78,7 +78,7 @@ def unique_values(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Distinct ``(column, value)`` pairs, null kept as a value; distributed, uncapped."""
     columns = columns or df.columns
     long = _as_text(df, columns).unpivot([], columns, "column", "value")
-    return long.groupBy("column", "value").agg()
+    return long.distinct()
 
 
 def unique_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -88,7 +88,7 @@ def unique_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def unique_counts_approx(df: DataFrame, columns: list[str] | None = None,
-                         rsd: float = 0.01) -> DataFrame:
+                         rsd: float = 0.05) -> DataFrame:
     """HyperLogLog++ estimate per column (bounded memory) plus one for null if present."""
     columns = columns or df.columns
     exprs = []
