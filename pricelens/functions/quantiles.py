@@ -20,7 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.functions.joins import lookup_join
+from pricelens.functions.joins import bounded_count, lookup_join
+
+# Up to this many distinct (group, value) pairs, Spark's exact ``percentile`` with a
+# frequency column runs directly on the distinct-count table: its per-group buffer is
+# then provably at most this many entries.
+NATIVE_PERCENTILE_LIMIT = 2_000_000
 
 
 def _qname(q: float) -> str:
@@ -36,7 +41,8 @@ def distinct_counts(df: DataFrame, value: str, by: list[str] | tuple = ()) -> Da
     """
     x = F.col(value).cast("double")
     base = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan(F.col("__x")))
-    return base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")).checkpoint(eager=True)
+    from pricelens.session import materialize
+    return materialize(base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")), "distinct-counts")
 
 
 def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: list[str] | tuple = (),
@@ -51,6 +57,11 @@ def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: li
     names = names or [_qname(q) for q in probs]
     if counts is None:
         counts = distinct_counts(df, value, by)
+    if bounded_count(counts, NATIVE_PERCENTILE_LIMIT) is not None:
+        g = counts.groupBy(*by) if by else counts.groupBy()
+        out = g.agg(F.sum("__c").cast("bigint").alias("n"),
+                    F.percentile("__x", [float(q) for q in probs], F.col("__c")).alias("__q"))
+        return out.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
     base = counts
 
     # Buckets balance DISTINCT values (the rows a window partition holds below).

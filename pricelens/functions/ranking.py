@@ -20,15 +20,16 @@ def sorted_rank(df: DataFrame, order: list[Column], by: list[str] | tuple = (),
     """Add ``name`` = 1-based position of each row in ``order`` within its ``by`` group.
 
     ``order`` must be a total order (break ties with a unique column) for the result to
-    be deterministic. The sorted table is checkpointed to the shared folder so both
-    passes over it see the same partitioning.
+    be deterministic. The numbered table is written to the shared folder so both
+    passes over it see the same numbers.
     """
     by = list(by)
     s = df.orderBy(*[F.col(b).asc_nulls_first() for b in by], *order)
     s = (s.withColumn("__pid", F.spark_partition_id())
           .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(
               F.spark_partition_id().cast("bigint"), 33)))
-    s = s.checkpoint(eager=True)
+    from pricelens.session import materialize
+    s = materialize(s, "sorted-rank")  # positions are stored, so file order no longer matters
     per_part = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__pc"))
     offsets = per_part.withColumn(
         "__off", F.coalesce(F.sum("__pc").over(

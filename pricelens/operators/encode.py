@@ -58,13 +58,21 @@ class SmoothedTargetEncoder(Estimator, _TargetParams, MLReadable, MLWritable):
     def _fit(self, df: DataFrame) -> "SmoothedTargetEncoderModel":
         cols = self.getInputCols()
         y = F.col(self.getLabelCol()).cast("double")
-        g = df.agg(F.avg(y)).first()[0]  # one scalar
         long = (df.select(y.alias("__y"), *[F.col(c).cast("string").alias(c) for c in cols])
                   .unpivot(["__y"], cols, "feature", "category"))
-        stats = long.groupBy("feature", "category").agg(
-            F.avg("__y").alias("mean"), F.count("__y").cast("bigint").alias("n"))
+        # ONE pass: per-category sums and counts; the global mean is then derived from
+        # the (small) statistics of the first column instead of another scan.
+        raw = long.groupBy("feature", "category").agg(
+            F.sum("__y").alias("sum"), F.count("__y").cast("bigint").alias("n"))
+        spark = df.sparkSession
+        raw_path = shared_path(spark, "target-sums")
+        raw.write.mode("overwrite").parquet(raw_path)
+        raw = spark.read.parquet(raw_path)
+        tot = raw.where(F.col("feature") == cols[0]).agg(F.sum("sum"), F.sum("n")).first()
+        g = (tot[0] / tot[1]) if tot[1] else None
+        stats = raw.select("feature", "category", (F.col("sum") / F.col("n")).alias("mean"), "n")
         stats = stats.withColumn("value", self._value(F.col("mean"), F.col("n"), g))
-        path = shared_path(df.sparkSession, "target-stats")
+        path = shared_path(spark, "target-stats")
         stats.write.mode("overwrite").parquet(path)
         model = SmoothedTargetEncoderModel(stats=df.sparkSession.read.parquet(path),
                                            globalMean=g if g is not None else float("nan"))
@@ -232,10 +240,16 @@ def feature_pipeline(roles: ColumnRoles, method: str = "additive", smoothing: fl
     te = SmoothedTargetEncoder(inputCols=list(roles.target), outputCols=[c + "_te" for c in roles.target],
                                labelCol=roles.label_col, method=method, smoothing=smoothing,
                                minSamplesLeaf=float(min_samples_leaf))
-    stages = [te, ordinal_indexer(list(roles.ordinal), ordinal_order)]
-    stages += one_hot_stages(list(roles.onehot))
-    stages.append(VectorAssembler(inputCols=feature_columns(roles), outputCol=features_col,
-                                  handleInvalid="keep"))
+    if ordinal_order == "frequency":
+        # One indexer (one counting pass) for the ordinal and the one-hot columns.
+        idx = StringIndexer(inputCols=list(roles.ordinal) + list(roles.onehot),
+                            outputCols=[c + "_idx" for c in roles.ordinal] + [c + "_ohidx" for c in roles.onehot],
+                            stringOrderType="frequencyDesc", handleInvalid="keep")
+        stages = [idx, one_hot_stages(list(roles.onehot))[1]]
+    else:
+        stages = [ordinal_indexer(list(roles.ordinal), ordinal_order)] + one_hot_stages(list(roles.onehot))
+    stages += [te, VectorAssembler(inputCols=feature_columns(roles), outputCol=features_col,
+                                   handleInvalid="keep")]
     return Pipeline(stages=stages)
 
 
@@ -261,8 +275,8 @@ def encoding_map(model, spark: SparkSession | None = None) -> DataFrame:
             parts.append(st.stats.select(F.lit("target").alias("kind"), "feature", "category", "value"))
             rows.append(("global_mean", st.getLabelCol(), None, float(st.globalMean)))
         elif isinstance(st, StringIndexerModel):
-            kind = "onehot" if st.getOutputCols()[0].endswith("_ohidx") else "ordinal"
-            for col, labels in zip(st.getInputCols(), st.labelsArray):
+            for col, out, labels in zip(st.getInputCols(), st.getOutputCols(), st.labelsArray):
+                kind = "onehot" if out.endswith("_ohidx") else "ordinal"
                 rows += [(kind, col, lab, float(i)) for i, lab in enumerate(labels)]
                 rows.append((kind, col, UNKNOWN, float(len(labels))))
     spark = spark or SparkSession.active()

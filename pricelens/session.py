@@ -55,3 +55,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as parquet to the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing joins) and
+    lets several later jobs reuse one computation. Columnar parquet is much cheaper to
+    write and read than RDD checkpoint files of serialised rows.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

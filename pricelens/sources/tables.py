@@ -66,9 +66,12 @@ def dirty_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``color`` is null where the market segment is BUILDING;
     * every row with ``l_linenumber = 1`` appears twice, the copy carrying a
       different ``row_id`` (same row, new index, like a re-exported CSV).
+
+    The copies come from an ``explode`` in the same pass, not a second scan and join.
     """
     base = listings(spark, sf_dir).withColumn(
         "color", F.when(F.col("color") != "BUILDING", F.col("color")))
-    originals = base.withColumn("row_id", row_id(0))
-    copies = base.where(F.col("l_linenumber") == 1).withColumn("row_id", row_id(1))
-    return originals.unionByName(copies)
+    copies = F.when(F.col("l_linenumber") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    out = base.withColumn("__copy", F.explode(copies))
+    keys = [F.col(k).cast("string") for k in LISTING_KEYS]
+    return out.withColumn("row_id", F.concat_ws("-", *keys, F.col("__copy").cast("string"))).drop("__copy")
