@@ -72,7 +72,9 @@ def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: li
         counts = lookup_join(counts, edges, by, "left", null_safe=True)
         edge_col = F.col("__e")
     else:
-        edge_col = base.agg(sketch).scalar()
+        # buckets - 1 numbers: a bounded read to the driver, used as a literal array.
+        edges = base.agg(sketch).first()[0] or []
+        edge_col = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
     counts = counts.withColumn("__b", F.size(F.filter(edge_col, lambda e: e < F.col("__x"))))
     if by:
         counts = counts.drop("__e")
