@@ -8,8 +8,9 @@ Plan (no step holds more than a bounded slice of the data):
 
 1. ``(by, x) -> count`` — partial aggregation, so a value repeated in a third of all
    rows collapses to one row before the shuffle;
-2. each distinct value gets a bucket from an approximate-quantile sketch of its group
-   (``percentile_approx``: bounded memory, mergeable); buckets split the rows evenly;
+2. each distinct value gets a bucket from an approximate-quantile sketch over all
+   distinct values (``percentile_approx``: bounded memory, mergeable), so no bucket
+   holds more than ~``rows_per_bucket`` distinct values, whatever the groups;
 3. rows per ``(by, bucket)`` → cumulative offsets with a window over that small table;
 4. inside each ``(by, bucket)`` a running sum gives every distinct value its rank range;
 5. a final aggregate picks the values at ``floor h`` and ``ceil h``.
@@ -46,47 +47,49 @@ def distinct_counts(df: DataFrame, value: str, by: list[str] | tuple = ()) -> Da
 
 
 def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: list[str] | tuple = (),
-                    names: list[str] | None = None, buckets: int = 64,
-                    sketch_accuracy: int = 10000, counts: DataFrame | None = None) -> DataFrame:
+                    names: list[str] | None = None, rows_per_bucket: int = 1_000_000,
+                    sketch_accuracy: int = 10000, counts: DataFrame | None = None,
+                    buckets: int | None = None) -> DataFrame:
     """One row per group: ``by...``, ``n`` (non-null count) and one column per prob.
 
     Pass ``counts`` (from ``distinct_counts``) to share one scan between several
-    summaries of the same column.
+    summaries of the same column. Small distinct tables (proven by a bounded count)
+    use Spark's exact ``percentile`` with frequencies directly; larger ones use global
+    value buckets (at most ``rows_per_bucket`` distinct values each, whatever the
+    groups look like) and per-bucket running sums.
     """
     by = list(by)
     names = names or [_qname(q) for q in probs]
     if counts is None:
         counts = distinct_counts(df, value, by)
-    if bounded_count(counts, NATIVE_PERCENTILE_LIMIT) is not None:
+    if buckets is None and bounded_count(counts, NATIVE_PERCENTILE_LIMIT) is not None:
         g = counts.groupBy(*by) if by else counts.groupBy()
         out = g.agg(F.sum("__c").cast("bigint").alias("n"),
                     F.percentile("__x", [float(q) for q in probs], F.col("__c")).alias("__q"))
         return out.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
-    base = counts
 
-    # Buckets balance DISTINCT values (the rows a window partition holds below).
+    from pyspark.ml.feature import Bucketizer
+    n_distinct = counts.count()
+    if buckets is None:
+        buckets = max(64, -(-n_distinct // rows_per_bucket))
+    # Global edges balance DISTINCT values, so any (group, bucket) window below holds at
+    # most ~n_distinct / buckets rows. buckets - 1 numbers come back to the driver.
     fracs = [i / buckets for i in range(1, buckets)]
-    sketch = F.percentile_approx("__x", fracs, sketch_accuracy)
-    if by:
-        edges = base.groupBy(*by).agg(sketch.alias("__e"))
-        counts = lookup_join(counts, edges, by, "left", null_safe=True)
-        edge_col = F.col("__e")
-    else:
-        # buckets - 1 numbers: a bounded read to the driver, used as a literal array.
-        edges = base.agg(sketch).first()[0] or []
-        edge_col = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-    counts = counts.withColumn("__b", F.size(F.filter(edge_col, lambda e: e < F.col("__x"))))
-    if by:
-        counts = counts.drop("__e")
-
-    per_bucket = counts.groupBy(*by, "__b").agg(F.sum("__c").alias("__bc"))
+    accuracy = max(sketch_accuracy, 10 * buckets)
+    edges = counts.agg(F.percentile_approx("__x", fracs, accuracy)).first()[0] or []
+    splits = [float("-inf")] + sorted(set(float(e) for e in edges)) + [float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol="__x", outputCol="__bd").transform(counts)
+    bucketed = bucketed.withColumn("__b", F.col("__bd").cast("int")).drop("__bd")
+
+    per_bucket = bucketed.groupBy(*by, "__b").agg(F.sum("__c").alias("__bc"))
+    # One window partition per group over at most `buckets` rows.
     w_groups = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     per_bucket = (per_bucket
                   .withColumn("__off", F.coalesce(F.sum("__bc").over(
                       w_groups.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                   .withColumn("__n", F.sum("__bc").over(w_groups))
                   .drop("__bc"))
-    ranked = lookup_join(counts, per_bucket, by + ["__b"], "left", null_safe=True)
+    ranked = lookup_join(bucketed, per_bucket, by + ["__b"], "left", null_safe=True)
     w_in = Window.partitionBy(*by, "__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranked.withColumn(
         "__start", F.col("__off") + F.coalesce(F.sum("__c").over(w_in), F.lit(0)))

@@ -54,11 +54,13 @@ def value_counts_one(df: DataFrame, column: str, min_count: int = 1) -> DataFram
 def freq_share(df: DataFrame, columns: list[str]) -> DataFrame:
     """Value counts with rank (count desc, then category) and share of the feature.
 
-    The data behind a sorted bar chart. Totals per feature are a bounded table (one row
-    per feature); ranks use a window per feature while the table is small and a
-    distributed sort beyond ``WINDOW_RANK_LIMIT`` categories.
+    The data behind a sorted bar chart. The count table is written once (one pass over
+    the source); totals per feature are a bounded table (one row per feature); ranks
+    use a window per feature while the table is small and a distributed sort beyond
+    ``WINDOW_RANK_LIMIT`` categories.
     """
-    vc = value_counts(df, columns)
+    from pricelens.session import materialize
+    vc = materialize(value_counts(df, columns), "value-counts")
     totals = vc.groupBy("feature").agg(F.sum("count").alias("__total"))
     vc = lookup_join(vc, totals, ["feature"], "left")
     vc = vc.withColumn("share", F.col("count") / F.col("__total")).drop("__total")
@@ -80,19 +82,31 @@ def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False,
                      digits: int | None = 2) -> DataFrame:
     """pandas ``describe()``: count, mean, sample std, min, quartiles, max per column.
 
-    Moments come from one aggregate over the melted table; quartiles are exact
-    (distributed, see ``exact_quantiles``) or ``percentile_approx`` when ``approx``.
+    Exact mode reads the source ONCE: the melted column is reduced to distinct-value
+    counts (written to the shared folder), and moments and quartiles both come from
+    that table (weighted sums; the sample variance is a second pass over the same
+    small table around its mean). ``approx`` uses one pass of ``percentile_approx``.
     """
     long = melt_numeric(df, columns)
-    moments = long.groupBy("variable").agg(
-        F.count("value").cast("bigint").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
     if approx:
+        moments = long.groupBy("variable").agg(
+            F.count("value").cast("bigint").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
         quant = approx_quantiles(long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q25", "q50", "q75"])
     else:
+        counts = distinct_counts(long, "value", ["variable"])
+        x, c = F.col("__x"), F.col("__c")
+        first = counts.groupBy("variable").agg(
+            F.sum(c).cast("bigint").alias("count"), (F.sum(c * x) / F.sum(c)).alias("mean"),
+            F.min(x).alias("min"), F.max(x).alias("max"))
+        spread = lookup_join(counts, first.select("variable", "mean"), ["variable"], "left")
+        var = spread.groupBy("variable").agg(
+            F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("__ss"), F.sum(c).alias("__n"))
+        var = var.select("variable", F.when(F.col("__n") > 1, F.sqrt(F.col("__ss") / (F.col("__n") - 1)))
+                         .alias("std"))
+        moments = lookup_join(first, var, ["variable"], "left")
         quant = exact_quantiles(None, "value", [0.25, 0.5, 0.75], by=["variable"],
-                                names=["q25", "q50", "q75"], counts=distinct_counts(long, "value", ["variable"]))
+                                names=["q25", "q50", "q75"], counts=counts)
     out = lookup_join(moments, quant.drop("n"), ["variable"], "left")
     cols = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     r = (lambda c: F.round(F.col(c), digits)) if digits is not None else F.col

@@ -3,7 +3,6 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-import pricelens.functions.quantiles as qmod
 from pricelens.functions.quantiles import approx_quantiles, exact_quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -16,7 +15,8 @@ def _check(spark, values, groups=None, force_bucketed=False, monkeypatch=None):
     else:
         df = spark.createDataFrame([(g, float(v)) for g, v in zip(groups, values)], "g string, x double")
         by = ["g"]
-    out = exact_quantiles(df, "x", PROBS, by=by, names=[f"p{i}" for i in range(len(PROBS))], buckets=4)
+    out = exact_quantiles(df, "x", PROBS, by=by, names=[f"p{i}" for i in range(len(PROBS))],
+                          buckets=4 if force_bucketed else None)
     rows = out.collect()
     for r in rows:
         vals = np.array([v for v, g in zip(values, groups or [None] * len(values))
@@ -29,33 +29,24 @@ def _check(spark, values, groups=None, force_bucketed=False, monkeypatch=None):
 
 @pytest.mark.parametrize("force", [False, True])
 def test_exact_matches_numpy(spark, monkeypatch, force):
-    if force:
-        monkeypatch.setattr(qmod, "NATIVE_PERCENTILE_LIMIT", 0)
     rng = np.random.default_rng(7)
     # "outliers" fixture plus heavy duplicates: one value holds a third of the rows
     values = list(range(1, 101)) + [10_000] + [5] * 60 + list(rng.normal(50, 10, 40).round(2))
-    _check(spark, values)
+    _check(spark, values, force_bucketed=force)
     groups = ["a" if i % 2 else "b" for i in range(len(values))]
-    _check(spark, values, groups)
+    _check(spark, values, groups, force_bucketed=force)
 
 
 @pytest.mark.parametrize("force", [False, True])
 def test_single_and_constant(spark, monkeypatch, force):
-    if force:
-        monkeypatch.setattr(qmod, "NATIVE_PERCENTILE_LIMIT", 0)
-    _check(spark, [3.5])
-    _check(spark, [2.0] * 10)
+    _check(spark, [3.5], force_bucketed=force)
+    _check(spark, [2.0] * 10, force_bucketed=force)
 
 
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=60))
 def test_property_bucketed_equals_numpy(spark, values):
-    old = qmod.NATIVE_PERCENTILE_LIMIT
-    qmod.NATIVE_PERCENTILE_LIMIT = 0
-    try:
-        _check(spark, values)
-    finally:
-        qmod.NATIVE_PERCENTILE_LIMIT = old
+    _check(spark, values, force_bucketed=True)
 
 
 def test_approx_close(spark):
