@@ -51,8 +51,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram over [min, max]: ``(bin, bin_lo, bin_hi, count)``, empty bins kept.
 
     min/max come back to the driver as two numbers; a constant column widens to
-    [v-0.5, v+0.5] like numpy. The count table has at most ``bins`` rows, which is the
-    proven bound that lets it be broadcast onto the bin frame.
+    [v-0.5, v+0.5] like numpy. Empty bins come from a union with a zero row per bin
+    and a re-aggregate (at most 2 x ``bins`` rows) rather than a join, which would make
+    the optimizer re-evaluate the bin expression in a null filter at the scan.
     """
     data = _finite(df, value)
     lo, hi = data.agg(F.min("__x"), F.max("__x")).first()
@@ -63,9 +64,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
         lo, hi = lo - 0.5, hi + 0.5
     counts = (with_numpy_bin(data, "__x", lo, hi, bins).groupBy("bin")
               .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
-    frame = spark.range(bins).select(F.col("id").alias("bin"))
+    frame = spark.range(bins).select(F.col("id").alias("bin"), F.lit(0).cast("bigint").alias("count"))
     step = (hi - lo) / float(bins)
-    out = frame.join(F.broadcast(counts), "bin", "left")
+    out = counts.unionByName(frame).groupBy("bin").agg(F.sum("count").alias("count"))
     return out.select(
         F.col("bin").cast("bigint").alias("bin"),
         (F.col("bin").cast("double") * F.lit(step) + F.lit(lo)).alias("bin_lo"),
@@ -176,26 +177,26 @@ def violin_density(df: DataFrame, by: str, value: str, grid_size: int = 100, cut
     return density(df, value, by=[by], grid_size=grid_size, cut=cut, binned=binned, bins=bins)
 
 
-def _regr_aggs(x: str, y: str) -> list[Column]:
-    xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
-    return [F.regr_count(yc, xc).cast("bigint"), F.regr_slope(yc, xc), F.regr_intercept(yc, xc),
-            F.regr_r2(yc, xc), F.regr_sxx(yc, xc), F.regr_syy(yc, xc), F.regr_sxy(yc, xc),
-            F.regr_avgx(yc, xc), F.regr_avgy(yc, xc),
-            F.min(F.when(yc.isNotNull(), xc)), F.max(F.when(yc.isNotNull(), xc))]
-
-
 _REGR_NAMES = ["n", "slope", "intercept", "r2", "sxx", "syy", "sxy", "avg_x", "avg_y", "min_x", "max_x"]
 
 
 def regression(df: DataFrame, xs: list[str], y: str) -> DataFrame:
-    """Least-squares line of ``y`` on each ``x`` (one aggregate for all): one row per x."""
-    aggs = []
-    for i, x in enumerate(xs):
-        aggs += [a.alias(f"__{i}_{n}") for a, n in zip(_regr_aggs(x, y), _REGR_NAMES)]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(x).alias("x"), *[F.col(f"__{i}_{n}").alias(n) for n in _REGR_NAMES])
-                     for i, x in enumerate(xs)])
-    return wide.select(F.inline(rows))
+    """Least-squares line of ``y`` on each ``x``: one row per x.
+
+    The x columns are unpivoted to ``(x, xv, yv)`` inside the scan pipeline and ONE
+    grouped aggregate of the native ``regr_*`` functions follows (partial + final), so
+    the aggregation buffer stays small whatever the number of x columns.
+    """
+    long = (df.select(F.col(y).cast("double").alias("__y"), *[F.col(x).cast("double").alias(x) for x in xs])
+              .unpivot(["__y"], list(xs), "x", "__xv"))
+    xv, yv = F.col("__xv"), F.col("__y")
+    out = long.groupBy("x").agg(
+        F.regr_count(yv, xv).cast("bigint").alias("n"), F.regr_slope(yv, xv).alias("slope"),
+        F.regr_intercept(yv, xv).alias("intercept"), F.regr_r2(yv, xv).alias("r2"),
+        F.regr_sxx(yv, xv).alias("sxx"), F.regr_syy(yv, xv).alias("syy"), F.regr_sxy(yv, xv).alias("sxy"),
+        F.regr_avgx(yv, xv).alias("avg_x"), F.regr_avgy(yv, xv).alias("avg_y"),
+        F.min(F.when(yv.isNotNull(), xv)).alias("min_x"), F.max(F.when(yv.isNotNull(), xv)).alias("max_x"))
+    return out.select(*_REGR_NAMES[:0], "x", *_REGR_NAMES)
 
 
 def _inverse_normal(p: float) -> float:
