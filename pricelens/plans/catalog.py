@@ -730,7 +730,7 @@ def q_cv_metrics(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     train, _ = _split(spark, sf_dir)
     _, metrics = cross_validate(train.drop("log_price", "is_test"), ROLES, folds=Q_FOLDS, trees=Q_TREES,
-                                depth=Q_DEPTH)
+                                depth=Q_DEPTH, refit=False)
     return metrics
 
 

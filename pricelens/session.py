@@ -57,13 +57,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", min_partitions: int | None = None):
     """Write ``df`` as parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing joins) and
     lets several later jobs reuse one computation. Columnar parquet is much cheaper to
     write and read than RDD checkpoint files of serialised rows.
+
+    ``min_partitions``: when the plan has fewer partitions (e.g. a scan of one large
+    row group), spread it round-robin first so iterative readers (forest training)
+    get that many files/tasks. Plans that already have more partitions are untouched.
     """
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        df = df.repartition(min_partitions)
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
