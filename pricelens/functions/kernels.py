@@ -27,7 +27,9 @@ def kernel_partial_sums(df: DataFrame, by: list[str], value: str, weight: str |
     """
     by = list(by)
     cols = by + [value, "__lo", "__step", "__bw"] + ([weight] if weight else [])
-    src = df.select(*cols)
+    from pricelens.session import spread
+    # The kernel work is CPU-heavy Python; make sure every core gets a share.
+    src = spread(df.select(*cols))
     out_fields = [f for f in src.schema.fields if f.name in by] + [
         T.StructField("__k", T.IntegerType(), False),
         T.StructField("__s", T.DoubleType(), False)]

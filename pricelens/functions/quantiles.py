@@ -89,7 +89,7 @@ def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: li
                       w_groups.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                   .withColumn("__n", F.sum("__bc").over(w_groups))
                   .drop("__bc"))
-    ranked = lookup_join(bucketed, per_bucket, by + ["__b"], "left", null_safe=True)
+    ranked = lookup_join(bucketed, per_bucket, by + ["__b"], "left", null_safe=True, materialize=False)
     w_in = Window.partitionBy(*by, "__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranked.withColumn(
         "__start", F.col("__off") + F.coalesce(F.sum("__c").over(w_in), F.lit(0)))

@@ -150,7 +150,7 @@ def box_stats(df: DataFrame, columns: list[str], whis: float = 1.5, approx: bool
     whisk = tagged.groupBy("variable").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"), F.max(F.when(v <= hi, v)).alias("whisker_hi"),
         F.sum(F.when((v < lo) | (v > hi), F.col("__c")).otherwise(0)).cast("bigint").alias("n_outliers"))
-    out = lookup_join(q, whisk, ["variable"], "left")
+    out = lookup_join(q, whisk, ["variable"], "left", materialize=False)
     return out.select("variable", "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.config import ADDITIVE_SMOOTHING, SIGMOID_MIN_SAMPLES_LEAF, ColumnRoles
-from pricelens.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from pricelens.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_count, lookup_join
 from pricelens.session import shared_path
 
 UNKNOWN = "__unknown__"
@@ -109,17 +109,26 @@ class SmoothedTargetEncoderModel(Model, _TargetParams, MLReadable, MLWritable):
         g = F.lit(self.globalMean).cast("double")
         limit = self.getOrDefault(self.maxBroadcastRows)
         null_safe = self.getOrDefault(self.nullAsCategory)
+        # The statistics are a written table: one bounded count proves every column's
+        # slice small enough to broadcast; otherwise each column takes the salted join
+        # with its hot categories (>= 1 % of the fitted rows) known from the statistics.
+        small = bounded_count(self.stats, limit) is not None
         total = None
         for c, out in zip(self.getInputCols(), self.getOutputCols()):
             s = (self.stats.where(F.col("feature") == c)
                  .select(F.col("category").alias("__cat"), F.col("value").alias(out), "n"))
-            hot = None
-            if total is None:
-                total = self.stats.where(F.col("feature") == c).agg(F.sum("n")).first()[0] or 0
-            hot = s.where(F.col("n") >= F.lit(max(1, int(total * 0.01)))).select("__cat")
-            df = lookup_join(df.withColumn("__cat", F.col(c).cast("string")), s.drop("n"), ["__cat"],
-                             "left", null_safe=null_safe, max_broadcast_rows=limit,
-                             hot_keys=hot, materialize=False)
+            keyed = df.withColumn("__cat", F.col(c).cast("string"))
+            if small:
+                cond = (F.col("__cat").eqNullSafe(F.col("__scat")) if null_safe
+                        else F.col("__cat") == F.col("__scat"))
+                lk = F.broadcast(s.drop("n").withColumnRenamed("__cat", "__scat"))
+                df = keyed.join(lk, cond, "left").drop("__scat")
+            else:
+                if total is None:
+                    total = self.stats.where(F.col("feature") == c).agg(F.sum("n")).first()[0] or 0
+                hot = s.where(F.col("n") >= F.lit(max(1, int(total * 0.01)))).select("__cat")
+                df = lookup_join(keyed, s.drop("n"), ["__cat"], "left", null_safe=null_safe,
+                                 max_broadcast_rows=limit, hot_keys=hot, materialize=False)
             df = df.withColumn(out, F.coalesce(F.col(out), g)).drop("__cat")
         return df
 

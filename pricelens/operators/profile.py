@@ -99,15 +99,15 @@ def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False,
         first = counts.groupBy("variable").agg(
             F.sum(c).cast("bigint").alias("count"), (F.sum(c * x) / F.sum(c)).alias("mean"),
             F.min(x).alias("min"), F.max(x).alias("max"))
-        spread = lookup_join(counts, first.select("variable", "mean"), ["variable"], "left")
+        spread = lookup_join(counts, first.select("variable", "mean"), ["variable"], "left", materialize=False)
         var = spread.groupBy("variable").agg(
             F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("__ss"), F.sum(c).alias("__n"))
         var = var.select("variable", F.when(F.col("__n") > 1, F.sqrt(F.col("__ss") / (F.col("__n") - 1)))
                          .alias("std"))
-        moments = lookup_join(first, var, ["variable"], "left")
+        moments = lookup_join(first, var, ["variable"], "left", materialize=False)
         quant = exact_quantiles(None, "value", [0.25, 0.5, 0.75], by=["variable"],
                                 names=["q25", "q50", "q75"], counts=counts)
-    out = lookup_join(moments, quant.drop("n"), ["variable"], "left")
+    out = lookup_join(moments, quant.drop("n"), ["variable"], "left", materialize=approx)
     cols = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     r = (lambda c: F.round(F.col(c), digits)) if digits is not None else F.col
     return out.select("variable", "count", *[r(c).alias(c) for c in cols])

@@ -584,6 +584,8 @@ def q_onehot_wide(spark, sf_dir):
 
 
 def _pipeline_fit(df: DataFrame):
+    from pricelens.session import materialize
+    df = materialize(df, "pipeline-input")  # read by the guard, the indexer and the encoder
     encode.check_cardinality(df, _ORD + _OHE)
     return encode.feature_pipeline(ROLES).fit(df)
 
@@ -764,12 +766,7 @@ checked AS (
 
 def _validated(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    allowed = allowed_from_data(train, CATS, min_share=0.0)
-    total = train.count()
-    counts = (train.select(*[F.col(c).cast("string").alias(c) for c in CATS])
-              .unpivot([], CATS, "feature", "category").where(F.col("category").isNotNull())
-              .groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n")))
-    allowed = counts.where(F.col("n") * SUPPORT_RATIO >= F.lit(total)).select("feature", "category")
+    allowed = allowed_from_data(train, CATS, min_ratio=SUPPORT_RATIO)
     return validate(test.drop("log_price", "is_test"), ROLES, allowed)
 
 

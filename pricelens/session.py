@@ -68,8 +68,16 @@ def materialize(df, name: str = "table", min_partitions: int | None = None):
     row group), spread it round-robin first so iterative readers (forest training)
     get that many files/tasks. Plans that already have more partitions are untouched.
     """
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
+    df = spread(df, min_partitions) if min_partitions else df
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's cores) only when
+    its plan has fewer partitions, e.g. one huge row group. A no-op at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
