@@ -102,10 +102,14 @@ def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: in
         def attach(d: DataFrame, cols: list[str]) -> DataFrame:
             return lookup_join(d, stats.select(*by, *cols), by, "inner", null_safe=True, materialize=False)
     else:
-        one = stats.select(F.struct(*[F.col(c) for c in stats.columns])).scalar()
+        # One row (or none when the spread is zero): bounded, read to the driver once.
+        row = stats.first()
+        one = row.asDict() if row is not None else None
 
         def attach(d: DataFrame, cols: list[str]) -> DataFrame:
-            return d.select("*", *[one.getField(c).alias(c) for c in cols]).where(F.col(cols[0]).isNotNull())
+            if one is None:
+                return d.select("*", *[F.lit(None).cast("double").alias(c) for c in cols]).where(F.lit(False))
+            return d.select("*", *[F.lit(one[c]).alias(c) for c in cols])
     weight = None
     points = data
     if binned:
