@@ -590,10 +590,17 @@ def _pipeline_fit(df: DataFrame):
     return encode.feature_pipeline(ROLES).fit(df)
 
 
-def _feature_names() -> list[str]:
+def _feature_names(model) -> list[str]:
+    """Assembled slot names, one-hot widths read from the fitted indexer (labels + 1)."""
+    from pyspark.ml.feature import StringIndexerModel
+    width = {}
+    for st in model.stages:
+        if isinstance(st, StringIndexerModel):
+            for col, labels in zip(st.getInputCols(), st.labelsArray):
+                width[col] = len(labels) + 1
     names = ["model_year", "mileage", "engine_capacity"] + [c + "_idx" for c in _ORD]
-    names += [f"engine_type_{i}" for i in range(len(_OHE_LABELS["engine_type"]) + 1)]
-    names += [f"body_type_{i}" for i in range(len(_OHE_LABELS["body_type"]) + 1)]
+    for c in _OHE:
+        names += [f"{c}_{i}" for i in range(width[c])]
     return names + [c + "_te" for c in _TE]
 
 
@@ -621,7 +628,7 @@ def q_feature_table(spark, sf_dir):
     df = _labelled(spark, sf_dir)
     model = _pipeline_fit(df)
     arr = model.transform(df).select(*KEYS, vector_to_array("features").alias("__f"))
-    names = _feature_names()
+    names = _feature_names(model)
     cols = [F.col("__f")[i].alias(n) for i, n in enumerate(names)]
     out = arr.select(*KEYS, *cols)
     return out.select(*KEYS, *[R(n, 9).alias(n) if n.endswith("_te") else F.col(n) for n in names])
