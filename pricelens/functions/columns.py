@@ -41,6 +41,11 @@ def inverse_log10(c: Column | str) -> Column:
     return F.pow(F.lit(10.0), c)
 
 
+def as_float32(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Cast columns to 32-bit floats (the precision of a float32 model input)."""
+    return df.withColumns({c: F.col(c).cast("float") for c in columns})
+
+
 def hash_percent(*cols: str) -> Column:
     """A stable 0..99 bucket from the row key (same rows in any engine or partitioning).
 
