@@ -46,6 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        # Local runs and tests only: one machine, so a local folder is shared by all.
         configured = fallback or os.path.join(os.environ.get("PRICELENS_SCRATCH", "/tmp/pricelens-checkpoints"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
