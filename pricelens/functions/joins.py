@@ -48,7 +48,8 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str] | str, how: st
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if materialize:
-        lookup = lookup.checkpoint(eager=True)
+        from pricelens.session import materialize as write_shared
+        lookup = write_shared(lookup, "lookup")
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     vals = [c for c in lookup.columns if c not in keys]

@@ -237,6 +237,21 @@ def add_label(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     return df.withColumn(roles.label_col, F.when(p > 0, F.log10(p)))
 
 
+def label_split(df: DataFrame, roles: ColumnRoles):
+    """(rows with a valid ``log10(price)`` label, rejected rows with a ``reason``).
+
+    A zero, negative, null or non-numeric price has no logarithm: such rows are kept
+    out of training and reported instead of turning into -inf or disappearing.
+    """
+    p = F.expr(f"try_cast(`{roles.label}` AS DOUBLE)")
+    tagged = df.withColumn(roles.label_col, F.when(p > 0, F.log10(p)))
+    reason = (F.when(F.col(roles.label).isNull(), F.lit("price:missing"))
+               .when(p.isNull(), F.lit("price:not_numeric"))
+               .otherwise(F.lit("price:not_positive")))
+    return (tagged.where(F.col(roles.label_col).isNotNull()),
+            tagged.where(F.col(roles.label_col).isNull()).drop(roles.label_col).withColumn("reason", reason))
+
+
 def feature_columns(roles: ColumnRoles) -> list[str]:
     """Assembled order: numeric, ordinal codes, one-hot vectors, target encodings."""
     return (list(roles.numeric) + [c + "_idx" for c in roles.ordinal]

@@ -52,3 +52,14 @@ def test_approx_paths_close_to_exact(spark):
     assert abs(ex.q50 - ap.q50) <= 2 and ex["count"] == ap["count"] == 1000
     bx = dist.box_stats(df, ["x"], approx=True).first()
     assert abs(bx.median - 500.5) <= 2 and bx.n_outliers == 0
+
+
+def test_label_split_rejects_invalid_prices(spark):
+    from pricelens.config import ColumnRoles
+    from pricelens.operators.encode import label_split
+    roles = ColumnRoles(target=(), ordinal=(), onehot=(), numeric=(), label="price")
+    df = spark.createDataFrame([("1000",), ("0",), ("-5",), (None,), ("abc",)], "price string")
+    ok, bad = label_split(df, roles)
+    assert [r.log_price for r in ok.collect()] == [3.0]
+    assert sorted(r.reason for r in bad.collect()) == ["price:missing", "price:not_numeric",
+                                                       "price:not_positive", "price:not_positive"]
