@@ -1,7 +1,7 @@
 """Joins of a large table with a lookup table (unique on its key).
 
-``lookup_join`` broadcasts the lookup side only after proving its size: it counts at
-most ``max_broadcast_rows + 1`` rows of it. Beyond that bound it uses a shuffle join in
+``lookup_join`` broadcasts the lookup side only after proving its size: it writes
+the lookup once and counts it exactly. Beyond that bound it uses a shuffle join in
 which the hot keys of the large side (keys holding at least ``hot_fraction`` of its rows;
 there are at most ``1 / hot_fraction`` of them, so they can be broadcast) are answered
 from a broadcast copy and their rows are salted across ``salt_buckets`` shuffle
@@ -19,8 +19,13 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Row count of ``df`` if it is at most ``limit``, else None (reads ≤ limit+1 rows)."""
-    n = df.limit(limit + 1).count()
+    """Exact row count of ``df`` if it is at most ``limit``, else None.
+
+    A plain distributed ``count()``: each task counts its own rows and one number per
+    task moves. (``limit(n).count()`` would funnel up to ``n`` rows per partition into a
+    single task.) Callers pass written or aggregated tables, so the count is cheap.
+    """
+    n = df.count()
     return n if n <= limit else None
 
 
@@ -68,6 +73,8 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str] | str, how: st
         floor = max(1, math.ceil(hot_fraction * total))
         hot_keys = (df.groupBy(*keys).count().where(F.col("count") >= floor).select(*keys))
     limit = int(math.ceil(1.0 / hot_fraction)) + 1
+    from pricelens.session import materialize as write_shared
+    hot_keys = write_shared(hot_keys.select(*keys), "hot-keys")  # counted, then joined: compute once
     if bounded_count(hot_keys, limit) is None:
         raise ValueError("hot key table is larger than 1/hot_fraction rows")
     hk = hot_keys.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]).distinct()
