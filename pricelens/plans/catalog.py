@@ -576,7 +576,7 @@ _OHE_LABELS = {"engine_type": ["A", "N", "R"],
 
 
 @query("onehot_wide", f"WITH {LISTINGS} SELECT {KEYS_SQL}, " + ", ".join(
-    f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v}" for c in _OHE for v in _OHE_LABELS[c])
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}" for c in _OHE for v in _OHE_LABELS[c])
     + " FROM listings")
 def q_onehot_wide(spark, sf_dir):
     df = listings(spark, sf_dir).select(*KEYS, *_OHE)
@@ -619,8 +619,8 @@ coded AS (
 SELECT {KEYS_SQL}, CAST(model_year AS DOUBLE) AS model_year, CAST(mileage AS DOUBLE) AS mileage,
        CAST(engine_capacity AS DOUBLE) AS engine_capacity,
        {", ".join(f"CAST({c}_code AS DOUBLE) AS {c}_idx" for c in _ORD)},
-       {", ".join(f"CASE WHEN engine_type_code = {i} THEN 1.0 ELSE 0.0 END AS engine_type_{i}" for i in range(4))},
-       {", ".join(f"CASE WHEN body_type_code = {i} THEN 1.0 ELSE 0.0 END AS body_type_{i}" for i in range(7))},
+       {", ".join(f"CAST(CASE WHEN engine_type_code = {i} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS engine_type_{i}" for i in range(4))},
+       {", ".join(f"CAST(CASE WHEN body_type_code = {i} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS body_type_{i}" for i in range(7))},
        {", ".join(f"round({c}_te, 9) AS {c}_te" for c in _TE)}
 FROM coded""")
 def q_feature_table(spark, sf_dir):
