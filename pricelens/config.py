@@ -7,7 +7,7 @@ profiling and scoring so the feature order can never drift between them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)

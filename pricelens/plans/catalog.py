@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.config import LISTING_KEYS, LISTING_NUMERIC, LISTING_ROLES as ROLES
-from pricelens.functions.columns import clip, hash_percent, log10_label, numeric_columns
+from pricelens.functions.columns import clip, log10_label, numeric_columns
 from pricelens.functions.joins import lookup_join
 from pricelens.operators import distribution as dist
 from pricelens.operators import encode, profile, quality
