@@ -584,10 +584,11 @@ def q_onehot_wide(spark, sf_dir):
 
 
 def _pipeline_fit(df: DataFrame):
+    """Fit the feature pipeline; returns (model, the written input it was fitted on)."""
     from pricelens.session import materialize
-    df = materialize(df, "pipeline-input")  # read by the guard, the indexer and the encoder
+    df = materialize(df, "pipeline-input")  # read by the guard, the indexer, the encoder, the transform
     encode.check_cardinality(df, _ORD + _OHE)
-    return encode.feature_pipeline(ROLES).fit(df)
+    return encode.feature_pipeline(ROLES).fit(df), df
 
 
 def _feature_names(model) -> list[str]:
@@ -625,8 +626,7 @@ SELECT {KEYS_SQL}, CAST(model_year AS DOUBLE) AS model_year, CAST(mileage AS DOU
 FROM coded""")
 def q_feature_table(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
-    df = _labelled(spark, sf_dir)
-    model = _pipeline_fit(df)
+    model, df = _pipeline_fit(_labelled(spark, sf_dir))
     arr = model.transform(df).select(*KEYS, vector_to_array("features").alias("__f"))
     names = _feature_names(model)
     cols = [F.col("__f")[i].alias(n) for i, n in enumerate(names)]
@@ -645,7 +645,7 @@ UNION ALL SELECT CASE WHEN feature IN ('engine_type', 'body_type') THEN 'onehot'
 UNION ALL SELECT CASE WHEN feature IN ('engine_type', 'body_type') THEN 'onehot' ELSE 'ordinal' END,
                  feature, '__unknown__', CAST(count(*) AS DOUBLE) FROM idx GROUP BY feature""")
 def q_encoding_map(spark, sf_dir):
-    model = _pipeline_fit(_labelled(spark, sf_dir))
+    model, _ = _pipeline_fit(_labelled(spark, sf_dir))
     m = encode.encoding_map(model, spark)
     return m.select("kind", "feature", "category", R("value", 9).alias("value"))
 
