@@ -50,3 +50,12 @@ def test_hot_key_rows_are_spread(spark):
     out = lookup_join(big, small, ["k"], "left", max_broadcast_rows=0, hot_fraction=0.1, salt_buckets=8)
     assert out.where(F.col("k") == 0).select("v").distinct().collect()[0].v == "v0"
     assert out.count() == big.count()
+
+
+def test_non_unique_lookup_keys_on_both_paths(spark):
+    big = spark.createDataFrame([(i, 0 if i % 3 == 0 else i % 5) for i in range(300)], "id long, k int")
+    small = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c")], "k int, v string")
+    expect = sorted((r.id, r.v) for r in big.join(small, "k", "inner").collect())
+    for kw in [{}, {"max_broadcast_rows": 0, "hot_fraction": 0.1, "salt_buckets": 4}]:
+        got = sorted((r.id, r.v) for r in lookup_join(big, small, ["k"], "inner", **kw).collect())
+        assert got == expect
