@@ -37,8 +37,6 @@ def main() -> None:
     if "--only" in args:
         names = args[args.index("--only") + 1].split(",")
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        pass
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra=extra)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-ckpt-"))
