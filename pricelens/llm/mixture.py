@@ -48,12 +48,16 @@ def feistel(i: Column, n: Column, *key: Column) -> Column:
     a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
     b = F.ceil(n / a).cast("long")
 
+    def half_round(at: Column, r: Column) -> Column:
+        left, right, even = at["left"], at["right"], F.pmod(r, F.lit(2)) == 0
+        return F.struct(
+            F.when(even, F.pmod(left + F.pmod(F.xxhash64(r, right, *key), a), a)).otherwise(left).alias("left"),
+            F.when(even, right).otherwise(F.pmod(right + F.pmod(F.xxhash64(r, left, *key), b), b)).alias("right"))
+
     def step(x: Column) -> Column:
-        left, right = F.floor(x / b), F.pmod(x, b)
-        for r in range(ROUNDS):
-            left = F.pmod(left + F.pmod(F.xxhash64(F.lit(r), right, *key), a), a)
-            right = F.pmod(right + F.pmod(F.xxhash64(F.lit(~r), left, *key), b), b)
-        return (left * b + right).cast("long")
+        start = F.struct(F.floor(x / b).cast("long").alias("left"), F.pmod(x, b).alias("right"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(2 * ROUNDS)), start, half_round,
+                           lambda at: (at["left"] * b + at["right"]).cast("long"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), step(i),
                        lambda x, _: F.when(x < n, x).otherwise(step(x)))
