@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """The shared folder, and batches of whole texts small enough for a Python worker."""
+    """The shared folder, this package on the Python workers' path (where the same path exists), and
+    batches of whole texts small enough for a worker."""
     ensure_checkpoint_dir(spark)
+    root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    if root not in (paths := [p for p in env.get("PYTHONPATH", "").split(":") if p]):
+        env["PYTHONPATH"] = ":".join([root, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
