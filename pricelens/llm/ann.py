@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pricelens.functions.joins import lookup_join
 from pricelens.llm.common import written
 
 K = 20
@@ -122,9 +123,9 @@ def tile_hits(data: DataFrame, queries: DataFrame, most: int, shard_rows: int, q
     n_data = data.groupBy(*place).agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("_nd"))
     n_query = queries.groupBy(*place).agg(F.ceil(F.count("*") / query_rows).cast("int").alias("_nq"))
     sizes = written(n_data.join(n_query, place), "ann-shards")
-    data = data.join(sizes, place).withColumn("_dc", F.pmod(F.xxhash64("_rep"), "_nd").cast("int"))
+    data = lookup_join(data, sizes, place, "inner", materialize=False).withColumn("_dc", F.pmod(F.xxhash64("_rep"), "_nd").cast("int"))
     data = data.withColumn("_qc", F.explode(F.sequence(F.lit(0), F.col("_nq") - 1)))
-    queries = queries.join(sizes, place).withColumn("_qc", F.pmod(F.xxhash64("_q"), "_nq").cast("int"))
+    queries = lookup_join(queries, sizes, place, "inner", materialize=False).withColumn("_qc", F.pmod(F.xxhash64("_q"), "_nq").cast("int"))
     queries = queries.withColumn("_dc", F.explode(F.sequence(F.lit(0), F.col("_nd") - 1)))
     tile = [*place, "_dc", "_qc"]
     data, queries = data.select(*tile, "_bucket", "_rep", "_vec"), queries.select(*tile, "_q", "_vec", "_buckets")

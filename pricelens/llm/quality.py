@@ -2,8 +2,9 @@
 
 Two logistic models see two views of a document. The content view is its words and punctuation runs,
 hashed to ``DIM`` buckets (square roots of their shares), with the shares of the commonest and of distinct
-tokens. The page view is metadata and layout: language, source, length, lines, words, and the shares of
-letters, capitals, digits, spaces, punctuation and bytes beyond ASCII, never the words themselves.
+tokens. The page view is metadata and layout: language, source, length, lines, words, the shares of
+letters, capitals, digits, spaces, punctuation and bytes beyond ASCII, and how often a word repeats the
+one before it, never which words they are.
 
 Training works on a bounded sample: at most ``LABELLED`` labelled documents and ``POOL`` unlabelled ones,
 both those of least id hash, so it does not grow with the corpus; only their features reach the driver. A
@@ -19,6 +20,7 @@ classes every document scores the labels' mean (1 without labels); an empty tabl
 
 from __future__ import annotations
 
+import operator
 import re
 import zlib
 from collections.abc import Iterator
@@ -95,6 +97,8 @@ def page_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
     x[16:21] = [1, np.log1p(n) / 10, np.log1p(lines) / 10, np.log1p(n / lines) / 10, np.log1p(n / words) / 5]
     x[21] = kinds[1] / max(1.0, kinds[1] + kinds[2])
     x[22] = min(1.0, kinds[6] / words)
+    parts = data.split()
+    x[23] = sum(map(operator.eq, parts, parts[1:])) / max(1, len(parts))
     x[24 + zlib.crc32(f"lang {lang}".encode()) % 8] = 0.3
     x[32 + zlib.crc32(f"source {source}".encode()) % 32] = 0.3
     return x
