@@ -4,16 +4,16 @@
 (``percentile`` in Spark, ``quantile_cont`` in SQL engines, numpy's default):
 position ``h = (n - 1) * q``, value ``x[floor h] + (h - floor h) * (x[ceil h] - x[floor h])``.
 
-Plan (no step holds more than a bounded slice of the data):
-
-1. ``(by, x) -> count`` — partial aggregation, so a value repeated in a third of all
-   rows collapses to one row before the shuffle;
-2. each distinct value gets a bucket from an approximate-quantile sketch over all
-   distinct values (``percentile_approx``: bounded memory, mergeable), so no bucket
-   holds more than ~``rows_per_bucket`` distinct values, whatever the groups;
-3. rows per ``(by, bucket)`` → cumulative offsets with a window over that small table;
-4. inside each ``(by, bucket)`` a running sum gives every distinct value its rank range;
-5. a final aggregate picks the values at ``floor h`` and ``ceil h``.
+Plan (what leaves the tasks is bounded by the sketch, not by the rows):
+
+1. one aggregate per group: row count, extremes, and for each quantile a bracket of two
+   values from an approximate-quantile sketch (``percentile_approx``: bounded memory,
+   mergeable) that the exact quantile lies between;
+2. one pass that counts the rows below each bracket and the distinct values inside it, with
+   map-side combine: only bracket rows (some ten-thousandths of the column) are shuffled;
+3. running sums inside each bracket give the values at ``floor h`` and ``ceil h``. A bracket
+   of more than ``task_rows`` distinct values is first narrowed: counts in 4,096 equal bins
+   of its range tell which bins hold the two ranks, and the others are dropped.
 """
 
 from __future__ import annotations
@@ -21,94 +21,125 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.functions.joins import bounded_count, lookup_join
+from pricelens.functions.columns import finite
+from pricelens.functions.joins import lookup_join
 
-# Up to this many distinct (group, value) pairs, Spark's exact ``percentile`` with a
-# frequency column runs directly on the distinct-count table: its per-group buffer is
-# then provably at most this many entries.
-NATIVE_PERCENTILE_LIMIT = 2_000_000
+BINS = 4096
 
 
 def _qname(q: float) -> str:
     return "q" + (f"{q:.6f}".rstrip("0").rstrip(".").replace("0.", "", 1) if q < 1 else "100")
 
 
-def distinct_counts(df: DataFrame, value: str, by: list[str] | tuple = ()) -> DataFrame:
-    """``(by..., __x, __c)``: each distinct non-null value with its row count.
+def finite_values(df: DataFrame, value: str, by: list[str] | tuple = ()) -> DataFrame:
+    """``(by..., __x)``: the finite values of a column."""
+    return df.select(*by, finite(value).alias("__x")).where(F.col("__x").isNotNull())
 
-    Map-side combined, then written once to the shared checkpoint folder: every later
-    step of a quantile / box computation reads this (usually much smaller) table
-    instead of re-scanning the source.
-    """
-    x = F.col(value).cast("double")
-    base = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan(F.col("__x")))
-    from pricelens.session import materialize
-    return materialize(base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")), "distinct-counts")
+
+def bracket_aggregates(probs: list[float], accuracy: int, width: float) -> list:
+    """Aggregates over ``__x`` that ``exact_from_brackets`` needs, to go with a caller's own."""
+    e = width / accuracy
+    points = [max(0.0, q - e) for q in probs] + [min(1.0, q + e) for q in probs]
+    return [F.count("__x").cast("bigint").alias("__n"), F.min("__x").alias("__min"), F.max("__x").alias("__max"),
+            F.percentile_approx("__x", points, accuracy).alias("__points")]
 
 
-def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: list[str] | tuple = (),
-                    names: list[str] | None = None, rows_per_bucket: int = 1_000_000,
-                    sketch_accuracy: int = 10000, counts: DataFrame | None = None,
-                    buckets: int | None = None) -> DataFrame:
-    """One row per group: ``by...``, ``n`` (non-null count) and one column per prob.
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tuple = (),
+                    names: list[str] | None = None, accuracy: int = 10_000,
+                    task_rows: int = 1_000_000) -> DataFrame:
+    """One row per group: ``by...``, ``n`` (count of finite values) and one column per prob.
 
-    Pass ``counts`` (from ``distinct_counts``) to share one scan between several
-    summaries of the same column. Small distinct tables (proven by a bounded count)
-    use Spark's exact ``percentile`` with frequencies directly; larger ones use global
-    value buckets (at most ``rows_per_bucket`` distinct values each, whatever the
-    groups look like) and per-bucket running sums.
+    The source is read twice; pass a written table if it is costly to compute.
     """
+    from pricelens.session import materialize
     by = list(by)
+    data = finite_values(df, value, by)
+    width = 4.0
+    while True:
+        g = data.groupBy(*by) if by else data.groupBy()
+        stats = materialize(g.agg(*bracket_aggregates(probs, accuracy, width)), "quantile-brackets")
+        out = exact_from_brackets(data, stats, probs, by, names, accuracy, task_rows)
+        if out is not None:
+            return out
+        width *= 16  # a sketch missed: wider brackets, in the end the whole column
+
+
+def exact_from_brackets(data: DataFrame, stats: DataFrame, probs: list[float], by: list[str],
+                        names: list[str] | None = None, accuracy: int = 10_000,
+                        task_rows: int = 1_000_000) -> DataFrame | None:
+    """The exact quantiles of ``data`` (``by..., __x``), given its ``bracket_aggregates`` as a
+    written table ``stats``. None if a bracket does not hold its quantile."""
+    from pricelens.session import materialize
+    k = len(probs)
     names = names or [_qname(q) for q in probs]
-    if counts is None:
-        counts = distinct_counts(df, value, by)
-    if buckets is None and bounded_count(counts, NATIVE_PERCENTILE_LIMIT) is not None:
-        g = counts.groupBy(*by) if by else counts.groupBy()
-        out = g.agg(F.sum("__c").cast("bigint").alias("n"),
-                    F.percentile("__x", [float(q) for q in probs], F.col("__c")).alias("__q"))
-        return out.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
-
-    from pyspark.ml.feature import Bucketizer
-    n_distinct = counts.count()
-    if buckets is None:
-        buckets = max(64, -(-n_distinct // rows_per_bucket))
-    # Global edges balance DISTINCT values, so any (group, bucket) window below holds at
-    # most ~n_distinct / buckets rows. buckets - 1 numbers come back to the driver.
-    fracs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(sketch_accuracy, 10 * buckets)
-    edges = counts.agg(F.percentile_approx("__x", fracs, accuracy)).first()[0] or []
-    splits = [float("-inf")] + sorted(set(float(e) for e in edges)) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="__x", outputCol="__bd").transform(counts)
-    bucketed = bucketed.withColumn("__b", F.col("__bd").cast("int")).drop("__bd")
-
-    per_bucket = bucketed.groupBy(*by, "__b").agg(F.sum("__c").alias("__bc"))
-    # One window partition per group over at most `buckets` rows.
-    w_groups = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    per_bucket = (per_bucket
-                  .withColumn("__off", F.coalesce(F.sum("__bc").over(
-                      w_groups.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .withColumn("__n", F.sum("__bc").over(w_groups))
-                  .drop("__bc"))
-    ranked = lookup_join(bucketed, per_bucket, by + ["__b"], "left", null_safe=True, materialize=False)
-    w_in = Window.partitionBy(*by, "__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = ranked.withColumn(
-        "__start", F.col("__off") + F.coalesce(F.sum("__c").over(w_in), F.lit(0)))
-
-    aggs = [F.max("__n").alias("n")]
-    for q, name in zip(probs, names):
-        h = (F.col("__n") - 1) * F.lit(float(q))
-        lo, hi = F.floor(h), F.ceil(h)
-        hit_lo = (F.col("__start") <= lo) & (lo < F.col("__start") + F.col("__c"))
-        hit_hi = (F.col("__start") <= hi) & (hi < F.col("__start") + F.col("__c"))
-        aggs += [F.max(F.when(hit_lo, F.col("__x"))).alias(f"__lo_{name}"),
-                 F.max(F.when(hit_hi, F.col("__x"))).alias(f"__hi_{name}"),
-                 F.max(h - lo).alias(f"__d_{name}")]
-    out = ranked.groupBy(*by).agg(*aggs)
-    cols = [F.col(b) for b in by] + [F.col("n").cast("bigint").alias("n")]
-    for name in names:
-        lo_v, hi_v, d = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.col(f"__d_{name}")
-        cols.append((lo_v + d * (hi_v - lo_v)).alias(name))
-    return out.select(*cols)
+    # Groups of few rows are their own bracket: near the ends ranks are too coarse for the sketch.
+    few = F.col("__n") < 8 * accuracy
+    lo = [F.when(few, F.col("__min")).otherwise(F.col("__points")[i]).alias(f"__lo{i}") for i in range(k)]
+    hi = [F.when(few, F.col("__max")).otherwise(F.col("__points")[k + i]).alias(f"__hi{i}") for i in range(k)]
+    brackets = stats.where("__n > 0").select(*by, "__n", *lo, *hi)
+    if by:
+        near = lookup_join(data, brackets, by, "inner", null_safe=True, materialize=False)
+    else:
+        row = brackets.first()  # one row
+        if row is None:
+            return data.sparkSession.createDataFrame([], ", ".join(["n bigint", *[f"{n} double" for n in names]]))
+        near = data.select("*", *[F.lit(row[c]).alias(c) for c in brackets.columns])
+    x = F.col("__x")
+    entries = F.filter(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.when(x >= F.col(f"__lo{i}"), x).alias("key"), (x <= F.col(f"__hi{i}")).alias("in"))
+        for i in range(k)]), lambda e: e["in"])
+    near = near.select(*by, "__n", F.explode(entries).alias("__e"))
+    cell = [*by, "__n", "__i"]
+    inside = near.groupBy(*by, "__n", F.col("__e.i").alias("__i"), F.col("__e.key").alias("__key")).agg(
+        F.count(F.lit(1)).alias("__c"))
+    inside = materialize(inside, "quantile-rows")
+    while (inside.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0) > task_rows + 1:
+        smaller = materialize(_narrowed(inside, cell, probs), "quantile-rows")
+        if smaller.count() == inside.count():
+            break  # single values: nothing left to narrow
+        inside = smaller
+
+    at = Window.partitionBy(*cell).orderBy(F.asc_nulls_first("__key")).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.withColumn("__start", F.coalesce(F.sum("__c").over(at), F.lit(0)))
+    h = _position(probs)
+    first, last = F.col("__start") <= F.floor(h), F.col("__start") <= F.ceil(h)
+    end = F.col("__start") + F.col("__c")
+    in_reach = F.col("__key").isNotNull()
+    picked = ranked.groupBy(*cell).agg(
+        F.max(F.when(in_reach & first & (F.floor(h) < end), F.col("__key"))).alias("__a"),
+        F.max(F.when(in_reach & last & (F.ceil(h) < end), F.col("__key"))).alias("__b"))
+    picked = materialize(picked, "quantile-values")  # a row per group and quantile
+    missed = picked.where(F.col("__a").isNull() | F.col("__b").isNull()).limit(1).count()
+    if missed:
+        return None
+    value = F.col("__a") + (h - F.floor(h)) * (F.col("__b") - F.col("__a"))
+    out = picked.withColumn("__v", value).groupBy(*by, "__n") if by else picked.withColumn("__v", value).groupBy("__n")
+    out = out.agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(nm) for i, nm in enumerate(names)])
+    return out.select(*by, F.col("__n").cast("bigint").alias("n"), *names)
+
+
+def _position(probs: list[float]):
+    return (F.col("__n") - 1) * F.element_at(F.array(*[F.lit(float(q)) for q in probs]), F.col("__i") + 1)
+
+
+def _narrowed(inside: DataFrame, cell: list[str], probs: list[float]) -> DataFrame:
+    """The bracket rows of the equal-width bins that hold the two ranks, and one row for all below."""
+    span = inside.groupBy(*cell).agg(F.min("__key").alias("__l"), F.max("__key").alias("__h"))
+    rows = lookup_join(inside, span, cell, "inner", null_safe=True)
+    bin_ = F.floor((F.col("__key") - F.col("__l")) / (F.col("__h") - F.col("__l")) * BINS)
+    bin_ = F.when(F.col("__key").isNull(), -1).when(F.col("__h") > F.col("__l"), F.least(bin_, F.lit(BINS - 1))).otherwise(0)
+    rows = rows.withColumn("__bin", bin_).drop("__l", "__h")
+    bins = rows.groupBy(*cell, "__bin").agg(F.sum("__c").alias("__in"))
+    at = Window.partitionBy(*cell).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)  # BINS + 1 rows
+    bins = bins.withColumn("__s", F.coalesce(F.sum("__in").over(at), F.lit(0)))
+    h = _position(probs)
+    low, high = F.floor(h), F.ceil(h)
+    end = F.col("__s") + F.col("__in")
+    holds = ((F.col("__s") <= low) & (low < end)) | ((F.col("__s") <= high) & (high < end))
+    bins = bins.where(holds & (F.col("__bin") >= 0))
+    below = bins.groupBy(*cell).agg(F.min("__s").alias("__c")).select(*cell, F.lit(None).cast("double").alias("__key"), "__c")
+    kept = lookup_join(rows, bins.select(*cell, "__bin"), [*cell, "__bin"], "left_semi", null_safe=True)
+    return kept.select(*cell, "__key", "__c").unionByName(below.where("__c > 0"))
 
 
 def approx_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tuple = (),

@@ -7,8 +7,10 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.functions.columns import finite
 from pricelens.functions.joins import bounded_count, lookup_join
-from pricelens.functions.quantiles import approx_quantiles, distinct_counts, exact_quantiles
+from pricelens.functions.quantiles import (approx_quantiles, bracket_aggregates, exact_from_brackets, exact_quantiles,
+                                            finite_values)
 from pricelens.functions.ranking import sorted_rank
 
 # Value-count tables above this many categories are ranked by a distributed sort
@@ -42,13 +44,24 @@ def value_counts(df: DataFrame, columns: list[str], min_count: int = 1) -> DataF
     return out
 
 
-def value_counts_one(df: DataFrame, column: str, min_count: int = 1) -> DataFrame:
-    """``(column, count)`` for one column, nulls excluded; ``min_count`` is a HAVING."""
+def value_counts_one(df: DataFrame, column: str, min_count: int = 1, min_ratio: int = 0,
+                     ordered: bool = False) -> DataFrame:
+    """``(column, count)`` for one column, nulls excluded.
+
+    ``min_count`` is a HAVING; ``min_ratio = K`` keeps values with at least 1/K of the
+    non-null rows (integer test, whatever the table's size); ``ordered`` sorts by
+    descending count, ties by value, as a value count is usually read.
+    """
     out = (df.where(F.col(column).isNotNull()).groupBy(column)
              .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
     if min_count > 1:
         out = out.where(F.col("count") >= min_count)
-    return out
+    if min_ratio > 0:
+        from pricelens.session import materialize
+        out = materialize(out, "value-counts")
+        total = out.agg(F.sum("count")).first()[0] or 0
+        out = out.where(F.col("count") * F.lit(int(min_ratio)) >= F.lit(int(total)))
+    return out.orderBy(F.desc("count"), F.asc(column)) if ordered else out
 
 
 def freq_share(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,7 +75,7 @@ def freq_share(df: DataFrame, columns: list[str]) -> DataFrame:
     from pricelens.session import materialize
     vc = materialize(value_counts(df, columns), "value-counts")
     totals = vc.groupBy("feature").agg(F.sum("count").alias("__total"))
-    vc = lookup_join(vc, totals, ["feature"], "left")
+    vc = lookup_join(vc, totals, ["feature"], "left", small=True)
     vc = vc.withColumn("share", F.col("count") / F.col("__total")).drop("__total")
     order = [F.col("count").desc(), F.col("category").asc()]
     if bounded_count(vc, WINDOW_RANK_LIMIT) is not None:
@@ -82,32 +95,26 @@ def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False,
                      digits: int | None = 2) -> DataFrame:
     """pandas ``describe()``: count, mean, sample std, min, quartiles, max per column.
 
-    Exact mode reads the source ONCE: the melted column is reduced to distinct-value
-    counts (written to the shared folder), and moments and quartiles both come from
-    that table (weighted sums; the sample variance is a second pass over the same
-    small table around its mean). ``approx`` uses one pass of ``percentile_approx``.
+    Exact mode writes the melted finite values once (narrow); moments, extremes and the
+    quantile brackets are one aggregate over them, the quartiles one more pass that moves
+    only the rows inside the brackets. ``approx`` uses one pass of ``percentile_approx``.
     """
+    from pricelens.session import materialize
     long = melt_numeric(df, columns)
+    moments = [F.count("__x").cast("bigint").alias("count"), F.avg("__x").alias("mean"), F.stddev_samp("__x").alias("std"),
+               F.min("__x").alias("min"), F.max("__x").alias("max")]
+    probs, names = [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
     if approx:
-        moments = long.groupBy("variable").agg(
-            F.count("value").cast("bigint").alias("count"), F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-        quant = approx_quantiles(long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q25", "q50", "q75"])
+        data = finite_values(long, "value", ["variable"])
+        base = data.groupBy("variable").agg(*moments)
+        quant = approx_quantiles(data, "__x", probs, by=["variable"], names=names)
     else:
-        counts = distinct_counts(long, "value", ["variable"])
-        x, c = F.col("__x"), F.col("__c")
-        first = counts.groupBy("variable").agg(
-            F.sum(c).cast("bigint").alias("count"), (F.sum(c * x) / F.sum(c)).alias("mean"),
-            F.min(x).alias("min"), F.max(x).alias("max"))
-        spread = lookup_join(counts, first.select("variable", "mean"), ["variable"], "left", materialize=False)
-        var = spread.groupBy("variable").agg(
-            F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("__ss"), F.sum(c).alias("__n"))
-        var = var.select("variable", F.when(F.col("__n") > 1, F.sqrt(F.col("__ss") / (F.col("__n") - 1)))
-                         .alias("std"))
-        moments = lookup_join(first, var, ["variable"], "left", materialize=False)
-        quant = exact_quantiles(None, "value", [0.25, 0.5, 0.75], by=["variable"],
-                                names=["q25", "q50", "q75"], counts=counts)
-    out = lookup_join(moments, quant.drop("n"), ["variable"], "left", materialize=approx)
+        data = materialize(finite_values(long, "value", ["variable"]), "describe-values")
+        base = materialize(data.groupBy("variable").agg(*moments, *bracket_aggregates(probs, 10_000, 4.0)), "describe")
+        quant = (exact_from_brackets(data, base, probs, ["variable"], names)
+                 or exact_quantiles(data, "__x", probs, ["variable"], names))
+    out = lookup_join(base.select("variable", "count", "mean", "std", "min", "max"), quant.drop("n"), ["variable"], "left",
+                      small=True)
     cols = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     r = (lambda c: F.round(F.col(c), digits)) if digits is not None else F.col
     return out.select("variable", "count", *[r(c).alias(c) for c in cols])
@@ -116,7 +123,8 @@ def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False,
 def pearson(df: DataFrame, columns: list[str], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """Pearson r for every pair of columns in ONE aggregate: ``(x, y, r)``."""
     pairs = pairs or list(combinations(columns, 2))
-    exprs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"__r{i}")
+    # A pair counts where both values are finite; ``corr`` itself skips nulls only.
+    exprs = [F.corr(finite(F.col(f"`{a}`")), finite(F.col(f"`{b}`"))).alias(f"__r{i}")
              for i, (a, b) in enumerate(pairs)]
     wide = df.agg(*exprs)
     rows = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"__r{i}").alias("r"))

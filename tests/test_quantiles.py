@@ -16,7 +16,7 @@ def _check(spark, values, groups=None, force_bucketed=False, monkeypatch=None):
         df = spark.createDataFrame([(g, float(v)) for g, v in zip(groups, values)], "g string, x double")
         by = ["g"]
     out = exact_quantiles(df, "x", PROBS, by=by, names=[f"p{i}" for i in range(len(PROBS))],
-                          buckets=4 if force_bucketed else None)
+                          **({"accuracy": 20, "task_rows": 3} if force_bucketed else {}))
     rows = out.collect()
     for r in rows:
         vals = np.array([v for v, g in zip(values, groups or [None] * len(values))
@@ -54,3 +54,18 @@ def test_approx_close(spark):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     r = approx_quantiles(df, "x", [0.5], names=["m"]).first()
     assert abs(r.m - 499.5) <= 2
+
+
+def test_brackets_hold_a_fraction_of_the_rows(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(200_000).select((F.xxhash64("id") / 1e12).alias("x"))
+    values = np.sort(np.array([r.x for r in df.collect()]))
+    r = exact_quantiles(df, "x", [0.25, 0.5, 0.75], names=["a", "b", "c"], accuracy=1000).first()
+    assert np.allclose([r.a, r.b, r.c], np.percentile(values, [25, 50, 75]), rtol=1e-12) and r.n == 200_000
+    r = exact_quantiles(df, "x", [0.25, 0.5, 0.75], names=["a", "b", "c"], accuracy=1000, task_rows=50).first()
+    assert np.allclose([r.a, r.b, r.c], np.percentile(values, [25, 50, 75]), rtol=1e-12)
+
+
+def test_no_finite_value(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "x double")
+    assert exact_quantiles(df, "x", [0.5]).collect() == []
