@@ -6,15 +6,17 @@
   Statistics for all columns come from ONE aggregate over an unpivot, are written to
   the shared folder and stay a DataFrame (never a driver dict); ``transform`` is a
   size-checked lookup join per column, nulls and unseen categories get ``g``.
-* Ordinal codes and one-hot vectors are Spark's ``StringIndexer`` / ``OneHotEncoder``
-  (labels live in the model, so cardinality is checked before fitting).
+* ``CategoryIndexer`` — ordinal codes by frequency or alphabet as a written (feature,
+  category, code) table, joined like the target statistics: no label list on the driver and
+  no limit on the number of categories. One-hot vectors are Spark's ``OneHotEncoder`` over
+  such codes. Codes enter the forest as numbers, as in the reference's pandas recipe.
 """
 
 from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
@@ -22,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.config import ADDITIVE_SMOOTHING, SIGMOID_MIN_SAMPLES_LEAF, ColumnRoles
-from pricelens.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_count, lookup_join
-from pricelens.session import shared_path
+from pricelens.functions.columns import strict_number
+from pricelens.functions.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join, table_bytes
+from pricelens.functions.ranking import sorted_rank
+from pricelens.session import materialize
 
 UNKNOWN = "__unknown__"
 
@@ -36,22 +40,21 @@ class _TargetParams(HasInputCols, HasOutputCols, HasLabelCol):
                           "sigmoid: a category seen once gets the global mean", TypeConverters.toBoolean)
     nullAsCategory = Param(Params._dummy(), "nullAsCategory",
                            "null gets its own statistics instead of the global mean", TypeConverters.toBoolean)
-    maxBroadcastRows = Param(Params._dummy(), "maxBroadcastRows",
-                             "broadcast the statistics of a column up to this many categories",
-                             TypeConverters.toInt)
+    maxBroadcastBytes = Param(Params._dummy(), "maxBroadcastBytes",
+                              "broadcast the statistics up to this many bytes", TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
         self._setDefault(method="additive", smoothing=ADDITIVE_SMOOTHING,
                          minSamplesLeaf=float(SIGMOID_MIN_SAMPLES_LEAF), singleToPrior=True,
-                         nullAsCategory=False, maxBroadcastRows=DEFAULT_MAX_BROADCAST_ROWS)
+                         nullAsCategory=False, maxBroadcastBytes=DEFAULT_MAX_BROADCAST_BYTES)
 
 
 class SmoothedTargetEncoder(Estimator, _TargetParams, MLReadable, MLWritable):
     @keyword_only
     def __init__(self, *, inputCols=None, outputCols=None, labelCol="label", method="additive",
                  smoothing=ADDITIVE_SMOOTHING, minSamplesLeaf=float(SIGMOID_MIN_SAMPLES_LEAF),
-                 singleToPrior=True, nullAsCategory=False, maxBroadcastRows=DEFAULT_MAX_BROADCAST_ROWS):
+                 singleToPrior=True, nullAsCategory=False, maxBroadcastBytes=DEFAULT_MAX_BROADCAST_BYTES):
         super().__init__()
         self._set(**self._input_kwargs)
 
@@ -62,20 +65,15 @@ class SmoothedTargetEncoder(Estimator, _TargetParams, MLReadable, MLWritable):
                   .unpivot(["__y"], cols, "feature", "category"))
         # ONE pass: per-category sums and counts; the global mean is then derived from
         # the (small) statistics of the first column instead of another scan.
-        raw = long.groupBy("feature", "category").agg(
-            F.sum("__y").alias("sum"), F.count("__y").cast("bigint").alias("n"))
-        spark = df.sparkSession
-        raw_path = shared_path(spark, "target-sums")
-        raw.write.mode("overwrite").parquet(raw_path)
-        raw = spark.read.parquet(raw_path)
+        raw = materialize(long.groupBy("feature", "category").agg(
+            F.sum("__y").alias("sum"), F.count("__y").cast("bigint").alias("n")), "target-sums")
         tot = raw.where(F.col("feature") == cols[0]).agg(F.sum("sum"), F.sum("n")).first()
         g = (tot[0] / tot[1]) if tot[1] else None
-        stats = raw.select("feature", "category", (F.col("sum") / F.col("n")).alias("mean"), "n")
-        stats = stats.withColumn("value", self._value(F.col("mean"), F.col("n"), g))
-        path = shared_path(spark, "target-stats")
-        stats.write.mode("overwrite").parquet(path)
-        model = SmoothedTargetEncoderModel(stats=df.sparkSession.read.parquet(path),
-                                           globalMean=g if g is not None else float("nan"))
+        # The value is an expression over the written sums: nothing is written twice.
+        mean = F.col("sum") / F.col("n")
+        stats = raw.select("feature", "category", mean.alias("mean"), "n", self._value(mean, F.col("n"), g).alias("value"))
+        model = SmoothedTargetEncoderModel(stats=stats, globalMean=g if g is not None else float("nan"),
+                                           rows=int(tot[1] or 0), bytes_=table_bytes(raw))
         return self._copyValues(model)
 
     def _value(self, mean, n, g):
@@ -99,37 +97,35 @@ class SmoothedTargetEncoder(Estimator, _TargetParams, MLReadable, MLWritable):
         return DefaultParamsReader(cls)
 
 
+def attach_values(df: DataFrame, values: DataFrame, column: str, out: str, default, small: bool,
+                  rows: int, null_safe: bool = False) -> DataFrame:
+    """``df`` with ``out``: the value of ``column``'s category in ``values`` (``category, value, n``),
+    or ``default``. Beyond the broadcast bound, the salted join with the hot categories (at least
+    1 % of the ``rows`` fitted on) known from ``n``."""
+    keyed = df.withColumn("__cat", F.col(f"`{column}`").cast("string"))
+    lookup = values.select(F.col("category").alias("__cat"), F.col("value").alias(out), "n")
+    hot = None if small else lookup.where(F.col("n") >= max(1, rows // 100)).select("__cat")
+    joined = lookup_join(keyed, lookup.drop("n"), ["__cat"], "left", null_safe=null_safe, hot_keys=hot,
+                         materialize=False, small=small)
+    return joined.withColumn(out, F.coalesce(F.col(f"`{out}`"), default)).drop("__cat")
+
+
 class SmoothedTargetEncoderModel(Model, _TargetParams, MLReadable, MLWritable):
-    def __init__(self, stats: DataFrame | None = None, globalMean: float | None = None):
+    """``rows`` and ``bytes_`` of the statistics are known from the fit, so a transform counts nothing."""
+
+    def __init__(self, stats: DataFrame | None = None, globalMean: float | None = None, rows: int = 0,
+                 bytes_: int = 0):
         super().__init__()
         self.stats = stats
         self.globalMean = globalMean
+        self.rows, self.bytes_ = rows, bytes_
 
     def _transform(self, df: DataFrame) -> DataFrame:
         g = F.lit(self.globalMean).cast("double")
-        limit = self.getOrDefault(self.maxBroadcastRows)
+        small = self.bytes_ <= self.getOrDefault(self.maxBroadcastBytes)
         null_safe = self.getOrDefault(self.nullAsCategory)
-        # The statistics are a written table: one bounded count proves every column's
-        # slice small enough to broadcast; otherwise each column takes the salted join
-        # with its hot categories (>= 1 % of the fitted rows) known from the statistics.
-        small = bounded_count(self.stats, limit) is not None
-        total = None
         for c, out in zip(self.getInputCols(), self.getOutputCols()):
-            s = (self.stats.where(F.col("feature") == c)
-                 .select(F.col("category").alias("__cat"), F.col("value").alias(out), "n"))
-            keyed = df.withColumn("__cat", F.col(c).cast("string"))
-            if small:
-                cond = (F.col("__cat").eqNullSafe(F.col("__scat")) if null_safe
-                        else F.col("__cat") == F.col("__scat"))
-                lk = F.broadcast(s.drop("n").withColumnRenamed("__cat", "__scat"))
-                df = keyed.join(lk, cond, "left").drop("__scat")
-            else:
-                if total is None:
-                    total = self.stats.where(F.col("feature") == c).agg(F.sum("n")).first()[0] or 0
-                hot = s.where(F.col("n") >= F.lit(max(1, int(total * 0.01)))).select("__cat")
-                df = lookup_join(keyed, s.drop("n"), ["__cat"], "left", null_safe=null_safe,
-                                 max_broadcast_rows=limit, hot_keys=hot, materialize=False)
-            df = df.withColumn(out, F.coalesce(F.col(out), g)).drop("__cat")
+            df = attach_values(df, self.stats.where(F.col("feature") == c), c, out, g, small, self.rows, null_safe)
         return df
 
     def write(self):
@@ -151,7 +147,8 @@ class _TargetModelWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession,
-                                         extraMetadata={"globalMean": self.instance.globalMean})
+                                         extraMetadata={"globalMean": self.instance.globalMean, "rows": self.instance.rows,
+                                                        "bytes": self.instance.bytes_})
         self.instance.stats.write.mode("overwrite").parquet(f"{path}/data")
 
 
@@ -164,7 +161,7 @@ class _TargetModelReader(MLReader):
         spark = self.sparkSession
         meta = DefaultParamsReader.loadMetadata(path, spark)
         model = SmoothedTargetEncoderModel(stats=spark.read.parquet(f"{path}/data"),
-                                           globalMean=meta["globalMean"])
+                                           globalMean=meta["globalMean"], rows=meta["rows"], bytes_=meta["bytes"])
         model._resetUid(meta["uid"])
         DefaultParamsReader.getAndSetParams(model, meta)
         return model
@@ -173,54 +170,135 @@ class _TargetModelReader(MLReader):
 # ---------------------------------------------------------------------------
 # Ordinal and one-hot
 # ---------------------------------------------------------------------------
-MAX_LABELS = 10_000
+class _IndexerParams(HasInputCols, HasOutputCols):
+    order = Param(Params._dummy(), "order", "frequency (ties alphabetical) or alphabet", TypeConverters.toString)
+    nominalCols = Param(Params._dummy(), "nominalCols", "inputs whose codes are marked as categories of a known number",
+                        TypeConverters.toListString)
+    maxBroadcastBytes = Param(Params._dummy(), "maxBroadcastBytes",
+                              "broadcast the codes up to this many bytes", TypeConverters.toInt)
 
+    def __init__(self):
+        super().__init__()
+        self._setDefault(order="frequency", nominalCols=[], maxBroadcastBytes=DEFAULT_MAX_BROADCAST_BYTES)
 
-def check_cardinality(df: DataFrame, cols: list[str], max_labels: int = MAX_LABELS) -> dict[str, int]:
-    """Approximate distinct count of each column in ONE pass (HLL, bounded memory).
 
-    Indexers keep their labels in the model on the driver, so columns with more than
-    ``max_labels`` values are refused here (use target encoding for them).
-    """
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    card = {c: int(row[c]) for c in cols}
-    too_wide = {c: n for c, n in card.items() if n > max_labels}
-    if too_wide:
-        raise ValueError(f"too many categories for an indexer: {too_wide}")
-    return card
+class CategoryIndexer(Estimator, _IndexerParams, MLReadable, MLWritable):
+    """Codes 0, 1, ... per column by descending frequency (ties alphabetical) or alphabetically;
+    unknown and null get the code after the last. One counting pass for all columns; the ranks
+    come from a distributed sort, so no column is gathered into one task."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None, order="frequency", nominalCols=(),
+                 maxBroadcastBytes=DEFAULT_MAX_BROADCAST_BYTES):
+        super().__init__()
+        self._set(**{**self._input_kwargs, "nominalCols": list(nominalCols)})
+
+    def _fit(self, df: DataFrame) -> "CategoryIndexerModel":
+        cols = self.getInputCols()
+        long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], cols, "feature", "category")
+        counts = long.where(F.col("category").isNotNull()).groupBy("feature", "category").agg(
+            F.count(F.lit(1)).cast("bigint").alias("n"))
+        if self.getOrDefault(self.order) not in ("frequency", "alphabet"):
+            raise ValueError("order must be frequency or alphabet")
+        by = [F.asc("category")] if self.getOrDefault(self.order) == "alphabet" else [F.desc("n"), F.asc("category")]
+        codes = sorted_rank(counts, by, by=["feature"], name="__rank")
+        codes = materialize(codes.select("feature", "category", "n", (F.col("__rank") - 1).cast("double").alias("value")),
+                            "category-codes")
+        facts = codes.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect()  # a row per column
+        sizes = {c: 0 for c in cols} | {r["feature"]: r["k"] for r in facts}
+        model = CategoryIndexerModel(codes, sizes, max([0, *(r["n"] for r in facts)]), table_bytes(codes))
+        return self._copyValues(model)
+
+    def write(self):
+        return _ParamsOnlyWriter(self)
+
+    @classmethod
+    def read(cls):
+        return DefaultParamsReader(cls)
 
 
-def ordinal_indexer(cols: list[str], order: str = "frequency", suffix: str = "_idx") -> StringIndexer:
+class CategoryIndexerModel(Model, _IndexerParams, MLReadable, MLWritable):
+    def __init__(self, codes: DataFrame | None = None, sizes: dict[str, int] | None = None, rows: int = 0,
+                 bytes_: int = 0):
+        super().__init__()
+        self.codes, self.sizes, self.rows, self.bytes_ = codes, sizes or {}, rows, bytes_
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        small = self.bytes_ <= self.getOrDefault(self.maxBroadcastBytes)
+        for c, out in zip(self.getInputCols(), self.getOutputCols()):
+            unknown = F.lit(float(self.sizes[c]))
+            df = attach_values(df, self.codes.where(F.col("feature") == c), c, out, unknown, small, self.rows)
+            if c in self.getOrDefault(self.nominalCols):
+                attr = {"ml_attr": {"type": "nominal", "name": out, "num_vals": self.sizes[c] + 1}}
+                df = df.withMetadata(out, attr)
+        return df
+
+    def write(self):
+        return _IndexerModelWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _IndexerModelReader(cls)
+
+
+class _IndexerModelWriter(MLWriter):
+    def __init__(self, instance: CategoryIndexerModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        m = self.instance
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession,
+                                         extraMetadata={"sizes": m.sizes, "rows": m.rows, "bytes": m.bytes_})
+        m.codes.write.mode("overwrite").parquet(f"{path}/data")
+
+
+class _IndexerModelReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> CategoryIndexerModel:
+        spark = self.sparkSession
+        meta = DefaultParamsReader.loadMetadata(path, spark)
+        model = CategoryIndexerModel(spark.read.parquet(f"{path}/data"), dict(meta["sizes"]), meta["rows"], meta["bytes"])
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
+
+
+def ordinal_indexer(cols: list[str], order: str = "frequency", suffix: str = "_idx") -> CategoryIndexer:
     """Codes by frequency (ties alphabetical) or alphabetically; unknown/null -> last code."""
-    order_type = {"frequency": "frequencyDesc", "alphabet": "alphabetAsc"}[order]
-    return StringIndexer(inputCols=list(cols), outputCols=[c + suffix for c in cols],
-                         stringOrderType=order_type, handleInvalid="keep")
+    return CategoryIndexer(inputCols=list(cols), outputCols=[c + suffix for c in cols], order=order)
 
 
 def one_hot_stages(cols: list[str], order: str = "frequency") -> list:
     """Index then one-hot with every slot kept plus ONE slot for unknown/null.
 
-    The indexer already maps unknown/null to code ``numLabels`` (``keep``), so the
-    encoder must not add a second unknown slot: width = labels + 1.
+    The indexer maps unknown/null to code ``numLabels`` and declares ``labels + 1``
+    categories, so the encoder must not add a second unknown slot: width = labels + 1.
     """
-    idx = ordinal_indexer(cols, order, suffix="_ohidx")
-    enc = OneHotEncoder(inputCols=[c + "_ohidx" for c in cols], outputCols=[c + "_vec" for c in cols],
-                        dropLast=False, handleInvalid="error")
-    return [idx, enc]
+    idx = CategoryIndexer(inputCols=list(cols), outputCols=[c + "_ohidx" for c in cols], order=order, nominalCols=cols)
+    return [idx, _one_hot(cols)]
 
 
-def one_hot_wide(df: DataFrame, cols: list[str], labels: dict[str, list[str]] | None = None,
-                 max_labels: int = MAX_LABELS) -> DataFrame:
+def _one_hot(cols: list[str] | tuple) -> OneHotEncoder:
+    return OneHotEncoder(inputCols=[c + "_ohidx" for c in cols], outputCols=[c + "_vec" for c in cols],
+                         dropLast=False, handleInvalid="error")
+
+
+def one_hot_wide(df: DataFrame, cols: list[str], labels: dict[str, list[str]] | None = None) -> DataFrame:
     """Wide 0/1 columns named ``<col>_<value>`` (categories sorted), dropping ``cols``.
 
-    Labels are learned with an alphabetical indexer (one pass for all columns) unless
-    given; null/unknown rows get 0 in every column.
+    A table's columns are named on the driver, so the labels are collected: as many as the
+    result has columns. For wide categories use the vectors of ``one_hot_stages``.
+    Null/unknown rows get 0 in every column.
     """
     if labels is None:
-        check_cardinality(df, cols, max_labels)
-        m = StringIndexer(inputCols=list(cols), outputCols=[f"__{c}" for c in cols],
-                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-        labels = dict(zip(cols, m.labelsArray))
+        long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "category")
+        labels = {c: [] for c in cols}
+        for r in long.where(F.col("category").isNotNull()).distinct().orderBy("feature", "category").collect():
+            labels[r["feature"]].append(r["category"])
     new = {}
     for c in cols:
         for v in labels[c]:
@@ -233,7 +311,7 @@ def one_hot_wide(df: DataFrame, cols: list[str], labels: dict[str, list[str]] |
 # ---------------------------------------------------------------------------
 def add_label(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     """``log10(price)`` label; non-positive or null prices give null (never -inf)."""
-    p = F.col(roles.label).cast("double")
+    p = strict_number(roles.label)
     return df.withColumn(roles.label_col, F.when(p > 0, F.log10(p)))
 
 
@@ -243,7 +321,7 @@ def label_split(df: DataFrame, roles: ColumnRoles):
     A zero, negative, null or non-numeric price has no logarithm: such rows are kept
     out of training and reported instead of turning into -inf or disappearing.
     """
-    p = F.expr(f"try_cast(`{roles.label}` AS DOUBLE)")
+    p = strict_number(roles.label)
     tagged = df.withColumn(roles.label_col, F.when(p > 0, F.log10(p)))
     reason = (F.when(F.col(roles.label).isNull(), F.lit("price:missing"))
                .when(p.isNull(), F.lit("price:not_numeric"))
@@ -264,14 +342,12 @@ def feature_pipeline(roles: ColumnRoles, method: str = "additive", smoothing: fl
     te = SmoothedTargetEncoder(inputCols=list(roles.target), outputCols=[c + "_te" for c in roles.target],
                                labelCol=roles.label_col, method=method, smoothing=smoothing,
                                minSamplesLeaf=float(min_samples_leaf))
-    if ordinal_order == "frequency":
-        # One indexer (one counting pass) for the ordinal and the one-hot columns.
-        idx = StringIndexer(inputCols=list(roles.ordinal) + list(roles.onehot),
-                            outputCols=[c + "_idx" for c in roles.ordinal] + [c + "_ohidx" for c in roles.onehot],
-                            stringOrderType="frequencyDesc", handleInvalid="keep")
-        stages = [idx, one_hot_stages(list(roles.onehot))[1]]
-    else:
-        stages = [ordinal_indexer(list(roles.ordinal), ordinal_order)] + one_hot_stages(list(roles.onehot))
+    # One indexer (one counting pass, one sort) for the ordinal and the one-hot columns.
+    coded = list(roles.ordinal) + list(roles.onehot)
+    stages = [CategoryIndexer(inputCols=coded, order=ordinal_order, nominalCols=list(roles.onehot),
+                              outputCols=[c + "_idx" for c in roles.ordinal] + [c + "_ohidx" for c in roles.onehot])
+              ] if coded else []
+    stages += [_one_hot(roles.onehot)] if roles.onehot else []
     stages += [te, VectorAssembler(inputCols=feature_columns(roles), outputCol=features_col,
                                    handleInvalid="keep")]
     return Pipeline(stages=stages)
@@ -287,34 +363,28 @@ def _all_stages(model) -> list:
 def encoding_map(model, spark: SparkSession | None = None) -> DataFrame:
     """Long ``(kind, feature, category, value)`` table of every fitted encoder.
 
-    Target statistics stay distributed; indexer labels are already on the driver
-    (bounded by ``check_cardinality``). The unknown/null slot of each indexer is
-    listed explicitly as ``__unknown__``. A ``global_mean`` row carries the prior.
+    Target statistics and category codes stay distributed. The unknown/null slot of each
+    indexer is listed explicitly as ``__unknown__``. A ``global_mean`` row carries the prior.
     """
-    parts = []
-    rows = []
+    parts, rows = [], []
     for st in _all_stages(model):
         if isinstance(st, SmoothedTargetEncoderModel):
             spark = spark or st.stats.sparkSession
             parts.append(st.stats.select(F.lit("target").alias("kind"), "feature", "category", "value"))
             rows.append(("global_mean", st.getLabelCol(), None, float(st.globalMean)))
-        elif isinstance(st, StringIndexerModel):
-            for col, out, labels in zip(st.getInputCols(), st.getOutputCols(), st.labelsArray):
-                kind = "onehot" if out.endswith("_ohidx") else "ordinal"
-                rows += [(kind, col, lab, float(i)) for i, lab in enumerate(labels)]
-                rows.append((kind, col, UNKNOWN, float(len(labels))))
+        elif isinstance(st, CategoryIndexerModel):
+            nominal = st.getOrDefault(st.nominalCols)
+            kind = F.when(F.col("feature").isin(nominal), "onehot").otherwise("ordinal") if nominal else F.lit("ordinal")
+            parts.append(st.codes.select(kind.alias("kind"), "feature", "category", "value"))
+            rows += [("onehot" if c in nominal else "ordinal", c, UNKNOWN, float(st.sizes[c])) for c in st.getInputCols()]
     spark = spark or SparkSession.active()
-    small = spark.createDataFrame(rows, "kind string, feature string, category string, value double")
-    out = small
+    out = spark.createDataFrame(rows, "kind string, feature string, category string, value double")
     for p in parts:
         out = out.unionByName(p)
     return out
 
 
-def max_bins_for(model, floor: int = 32) -> int:
-    """Forest ``maxBins`` must cover the widest categorical (indexed) feature."""
-    widest = 0
-    for st in _all_stages(model):
-        if isinstance(st, StringIndexerModel):
-            widest = max([widest] + [len(lab) + 1 for lab in st.labelsArray])
-    return max(floor, widest)
+def one_hot_widths(model) -> dict[str, int]:
+    """Slots of each one-hot column: its categories and the unknown one."""
+    return {c: st.sizes[c] + 1 for st in _all_stages(model)
+            if isinstance(st, CategoryIndexerModel) for c in st.getOrDefault(st.nominalCols)}

@@ -65,11 +65,37 @@ def test_unseen_and_roundtrip(spark, scratch):
 def test_ordinal_orders_and_unknown(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "o string")
     freq = encode.ordinal_indexer(["o"], "frequency").fit(df)
-    assert freq.labelsArray[0] == ["a", "b", "c"]  # ties broken alphabetically
+    codes = lambda m: {r.category: r.value for r in m.codes.collect()}
+    assert codes(freq) == {"a": 0.0, "b": 1.0, "c": 2.0}  # ties broken alphabetically
     alpha = encode.ordinal_indexer(["o"], "alphabet").fit(df)
-    assert alpha.labelsArray[0] == ["a", "b", "c"]
+    assert codes(alpha) == {"a": 0.0, "b": 1.0, "c": 2.0}
     out = {r.o: r.o_idx for r in freq.transform(df).collect()}
     assert out[None] == 3.0  # null -> unknown code = numLabels
+    more = spark.createDataFrame([("z",), ("y",), ("z",)], "o string")
+    assert codes(encode.ordinal_indexer(["o"], "alphabet").fit(more)) == {"y": 0.0, "z": 1.0}
+
+
+def test_indexers_take_any_number_of_labels(spark):
+    from pricelens.config import ColumnRoles
+    df = spark.range(40_000).selectExpr("concat('v', id % 20000) AS wide", "concat('w', id % 20000) AS hot", "1.0D AS n",
+                                        "10.0D + id % 10 AS price")
+    roles = ColumnRoles(target=(), ordinal=("wide",), onehot=("hot",), numeric=("n",), label="price")
+    df = encode.add_label(df, roles)
+    pipeline = Pipeline(stages=encode.feature_pipeline(roles).getStages()[:2])  # no target columns here
+    m = pipeline.fit(df)
+    row = m.transform(df.where("wide = 'v777'")).first()
+    order = sorted(f"v{i}" for i in range(20_000))  # equal counts: alphabetical
+    assert row.wide_idx == order.index("v777") and row.hot_vec.size == 20_001
+    assert encode.one_hot_widths(m) == {"hot": 20_001}
+
+
+def test_large_tables_take_the_join_without_broadcast(spark):
+    df = _data(spark)
+    te = encode.SmoothedTargetEncoder(inputCols=["cat"], outputCols=["cat_te"], labelCol="y")
+    idx = encode.CategoryIndexer(inputCols=["cat"], outputCols=["cat_ix"])
+    one = Pipeline(stages=[te, idx]).fit(df).transform(df)
+    two = Pipeline(stages=[te.copy({te.maxBroadcastBytes: 0}), idx.copy({idx.maxBroadcastBytes: 0})]).fit(df).transform(df)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
 def test_one_hot_width_and_wide(spark):
