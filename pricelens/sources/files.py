@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.config import CAR_DROPPED, CAR_ROLES, ColumnRoles
+from pricelens.functions.columns import strict_number
 
 
 def read_listings_csv(spark: SparkSession, path: str, roles: ColumnRoles = CAR_ROLES,
                       schema: T.StructType | None = None,
                       ignore: list[str] | tuple[str, ...] = tuple(CAR_DROPPED),
-                      infer: bool = False) -> DataFrame:
+                      infer: bool = False, parse: bool = True) -> DataFrame:
     """Read a listing CSV with a header row and drop the index / unused columns.
 
     With ``schema`` the file is read without inference. Otherwise every column is read
-    as text (no inference job over the data) and the numeric roles are converted with
-    ``try_cast``, so a malformed number becomes null instead of failing the job under
-    ANSI mode. ``infer=True`` reproduces ``inferSchema`` exactly.
+    as text (no inference job over the data) and the numeric roles become finite doubles
+    (``strict_number``), so a malformed number, ``NaN`` or an infinity becomes null
+    instead of failing the job under ANSI mode. ``parse=False`` keeps the text, for a
+    validator that reports what was wrong. ``infer=True`` reproduces ``inferSchema`` exactly.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
@@ -27,14 +29,18 @@ def read_listings_csv(spark: SparkSession, path: str, roles: ColumnRoles = CAR_R
         df = reader.option("inferSchema", True).csv(path)
     else:
         df = reader.csv(path)
-        numeric = set(roles.numeric) | {roles.label}
-        df = df.select(*[
-            F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) if c in numeric else F.col(f"`{c}`")
-            for c in df.columns])
+        if parse:
+            df = parse_numbers(df, roles)
     present = [c for c in ignore if c in df.columns]
     return df.drop(*present)
 
 
+def parse_numbers(df: DataFrame, roles: ColumnRoles) -> DataFrame:
+    """The numeric roles and the label as finite doubles; text that is no number becomes null."""
+    numeric = set(roles.numeric) | {roles.label}
+    return df.select(*[strict_number(c).alias(c) if c in numeric else F.col(f"`{c}`") for c in df.columns])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Distributed sink (parquet/csv/json/orc); every task writes its own file."""
@@ -51,25 +57,40 @@ def write_lines(df: DataFrame, column: str, path: str, mode: str = "overwrite")
     df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def write_encoding_map(encoding_map: DataFrame, path: str, nested: bool = False,
-                       max_categories: int = 100_000) -> None:
-    """Write the long ``(kind, feature, category, value)`` map as JSON lines.
+NULL_CATEGORY = "__null__"
+
+
+def nested_encoding_map(encoding_map: DataFrame, entries: int = 10_000) -> DataFrame:
+    """``(kind, feature, part, mapping)``: the map as ``{category: value}`` objects.
 
-    ``nested=True`` writes one JSON object per (kind, feature) with a
-    ``{category: value}`` map, the layout of the training job's mapping file. Each
-    object is built by one task, so it is refused above ``max_categories`` entries.
+    A feature has one object per about ``entries`` categories (dealt by hash), so none
+    is built from an unbounded group and no width is refused; a reader merges the parts.
+    The null category has the key ``__null__``; the prior is an object of its own, kind
+    ``global_mean``, with the label's name as key.
     """
-    if not nested:
-        encoding_map.write.mode("overwrite").json(path)
-        return
-    widest = (encoding_map.groupBy("kind", "feature").count()
-              .agg(F.max("count")).first()[0] or 0)
-    if widest > max_categories:
-        raise ValueError(f"feature with {widest} categories exceeds max_categories={max_categories}")
-    nested_df = (encoding_map.where(F.col("category").isNotNull())
-                 .groupBy("kind", "feature")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("category", "value"))).alias("mapping")))
-    nested_df.write.mode("overwrite").json(path)
+    key = F.when(F.col("kind") == "global_mean", F.col("feature")).otherwise(
+        F.coalesce(F.col("category"), F.lit(NULL_CATEGORY)))
+    keyed = encoding_map.select("kind", "feature", key.alias("__key"), "value")
+    parts = keyed.groupBy("kind", "feature").agg(  # one row per feature
+        F.ceil(F.count(F.lit(1)) / F.lit(entries)).cast("int").alias("__parts"))
+    keyed = keyed.join(F.broadcast(parts), ["kind", "feature"])
+    keyed = keyed.withColumn("part", F.pmod(F.xxhash64("__key"), F.col("__parts")).cast("int"))
+    return keyed.groupBy("kind", "feature", "part").agg(
+        F.map_from_entries(F.collect_list(F.struct("__key", "value"))).alias("mapping"))
+
+
+def write_encoding_map(encoding_map: DataFrame, path: str, nested: bool = False,
+                       entries: int = 10_000) -> None:
+    """Write the long ``(kind, feature, category, value)`` map as JSON lines, or with
+    ``nested=True`` its ``nested_encoding_map``, the layout of the training job's mapping file."""
+    out = nested_encoding_map(encoding_map, entries) if nested else encoding_map
+    out.write.mode("overwrite").json(path)
+
+
+def read_nested_encoding_map(spark: SparkSession, path: str) -> DataFrame:
+    """The nested file as ``(kind, feature, key, value)`` rows."""
+    schema = "kind string, feature string, part int, mapping map<string,double>"
+    return spark.read.schema(schema).json(path).select("kind", "feature", F.explode("mapping").alias("key", "value"))
 
 
 def read_encoding_map(spark: SparkSession, path: str) -> DataFrame:

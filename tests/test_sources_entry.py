@@ -1,7 +1,8 @@
 import json
 import os
 
-from pricelens.sources.files import read_encoding_map, read_listings_csv, write_encoding_map, write_lines
+from pricelens.sources.files import (read_encoding_map, read_listings_csv, read_nested_encoding_map,
+                                     write_encoding_map, write_lines)
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,7 +38,21 @@ def test_text_and_map_sinks(spark, scratch):
     p2 = os.path.join(scratch, "map-nested")
     write_encoding_map(em, p2, nested=True)
     docs = [json.loads(r.value) for r in spark.read.text(p2).collect()]
-    assert {"kind": "target", "feature": "c", "mapping": {"a": 1.5, "b": 2.5}} in docs
+    assert {"kind": "target", "feature": "c", "part": 0, "mapping": {"a": 1.5, "b": 2.5}} in docs
+    assert {"kind": "global_mean", "feature": "y", "part": 0, "mapping": {"y": 2.0}} in docs
+
+
+def test_nested_map_of_any_width_with_null_entry(spark, scratch):
+    wide = spark.range(25_000).selectExpr("'target' AS kind", "'c' AS feature", "concat('v', id) AS category", "double(id) AS value")
+    em = wide.unionByName(spark.createDataFrame([("target", "c", None, 7.0), ("global_mean", "y", None, 2.0)],
+                                                "kind string, feature string, category string, value double"))
+    path = os.path.join(scratch, "map-wide")
+    write_encoding_map(em, path, nested=True, entries=4000)
+    parts = [json.loads(r.value) for r in spark.read.text(path).collect()]
+    assert len(parts) == 8 and max(len(p["mapping"]) for p in parts) < 6000
+    back = {(r.kind, r.key): r.value for r in read_nested_encoding_map(spark, path).collect()}
+    assert len(back) == 25_002 and back["target", "__null__"] == 7.0 and back["global_mean", "y"] == 2.0
+    assert back["target", "v24999"] == 24999.0
 
 
 def test_entry_and_contract(spark):
