@@ -46,12 +46,32 @@ def as_float32(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float") for c in columns})
 
 
-def hash_percent(*cols: str) -> Column:
-    """A stable 0..99 bucket from the row key (same rows in any engine or partitioning).
+HASH_RANGE = 1 << 32
 
-    ``md5`` of the '-'-joined key text, first 8 hex digits read as an integer, mod 100.
-    Only integer and string key columns should be used: the text of a double may differ
+
+def key_hash(*cols: str) -> Column:
+    """A stable integer in 0..2^32-1 from the row key (same in any engine or partitioning).
+
+    ``md5`` of the '-'-joined key text, first 8 hex digits read as an integer. Only
+    integer and string key columns should be used: the text of a double may differ
     between engines.
     """
     txt = F.concat_ws("-", *[F.col(c).cast("string") for c in cols])
-    return F.pmod(F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("bigint"), F.lit(100))
+    return F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("bigint")
+
+
+# Text of a number as a form accepts it: no ``NaN``, no ``Infinity``, no type suffix such as ``1d``.
+NUMBER_PATTERN = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def strict_number(c: Column | str) -> Column:
+    """A finite double from a column of any type, else null (``abc``, ``1d``, NaN, infinity)."""
+    c = F.col(f"`{c}`") if isinstance(c, str) else c
+    text = F.trim(c.cast("string"))
+    return finite(F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")))
+
+
+def finite(c: Column | str) -> Column:
+    """The value as a double; null for NaN and infinity, which summaries leave out."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(F.abs(x) < float("inf"), x)

@@ -15,7 +15,21 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+#: A table is broadcast up to this many bytes of values (about a third of what its hash table takes).
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of the table's values, exactly counted in one distributed aggregate: text by its
+    length, 8 bytes for other types, 8 more per row."""
+    size = F.lit(8)
+    for name, kind in df.dtypes:
+        size = size + (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 8 if kind == "string" else F.lit(8))
+    return int(df.agg(F.sum(size.cast("long"))).first()[0] or 0)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return table_bytes(df) <= max_bytes
 
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:
@@ -42,17 +56,19 @@ def _cond(keys: list[str], null_safe: bool, prefix: str) -> Column:
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str] | str, how: str = "left",
-                null_safe: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                null_safe: bool = False, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                 hot_keys: DataFrame | None = None, hot_fraction: float = 0.01,
-                salt_buckets: int = 32, materialize: bool = True) -> DataFrame:
+                salt_buckets: int = 32, materialize: bool = True, small: bool | None = None) -> DataFrame:
     """Join ``lookup`` (one row per key) onto ``df``; how in left, inner, left_semi, left_anti.
 
     ``materialize`` writes the lookup side once to the shared checkpoint folder (lineage
     cut, and the size check does not recompute it); pass False when ``lookup`` is
-    already a written table.
+    already a written table. ``small`` says that the lookup is small by construction (one
+    row, one row per column, one per group of a summary) or known to be, or that it is not,
+    and saves the size check.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if materialize:
+    if materialize and not small:
         from pricelens.session import materialize as write_shared
         lookup = write_shared(lookup, "lookup")
     if how not in ("left", "inner", "left_semi", "left_anti"):
@@ -62,7 +78,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str] | str, how: st
                        F.lit(True).alias("__m"))
     key_alias = [f"__k{i}" for i in range(len(keys))]
 
-    if bounded_count(lookup, max_broadcast_rows) is not None:
+    if small if small is not None else fits_broadcast(lookup, max_broadcast_bytes):
         out = df.join(F.broadcast(lk), _cond(keys, null_safe, "__k"),
                       "left" if how in ("left", "left_semi", "left_anti") else "inner")
         return _finish(out.drop(*key_alias), df.columns, vals, how)
@@ -74,11 +90,14 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str] | str, how: st
         hot_keys = (df.groupBy(*keys).count().where(F.col("count") >= floor).select(*keys))
     limit = int(math.ceil(1.0 / hot_fraction)) + 1
     from pricelens.session import materialize as write_shared
-    hot_keys = write_shared(hot_keys.select(*keys), "hot-keys")  # counted, then joined: compute once
-    if bounded_count(hot_keys, limit) is None:
-        raise ValueError("hot key table is larger than 1/hot_fraction rows")
+    # More keys than can be hot (a caller's list): any of them will do, the rest stay in the
+    # shuffle join, where AQE splits skewed partitions.
+    hot_keys = write_shared(hot_keys.select(*keys).distinct().limit(limit), "hot-keys")
     hk = hot_keys.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]).distinct()
-    hot_lk = (hk.join(lk, _cond_pairs([f"__h{i}" for i in range(len(keys))], key_alias, null_safe), "left")
+    # Inner, then the few keys without a match: a left join could not broadcast its small left side.
+    pairs = _cond_pairs([f"__h{i}" for i in range(len(keys))], key_alias, null_safe)
+    found = write_shared(lk.join(F.broadcast(hk), pairs), "hot-rows")  # at most ``limit`` rows
+    hot_lk = (hk.join(F.broadcast(found.drop(*[f"__h{i}" for i in range(len(keys))])), pairs, "left")
                 .select(*[F.col(f"__h{i}") for i in range(len(keys))],
                         *[F.col(v).alias(f"__hv_{v}") for v in vals],
                         F.col("__m").alias("__hm"), F.lit(True).alias("__hot")))

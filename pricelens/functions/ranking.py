@@ -35,7 +35,7 @@ def sorted_rank(df: DataFrame, order: list[Column], by: list[str] | tuple = (),
         "__off", F.coalesce(F.sum("__pc").over(
             Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).drop("__pc")
-    s = lookup_join(s, offsets, ["__pid"], "left", materialize=True)
+    s = lookup_join(s, offsets, ["__pid"], "left", small=True)
     s = s.withColumn("__idx", F.col("__off") + F.col("__pos"))
     if by:
         firsts = s.groupBy(*by).agg(F.min("__idx").alias("__first"))

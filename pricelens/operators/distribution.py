@@ -12,17 +12,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.functions.columns import finite
 from pricelens.functions.joins import lookup_join
 from pricelens.functions.kernels import kernel_partial_sums
-from pricelens.functions.quantiles import approx_quantiles, distinct_counts, exact_quantiles
+from pricelens.functions.quantiles import approx_quantiles, exact_quantiles
 from pricelens.operators.profile import melt_numeric
+from pricelens.session import materialize
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
 def _finite(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
-    x = F.col(value).cast("double")
-    return df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    """Rows with a finite value: nulls, NaN and infinities have no place on an axis."""
+    return df.select(*by, finite(value).alias("__x")).where(F.col("__x").isNotNull())
 
 
 def with_numpy_bin(df: DataFrame, x: str, lo: float, hi: float, bins: int, out: str = "bin") -> DataFrame:
@@ -76,14 +78,14 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 
 
 def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: int = 200,
-            cut: float = 0.0, bw_adjust: float = 1.0, binned: bool = False,
+            cut: float = 0.0, bw_adjust: float = 1.0, binned: bool = True,
             bins: int = 2048) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth ``std * n^(-1/5)`` on a grid.
 
     The grid runs from ``min - cut*bw`` to ``max + cut*bw`` (``cut=0``: histogram
-    overlay; ``cut=2``, 100 points: violin). ``binned=True`` first reduces each group to
+    overlay; ``cut=2``, 100 points: violin). By default each group is first reduced to
     ``bins`` weighted bin centres (error below ``bin width / 2`` in x), so the kernel
-    work is ``bins x grid`` per group instead of ``rows x grid``. Output:
+    work is ``bins x grid`` per group; ``binned=False`` evaluates every row. Output:
     ``by..., k, x, density, n, bw``; a group with zero spread has no density rows.
     """
     by = list(by)
@@ -134,43 +136,40 @@ def box_stats(df: DataFrame, columns: list[str], whis: float = 1.5, approx: bool
     """Box-plot statistics per variable: quartiles, IQR, whiskers at the last datum
     inside ``whis * IQR``, and the number of outliers beyond the whiskers.
 
-    Quartiles and whiskers are both computed from the distinct-value counts, so the
-    source is scanned once.
+    The melted columns are written once (narrow); the quartiles read them twice and the
+    whiskers once, each time with one small aggregate.
     """
-    long = melt_numeric(df, columns)
-    counts = distinct_counts(long, "value", ["variable"])
-    if approx:
-        q = approx_quantiles(long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q1", "median", "q3"])
-    else:
-        q = exact_quantiles(None, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q1", "median", "q3"],
-                            counts=counts)
+    long = materialize(melt_numeric(df, columns).withColumn("value", finite("value")).where(F.col("value").isNotNull()),
+                       "box-values")
+    q = (approx_quantiles if approx else exact_quantiles)(
+        long, "value", [0.25, 0.5, 0.75], by=["variable"], names=["q1", "median", "q3"])
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_lim", F.col("q1") - F.lit(whis) * F.col("iqr"))
           .withColumn("hi_lim", F.col("q3") + F.lit(whis) * F.col("iqr")))
-    q = q.checkpoint(eager=True)
-    tagged = lookup_join(counts, q.select("variable", "lo_lim", "hi_lim"), ["variable"], "left",
-                         materialize=False)
-    v, lo, hi = F.col("__x"), F.col("lo_lim"), F.col("hi_lim")
+    tagged = lookup_join(long, q.select("variable", "lo_lim", "hi_lim"), ["variable"], "inner", small=True)
+    v, lo, hi = F.col("value"), F.col("lo_lim"), F.col("hi_lim")
     whisk = tagged.groupBy("variable").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"), F.max(F.when(v <= hi, v)).alias("whisker_hi"),
-        F.sum(F.when((v < lo) | (v > hi), F.col("__c")).otherwise(0)).cast("bigint").alias("n_outliers"))
-    out = lookup_join(q, whisk, ["variable"], "left", materialize=False)
+        F.sum(F.when((v < lo) | (v > hi), 1).otherwise(0)).cast("bigint").alias("n_outliers"))
+    out = lookup_join(q, whisk, ["variable"], "left", small=True)
     return out.select("variable", "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers")
 
 
 def box_outliers(df: DataFrame, columns: list[str], whis: float = 1.5) -> DataFrame:
     """Every outlier point ``(variable, value)`` of the box plot (no cap: distributed)."""
-    long = melt_numeric(df, columns).where(F.col("value").isNotNull())
+    long = materialize(melt_numeric(df, columns).withColumn("value", finite("value")).where(F.col("value").isNotNull()),
+                       "box-values")
     q = exact_quantiles(long, "value", [0.25, 0.75], by=["variable"], names=["q1", "q3"])
     q = q.select("variable", (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("lo_lim"),
                  (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("hi_lim"))
-    tagged = lookup_join(long, q, ["variable"], "inner")
+    tagged = lookup_join(long, q, ["variable"], "inner", small=True)
     return tagged.where((F.col("value") < F.col("lo_lim")) | (F.col("value") > F.col("hi_lim"))) \
                  .select("variable", "value")
 
 
 def violin_quartiles(df: DataFrame, by: str, value: str, approx: bool = False) -> DataFrame:
     """Quartile lines of a violin per group (``inner='quartile'``)."""
+    df = df if approx else materialize(df.select(by, value), "violin-values")
     return (approx_quantiles if approx else exact_quantiles)(
         df, value, [0.25, 0.5, 0.75], by=[by], names=["q1", "median", "q3"])
 
@@ -191,7 +190,7 @@ def regression(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     grouped aggregate of the native ``regr_*`` functions follows (partial + final), so
     the aggregation buffer stays small whatever the number of x columns.
     """
-    long = (df.select(F.col(y).cast("double").alias("__y"), *[F.col(x).cast("double").alias(x) for x in xs])
+    long = (df.select(finite(F.col(f"`{y}`")).alias("__y"), *[finite(F.col(f"`{x}`")).alias(x) for x in xs])
               .unpivot(["__y"], list(xs), "x", "__xv"))
     xv, yv = F.col("__xv"), F.col("__y")
     out = long.groupBy("x").agg(
@@ -223,14 +222,34 @@ def _inverse_normal(p: float) -> float:
     return (((((a[0]*r+a[1])*r+a[2])*r+a[3])*r+a[4])*r+a[5])*q / (((((b[0]*r+b[1])*r+b[2])*r+b[3])*r+b[4])*r+1)
 
 
-def t_quantile(z: float, nu: Column) -> Column:
-    """Student-t quantile from the normal quantile ``z`` (Cornish-Fisher series in 1/nu)."""
-    g1 = (z**3 + z) / 4
-    g2 = (5*z**5 + 16*z**3 + 3*z) / 96
-    g3 = (3*z**7 + 19*z**5 + 17*z**3 - 15*z) / 384
-    g4 = (79*z**9 + 776*z**7 + 1482*z**5 - 1920*z**3 - 945*z) / 92160
-    return (F.lit(z) + F.lit(g1) / nu + F.lit(g2) / F.pow(nu, 2) + F.lit(g3) / F.pow(nu, 3)
-            + F.lit(g4) / F.pow(nu, 4))
+def t_quantile(p: float, nu: Column) -> Column:
+    """Student-t quantile at ``p`` (0.5 < p < 1) for ``nu`` degrees of freedom.
+
+    Exact for 1 and 2. Beyond, the asymptotic expansion of Hill (1970) for the two-tailed
+    probability, whose relative error is about 1e-5 at 3 and falls with ``nu``.
+    """
+    tail = 2.0 * (1.0 - p)
+    one = math.tan(math.pi * (p - 0.5))
+    two = (2.0 * p - 1.0) * math.sqrt(2.0 / (4.0 * p * (1.0 - p)))
+    n = nu
+    a = F.lit(1.0) / (n - 0.5)
+    b = F.lit(48.0) / (a * a)
+    c = ((F.lit(20700.0) * a / b - 98.0) * a - 16.0) * a + 96.36
+    d = ((F.lit(94.5) / (b + c) - 3.0) / b + 1.0) * F.sqrt(a * (math.pi / 2.0)) * n
+    y = F.pow(d * tail, F.lit(2.0) / n)
+    # Centre: a correction of the normal quantile.
+    x = F.lit(_inverse_normal(tail / 2.0))
+    c_few = F.when(n < 5, c + (n - 4.5) * 0.3 * (x + 0.6)).otherwise(c)
+    c_mid = (((d * 0.05 * x - 5.0) * x - 7.0) * x - 2.0) * x + b + c_few
+    sq = x * x
+    mid = (((((sq * 0.4 + 6.3) * sq + 36.0) * sq + 94.5) / c_mid - sq - 3.0) / b + 1.0) * x
+    mid = a * mid * mid
+    mid = F.when(mid > 0.002, F.exp(mid) - 1.0).otherwise(mid * mid * 0.5 + mid)
+    # Far tail: a power of the tail probability.
+    far = (((F.lit(1.0) / (((n + 6.0) / (n * y) - d * 0.089 - 0.822) * (n + 2.0) * 3.0) + F.lit(0.5) / (n + 4.0)) * y - 1.0)
+           * (n + 1.0) / (n + 2.0) + F.lit(1.0) / y)
+    return (F.when(n == 1, F.lit(one)).when(n == 2, F.lit(two))
+            .otherwise(F.sqrt(n * F.when(y > a + 0.05, mid).otherwise(far))))
 
 
 def regression_band(df: DataFrame, xs: list[str], y: str, level: float = 0.95,
@@ -240,11 +259,10 @@ def regression_band(df: DataFrame, xs: list[str], y: str, level: float = 0.95,
     ``fit ± t(level, n-2) * s * sqrt(1/n + (x0 - mean x)^2 / Sxx)``, ``s^2 = SSE/(n-2)``.
     The plotting library bootstraps this band; the closed form is what it estimates.
     """
-    z = _inverse_normal(0.5 + level / 2.0)
     st = regression(df, xs, y).where(F.col("n") > 2)
     nu = (F.col("n") - 2).cast("double")
     sse = F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(0.0))
-    st = (st.withColumn("s", F.sqrt(sse / nu)).withColumn("t", t_quantile(z, nu))
+    st = (st.withColumn("s", F.sqrt(sse / nu)).withColumn("t", t_quantile(0.5 + level / 2.0, nu))
             .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1)))))
     x0 = F.col("min_x") + F.col("k").cast("double") * (F.col("max_x") - F.col("min_x")) / F.lit(float(grid_size - 1))
     st = st.withColumn("x0", x0)
@@ -256,7 +274,7 @@ def regression_band(df: DataFrame, xs: list[str], y: str, level: float = 0.95,
 
 def bins2d(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """Counts on a ``bins x bins`` grid over the data range (non-empty cells only)."""
-    data = df.select(F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")) \
+    data = df.select(finite(F.col(f"`{x}`")).alias("__x"), finite(F.col(f"`{y}`")).alias("__y")) \
              .where(F.col("__x").isNotNull() & F.col("__y").isNotNull())
     x0, x1, y0, y1 = data.agg(F.min("__x"), F.max("__x"), F.min("__y"), F.max("__y")).first()
 

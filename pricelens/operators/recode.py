@@ -11,14 +11,15 @@ from pricelens.operators.profile import value_counts_one
 
 
 def group_rare(df: DataFrame, column: str, min_count: int = RARE_THRESHOLD, other: str = "Other",
-               out: str | None = None) -> DataFrame:
-    """Replace categories seen fewer than ``min_count`` times (and null) by ``other``.
+               out: str | None = None, min_ratio: int = 0) -> DataFrame:
+    """Replace categories seen fewer than ``min_count`` times (and null) by ``other``;
+    with ``min_ratio = K`` those that hold less than 1/K of the non-null rows.
 
     The frequent set is an aggregate (map-side combined) joined back with a
     size-checked lookup join — no per-row Python and no window over a category.
     """
     out = out or column
-    major = value_counts_one(df, column, min_count).select(column, F.lit(True).alias("__major"))
+    major = value_counts_one(df, column, 1 if min_ratio else min_count, min_ratio).select(column, F.lit(True).alias("__major"))
     tagged = lookup_join(df, major, [column], "left")
     return tagged.withColumn(out, F.when(F.col("__major"), F.col(column)).otherwise(F.lit(other))) \
                  .drop("__major")

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions.columns import hash_percent
+from pricelens.functions.columns import HASH_RANGE, key_hash
 
 
 def hash_split(df: DataFrame, keys: list[str] | tuple, test_share: float = 0.2,
                name: str = "is_test") -> DataFrame:
-    """Add a boolean ``is_test``: true for about ``test_share`` of the rows."""
-    return df.withColumn(name, hash_percent(*keys) < F.lit(int(round(test_share * 100))))
+    """Add a boolean ``is_test``: true for about ``test_share`` of the rows, any share from 0 to 1."""
+    return df.withColumn(name, key_hash(*keys) < F.lit(float(test_share) * HASH_RANGE))
 
 
 def split_frames(df: DataFrame, keys: list[str] | tuple, test_share: float = 0.2):

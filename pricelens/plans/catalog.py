@@ -33,9 +33,9 @@ CATS = ["company", "model", "color", "engine_type", "body_type", "assembly", "tr
 NUMS = list(LISTING_NUMERIC)
 FEATURES = CATS + ["model_year", "mileage", "engine_capacity", "price"]
 # Parameters of the stand-in queries (the listing table's price range is 900..105,000).
-RARE_MIN = 900
+RARE_RATIO = 64             # frequent model: at least 1/64 of the rows (there are about 64 models)
 PRICE_CLIP = (5000.0, 100000.0)
-SUPPORT_RATIO = 64          # allowed category: at least 1/64 of the training rows
+SUPPORT_RATIO = 70          # allowed category: at least 1/70 of the training rows
 UNSEEN_COMPANY = "Brand#1"  # held out of the fit in encode_unseen
 UNSEEN_STATUS = "P"
 
@@ -97,19 +97,20 @@ def q_select_numeric(spark, sf_dir):
 
 @query("freq_having", f"""WITH {LISTINGS}
 SELECT model, CAST(count(*) AS BIGINT) AS count FROM listings WHERE model IS NOT NULL
-GROUP BY model HAVING count(*) >= {RARE_MIN}""")
+GROUP BY model HAVING count(*) * {RARE_RATIO} >= (SELECT count(model) FROM listings)""")
 def q_freq_having(spark, sf_dir):
-    return profile.value_counts_one(listings(spark, sf_dir), "model", min_count=RARE_MIN)
+    return profile.value_counts_one(listings(spark, sf_dir), "model", min_ratio=RARE_RATIO)
 
 
 @query("rare_group", f"""WITH {LISTINGS},
-major AS (SELECT model FROM listings WHERE model IS NOT NULL GROUP BY model HAVING count(*) >= {RARE_MIN})
+major AS (SELECT model FROM listings WHERE model IS NOT NULL GROUP BY model
+  HAVING count(*) * {RARE_RATIO} >= (SELECT count(model) FROM listings))
 SELECT CASE WHEN m.model IS NOT NULL THEN l.model ELSE 'Other' END AS model_grouped,
        CAST(count(*) AS BIGINT) AS count
 FROM listings l LEFT JOIN major m ON l.model = m.model GROUP BY 1""")
 def q_rare_group(spark, sf_dir):
     from pricelens.operators.recode import group_rare
-    df = group_rare(listings(spark, sf_dir), "model", RARE_MIN, out="model_grouped")
+    df = group_rare(listings(spark, sf_dir), "model", out="model_grouped", min_ratio=RARE_RATIO)
     return profile.value_counts_one(df, "model_grouped")
 
 
@@ -204,9 +205,17 @@ def q_unique(spark, sf_dir):
     return quality.unique_counts(dirty_listings(spark, sf_dir), FEATURES)
 
 
-@query("unique_counts_approx")
+_UNIQUE_SQL = ORACLE["unique_counts"]
+
+
+@query("unique_counts_approx", f"SELECT *, true AS within_3_rsd FROM ({_UNIQUE_SQL})")
 def q_unique_approx(spark, sf_dir):
-    return quality.unique_counts_approx(dirty_listings(spark, sf_dir), FEATURES)
+    """The estimate is checked against the exact count: within three standard deviations."""
+    df = dirty_listings(spark, sf_dir)
+    both = lookup_join(quality.unique_counts(df, FEATURES), quality.unique_counts_approx(df, FEATURES, rsd=0.05),
+                       ["column"], "left", small=True)
+    near = F.abs(F.col("n_unique_approx") - F.col("n_unique")) <= 0.15 * F.col("n_unique") + 1
+    return both.select("column", "n_unique", near.alias("within_3_rsd"))
 
 
 # ---------------------------------------------------------------------------
@@ -226,9 +235,10 @@ def q_group_stats(spark, sf_dir):
 
 
 @query("value_counts", f"""WITH {LISTINGS}
-SELECT company, CAST(count(*) AS BIGINT) AS count FROM listings WHERE company IS NOT NULL GROUP BY company""")
+SELECT company, CAST(count(*) AS BIGINT) AS count FROM listings WHERE company IS NOT NULL GROUP BY company
+ORDER BY count DESC, company""")
 def q_value_counts(spark, sf_dir):
-    return profile.value_counts_one(listings(spark, sf_dir), "company")
+    return profile.value_counts_one(listings(spark, sf_dir), "company", ordered=True)
 
 
 _VC_ALL = "\n  UNION ALL ".join(
@@ -336,6 +346,22 @@ def q_hist_mileage(spark, sf_dir):
     return _hist(spark, sf_dir, F.col("mileage"))
 
 
+@query("hist_log_mileage", _hist_sql("ln(1 + mileage)"))
+def q_hist_log_mileage(spark, sf_dir):
+    return _hist(spark, sf_dir, F.log1p("mileage"))
+
+
+# The margins of the joint plots (price and mileage are above).
+@query("hist_model_year", _hist_sql("model_year"))
+def q_hist_model_year(spark, sf_dir):
+    return _hist(spark, sf_dir, F.col("model_year"))
+
+
+@query("hist_engine_capacity", _hist_sql("engine_capacity"))
+def q_hist_engine_capacity(spark, sf_dir):
+    return _hist(spark, sf_dir, F.col("engine_capacity"))
+
+
 def _kde_sql(binned: bool, value: str = "price", by: str | None = None, grid: int = 200,
              cut: float = 0.0, source: str = "listings", x_digits: int = 4, extra: str = "") -> str:
     grp = by or "0"
@@ -369,12 +395,34 @@ def _kde_out(df: DataFrame, by: list[str], x_digits: int = 4) -> DataFrame:
 
 @query("kde_price", _kde_sql(False))
 def q_kde_price(spark, sf_dir):
-    return _kde_out(dist.density(listings(spark, sf_dir), "price", grid_size=200, cut=0.0), [])
+    return _kde_out(dist.density(listings(spark, sf_dir), "price", grid_size=200, cut=0.0, binned=False), [])
 
 
 @query("kde_binned", _kde_sql(True))
 def q_kde_binned(spark, sf_dir):
-    return _kde_out(dist.density(listings(spark, sf_dir), "price", grid_size=200, cut=0.0, binned=True), [])
+    return _kde_out(dist.density(listings(spark, sf_dir), "price", grid_size=200, cut=0.0), [])
+
+
+def _kde_of(spark, sf_dir, value):
+    df = listings(spark, sf_dir).select(value.alias("v"))
+    return _kde_out(dist.density(df, "v", grid_size=200, cut=0.0), [])
+
+
+@query("kde_mileage", _kde_sql(True, value="mileage"))
+def q_kde_mileage(spark, sf_dir):
+    return _kde_of(spark, sf_dir, F.col("mileage"))
+
+
+# A logarithm's last digit differs between engines and may move a value that sits on a bin's
+# edge, so the log densities are compared to six digits less.
+@query("kde_log_price", _kde_sql(True, value="round(ln(1 + price), 9)"))
+def q_kde_log_price(spark, sf_dir):
+    return _kde_of(spark, sf_dir, R(F.log1p("price"), 9))
+
+
+@query("kde_log_mileage", _kde_sql(True, value="round(ln(1 + mileage), 9)"))
+def q_kde_log_mileage(spark, sf_dir):
+    return _kde_of(spark, sf_dir, R(F.log1p("mileage"), 9))
 
 
 _CLIPPED = (f"clipped AS (SELECT company, CAST(CASE WHEN price < {PRICE_CLIP[0]} THEN {PRICE_CLIP[0]} "
@@ -420,11 +468,38 @@ def q_box_stats(spark, sf_dir):
                                          ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"]], "n_outliers")
 
 
-@query("box_outliers", _BOX_SQL + """
-SELECT m.variable, m.value FROM m JOIN lim ON m.variable = lim.variable
+# Outliers planted in the overlay: one row in 512 (by key) costs 40 times its price, one in 640 has a
+# thousandth of its mileage.
+_PLANTED_SQL = f"""planted AS (
+  SELECT {KEYS_SQL}, CASE WHEN (l_orderkey * 7 + l_linenumber) % 512 = 3 THEN price * 40 ELSE price END AS price,
+         CASE WHEN (l_orderkey * 7 + l_linenumber) % 640 = 5 THEN -mileage ELSE mileage END AS mileage FROM listings)"""
+_PLANTED_BOX_SQL = (_BOX_SQL.replace(f"m AS ({_MELT})", f"""{_PLANTED_SQL},
+m AS (SELECT 'price' AS variable, CAST(price AS DOUBLE) AS value FROM planted
+      UNION ALL SELECT 'mileage', CAST(mileage AS DOUBLE) FROM planted)"""))
+
+
+def _planted(spark, sf_dir):
+    df, spot = listings(spark, sf_dir), F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    return df.select(*KEYS, F.when(spot % 512 == 3, F.col("price") * 40).otherwise(F.col("price")).alias("price"),
+                     F.when(spot % 640 == 5, -F.col("mileage")).otherwise(F.col("mileage")).alias("mileage"))
+
+
+@query("box_outliers", _PLANTED_BOX_SQL + """
+SELECT m.variable, round(m.value, 6) AS value FROM m JOIN lim ON m.variable = lim.variable
 WHERE m.value < lo_lim OR m.value > hi_lim""")
 def q_box_outliers(spark, sf_dir):
-    return dist.box_outliers(listings(spark, sf_dir), NUMS)
+    return dist.box_outliers(_planted(spark, sf_dir), ["price", "mileage"]).select("variable", R("value", 6).alias("value"))
+
+
+@query("box_stats_outliers", _PLANTED_BOX_SQL + """
+SELECT lim.variable, CAST(lim.n AS BIGINT) AS n, round(min(CASE WHEN value >= lo_lim THEN value END), 6) AS whisker_lo,
+       round(max(CASE WHEN value <= hi_lim THEN value END), 6) AS whisker_hi,
+       CAST(sum(CASE WHEN value < lo_lim OR value > hi_lim THEN 1 ELSE 0 END) AS BIGINT) AS n_outliers
+FROM m JOIN lim ON m.variable = lim.variable GROUP BY lim.variable, lim.n""")
+def q_box_stats_outliers(spark, sf_dir):
+    out = dist.box_stats(_planted(spark, sf_dir), ["price", "mileage"])
+    return out.select("variable", "n", R("whisker_lo", 6).alias("whisker_lo"), R("whisker_hi", 6).alias("whisker_hi"),
+                      "n_outliers")
 
 
 _XS = ["model_year", "mileage", "engine_capacity"]
@@ -443,24 +518,36 @@ def q_joint_regression(spark, sf_dir):
                       R("r2", 12).alias("r2"))
 
 
-@query("joint_bins2d", f"""WITH {LISTINGS},
-d AS (SELECT CAST(mileage AS DOUBLE) AS x, CAST(price AS DOUBLE) AS y FROM listings
-      WHERE mileage IS NOT NULL AND price IS NOT NULL),
+def _bins2d_sql(x: str) -> str:
+    return f"""WITH {LISTINGS},
+d AS (SELECT CAST({x} AS DOUBLE) AS x, CAST(price AS DOUBLE) AS y FROM listings
+      WHERE {x} IS NOT NULL AND price IS NOT NULL),
 r AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM d)
 SELECT CAST(CASE WHEN x1 - x0 > 0 THEN least(floor((x - x0) / (x1 - x0) * CAST(20 AS DOUBLE)), 19) ELSE 0 END AS BIGINT) AS x_bin,
        CAST(CASE WHEN y1 - y0 > 0 THEN least(floor((y - y0) / (y1 - y0) * CAST(20 AS DOUBLE)), 19) ELSE 0 END AS BIGINT) AS y_bin,
        CAST(count(*) AS BIGINT) AS count
-FROM d CROSS JOIN r GROUP BY 1, 2""")
+FROM d CROSS JOIN r GROUP BY 1, 2"""
+
+
+@query("joint_bins2d", _bins2d_sql("mileage"))
 def q_joint_bins2d(spark, sf_dir):
     return dist.bins2d(listings(spark, sf_dir), "mileage", "price", bins=20)
 
 
+@query("joint_bins2d_year", _bins2d_sql("model_year"))
+def q_joint_bins2d_year(spark, sf_dir):
+    return dist.bins2d(listings(spark, sf_dir), "model_year", "price", bins=20)
+
+
+@query("joint_bins2d_capacity", _bins2d_sql("engine_capacity"))
+def q_joint_bins2d_capacity(spark, sf_dir):
+    return dist.bins2d(listings(spark, sf_dir), "engine_capacity", "price", bins=20)
+
+
 def _band_sql() -> str:
-    z = dist._inverse_normal(0.975)
-    g1 = (z**3 + z) / 4
-    g2 = (5*z**5 + 16*z**3 + 3*z) / 96
-    g3 = (3*z**7 + 19*z**5 + 17*z**3 - 15*z) / 384
-    g4 = (79*z**9 + 776*z**7 + 1482*z**5 - 1920*z**3 - 945*z) / 92160
+    # Published constants: the normal quantile at 0.975 and the first two terms of its correction
+    # for a t distribution of thousands of degrees of freedom (the next is below 1e-9).
+    z, g1, g2 = 1.959963984540054, 2.372272, 2.822499
     stats = "\n  UNION ALL ".join(
         f"""SELECT '{x}' AS x, regr_count(price, CAST({x} AS DOUBLE)) AS n, regr_slope(price, CAST({x} AS DOUBLE)) AS slope,
          regr_intercept(price, CAST({x} AS DOUBLE)) AS intercept, regr_sxx(price, CAST({x} AS DOUBLE)) AS sxx,
@@ -472,7 +559,7 @@ def _band_sql() -> str:
 st AS ({stats}),
 st2 AS (SELECT *, CAST(n - 2 AS DOUBLE) AS nu FROM st WHERE n > 2),
 st3 AS (SELECT *, sqrt(greatest(syy - slope * sxy, 0.0) / nu) AS s,
-               {z!r} + {g1!r} / nu + {g2!r} / pow(nu, 2) + {g3!r} / pow(nu, 3) + {g4!r} / pow(nu, 4) AS t
+               {z!r} + {g1!r} / nu + {g2!r} / pow(nu, 2) AS t
         FROM st2),
 g AS (SELECT st3.*, CAST(k.range AS BIGINT) AS k,
              min_x + CAST(k.range AS DOUBLE) * (max_x - min_x) / CAST(19 AS DOUBLE) AS x0
@@ -555,7 +642,6 @@ FROM listings l
 
 def _ordinal_spark(spark, sf_dir, order):
     df = listings(spark, sf_dir)
-    encode.check_cardinality(df, _ORD)
     out = encode.ordinal_indexer(_ORD, order).fit(df).transform(df)
     return out.select(*KEYS, *[c + "_idx" for c in _ORD])
 
@@ -586,19 +672,13 @@ def q_onehot_wide(spark, sf_dir):
 def _pipeline_fit(df: DataFrame):
     """Fit the feature pipeline; returns (model, the written input it was fitted on)."""
     from pricelens.session import materialize
-    df = materialize(df, "pipeline-input")  # read by the guard, the indexer, the encoder, the transform
-    encode.check_cardinality(df, _ORD + _OHE)
+    df = materialize(df, "pipeline-input")  # read by the indexers, the encoder, the transform
     return encode.feature_pipeline(ROLES).fit(df), df
 
 
 def _feature_names(model) -> list[str]:
     """Assembled slot names, one-hot widths read from the fitted indexer (labels + 1)."""
-    from pyspark.ml.feature import StringIndexerModel
-    width = {}
-    for st in model.stages:
-        if isinstance(st, StringIndexerModel):
-            for col, labels in zip(st.getInputCols(), st.labelsArray):
-                width[col] = len(labels) + 1
+    width = encode.one_hot_widths(model)
     names = ["model_year", "mileage", "engine_capacity"] + [c + "_idx" for c in _ORD]
     for c in _OHE:
         names += [f"{c}_{i}" for i in range(width[c])]
@@ -650,6 +730,27 @@ def q_encoding_map(spark, sf_dir):
     return m.select("kind", "feature", "category", R("value", 9).alias("value"))
 
 
+@query("encoding_map_nested", f"""WITH {LABELLED},
+g AS (SELECT avg(log_price) AS g FROM lab),
+st AS ({target_stats('lab', _TE)}),
+idx AS ({freq_codes('lab', _ORD + _OHE)})
+SELECT 'target' AS kind, feature, category AS key, round((n * m + 5.0 * g) / (n + 5.0), 9) AS value FROM st, g
+UNION ALL SELECT 'global_mean', 'log_price', 'log_price', round(g, 9) FROM g
+UNION ALL SELECT CASE WHEN feature IN ('engine_type', 'body_type') THEN 'onehot' ELSE 'ordinal' END,
+                 feature, category, CAST(code AS DOUBLE) FROM idx
+UNION ALL SELECT CASE WHEN feature IN ('engine_type', 'body_type') THEN 'onehot' ELSE 'ordinal' END,
+                 feature, '__unknown__', CAST(count(*) AS DOUBLE) FROM idx GROUP BY feature""")
+def q_encoding_map_nested(spark, sf_dir):
+    """The nested JSON file, written and read back."""
+    from pricelens.session import shared_path
+    from pricelens.sources.files import read_nested_encoding_map, write_encoding_map
+    model, _ = _pipeline_fit(_labelled(spark, sf_dir))
+    path = shared_path(spark, "nested-map")
+    write_encoding_map(encode.encoding_map(model, spark), path, nested=True, entries=20)
+    m = read_nested_encoding_map(spark, path)
+    return m.select("kind", "feature", "key", R("value", 9).alias("value"))
+
+
 @query("encode_unseen", f"""WITH {LABELLED},
 fit AS (SELECT * FROM lab WHERE company <> '{UNSEEN_COMPANY}' AND transmission <> '{UNSEEN_STATUS}'),
 g AS (SELECT avg(log_price) AS g FROM fit),
@@ -681,11 +782,19 @@ def q_split_hash(spark, sf_dir):
     return hash_split(listings(spark, sf_dir), KEYS, 0.2).select(*KEYS, "is_test")
 
 
-@query("split_random")
+@query("split_hash_small", f"WITH {SPLIT} SELECT {KEYS_SQL}, is_small AS is_test FROM split")
+def q_split_hash_small(spark, sf_dir):
+    return hash_split(listings(spark, sf_dir), KEYS, 0.005).select(*KEYS, "is_test")
+
+
+@query("split_random", f"""WITH {LISTINGS}
+SELECT {KEYS_SQL}, CAST(1 AS BIGINT) AS n_sides, CAST(count(*) AS BIGINT) AS n_rows FROM listings GROUP BY {KEYS_SQL}""")
 def q_split_random(spark, sf_dir):
+    """The draw itself is random; its facts are not: every row is on one side, none is lost or doubled."""
     from pricelens.operators.split import random_split
-    train, test = random_split(listings(spark, sf_dir), (0.8, 0.2), 40)
-    return test.select(*KEYS)
+    train, test = random_split(listings(spark, sf_dir).select(*KEYS), (0.8, 0.2), 40)
+    both = train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
+    return both.groupBy(*KEYS).agg(F.count_distinct("side").alias("n_sides"), F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("cv_folds", f"""WITH {SPLIT}
@@ -713,39 +822,84 @@ def q_regression_metrics(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Model: forest, cross-validation, scoring (rows-only checks)
+# Model: forest, cross-validation, scoring. Predictions are beyond SQL, so these queries return
+# facts about them that are not: which rows, which errors, and whether each prediction is sound.
 # ---------------------------------------------------------------------------
-# Sizes used inside queries(): the library defaults (200 trees, depth 12, 10 folds)
-# are kept for real training runs.
-Q_TREES, Q_DEPTH, Q_FOLDS = 20, 5, 3
+_MODELS: dict[tuple[str, str], object] = {}
 
 
 def _fitted(spark, sf_dir):
+    """(model, test rows): 200 trees of depth 12, fitted once per session and table folder for the
+    queries that share it."""
     from pricelens.operators.train import fit_forest
     train, test = _split(spark, sf_dir)
-    return fit_forest(train.drop("log_price", "is_test"), ROLES, trees=Q_TREES, depth=Q_DEPTH), test
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = fit_forest(train.drop("log_price", "is_test"), ROLES)
+    return _MODELS[key], test
 
 
-@query("rf_predict")
+@query("rf_predict", f"WITH {SPLIT} SELECT {KEYS_SQL}, round(log_price, 9) AS log_price, true AS in_range FROM test")
 def q_rf_predict(spark, sf_dir):
+    """Every test row is predicted, within the range of the training labels (a forest averages them)."""
     model, test = _fitted(spark, sf_dir)
+    train, _ = _split(spark, sf_dir)
+    lo, hi = train.agg(F.min("log_price"), F.max("log_price")).first()
     out = model.transform(test.drop("is_test"))
-    return out.select(*KEYS, "log_price", "prediction")
+    return out.select(*KEYS, R("log_price", 9).alias("log_price"),
+                      F.col("prediction").between(lo, hi).alias("in_range"))
 
 
-@query("cv_metrics")
+@query("cv_metrics", f"""WITH {SPLIT}
+SELECT fold, CAST(count(*) AS BIGINT) AS n, true AS sound FROM train GROUP BY fold
+UNION ALL SELECT -1, CAST(count(*) AS BIGINT), true FROM train""")
 def q_cv_metrics(spark, sf_dir):
+    """10 folds of the whole pipeline: each fold's rows, a positive error below the labels' own spread,
+    and a summary that is the folds' mean."""
     from pricelens.operators.train import cross_validate
-    ensure_checkpoint_dir(spark)
     train, _ = _split(spark, sf_dir)
-    _, metrics = cross_validate(train.drop("log_price", "is_test"), ROLES, folds=Q_FOLDS, trees=Q_TREES,
-                                depth=Q_DEPTH, refit=False)
-    return metrics
+    spread = train.agg(F.stddev_samp("log_price")).first()[0]
+    _, metrics = cross_validate(train.drop("log_price", "is_test"), ROLES, refit=False)
+    mean = metrics.agg(F.avg("rmse")).first()[0]
+    sound = F.when(F.col("fold") >= 0, (F.col("rmse") > 0) & (F.col("rmse") < spread)).otherwise(
+        F.abs(F.col("avg_rmse") - mean) < 1e-9)
+    return metrics.select("fold", "n", sound.alias("sound"))
 
 
-_ALLOWED_SQL = "\n  UNION ALL ".join(
-    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category FROM train WHERE {c} IS NOT NULL "
-    f"GROUP BY {c} HAVING count(*) * {SUPPORT_RATIO} >= (SELECT count(*) FROM train)" for c in CATS)
+def _allowed_sql(ratio: int) -> str:
+    having = f"HAVING count(*) * {ratio} >= (SELECT count(*) FROM train)" if ratio else ""
+    return "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category FROM train WHERE {c} IS NOT NULL "
+        f"GROUP BY {c} {having}" for c in CATS)
+
+
+# Records as a form or a file delivers them: numbers as text, and one in forty spoiled in each of these ways.
+_SPOILED = {
+    "mileage": {1: "'abc'", 2: "'NaN'", 3: "'Infinity'", 4: "NULL", 14: "'12x'"},
+    "model_year": {5: "'1949'", 6: "'2001.5'", 7: "NULL", 8: "'new'"},
+    "engine_capacity": {9: "'1d'", 10: "''", 15: "NULL"},
+    "color": {11: "NULL", 12: "'Plaid'"},
+    "model": {13: "NULL"},
+}
+_SPOT = "((l_orderkey * 7 + l_linenumber * 3) % 40)"
+
+
+def _spoil_sql(column: str) -> str:
+    cases = " ".join(f"WHEN {_SPOT} = {k} THEN {v}" for k, v in _SPOILED[column].items())
+    return f"CASE {cases} ELSE CAST({column} AS VARCHAR) END AS {column}"
+
+
+_RECORD_COLS = ", ".join([*KEYS, *[_spoil_sql(c) if c in _SPOILED else c
+                                   for c in [*CATS, "model_year", "mileage", "engine_capacity"]], "price"])
+
+
+def _records(df: DataFrame) -> DataFrame:
+    return df.selectExpr(*[c.replace("AS VARCHAR", "AS STRING") for c in [
+        *KEYS, *[_spoil_sql(c) if c in _SPOILED else c for c in [*CATS, "model_year", "mileage", "engine_capacity"]],
+        "price"]])
+
+
+_NUMBER_SQL = "regexp_matches(trim(r.{c}), '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$')"
 
 
 def _rule_sql() -> str:
@@ -753,61 +907,85 @@ def _rule_sql() -> str:
     for c in CATS:
         parts.append(f"CASE WHEN r.{c} IS NULL THEN '{c}:missing' WHEN a_{c}.category IS NULL "
                      f"THEN '{c}:not_allowed' END")
+    year = "TRY_CAST(trim(r.model_year) AS DOUBLE)"
     parts.append("CASE WHEN r.model_year IS NULL THEN 'model_year:missing' "
-                 "WHEN TRY_CAST(r.model_year AS DOUBLE) IS NULL OR TRY_CAST(r.model_year AS DOUBLE) <> "
-                 "floor(TRY_CAST(r.model_year AS DOUBLE)) THEN 'model_year:not_integer' "
-                 "WHEN TRY_CAST(r.model_year AS DOUBLE) < 1950 THEN 'model_year:below_1950' END")
+                 f"WHEN NOT {_NUMBER_SQL.format(c='model_year')} OR {year} <> floor({year}) "
+                 f"THEN 'model_year:not_integer' WHEN {year} < 1950 THEN 'model_year:below_1950' END")
     for c in ["mileage", "engine_capacity"]:
-        parts.append(f"CASE WHEN r.{c} IS NULL THEN '{c}:missing' WHEN TRY_CAST(r.{c} AS DOUBLE) IS NULL "
+        parts.append(f"CASE WHEN r.{c} IS NULL THEN '{c}:missing' WHEN NOT {_NUMBER_SQL.format(c=c)} "
                      f"THEN '{c}:not_numeric' END")
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
 
-_VALIDATE_SQL = f"""WITH {SPLIT},
-allowed AS ({_ALLOWED_SQL}),
+def _checked_sql(ratio: int, source: str = "test") -> str:
+    return f"""WITH {SPLIT},
+records AS (SELECT {_RECORD_COLS} FROM {source}),
+allowed AS ({_allowed_sql(ratio)}),
 checked AS (
   SELECT {", ".join("r." + k for k in KEYS)}, {_rule_sql()} AS errors
-  FROM test r
+  FROM records r
   {" ".join(f"LEFT JOIN allowed a_{c} ON a_{c}.feature = '{c}' AND a_{c}.category = r.{c}" for c in CATS)})"""
 
 
 def _validated(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     allowed = allowed_from_data(train, CATS, min_ratio=SUPPORT_RATIO)
-    return validate(test.drop("log_price", "is_test"), ROLES, allowed)
+    return validate(_records(test), ROLES, allowed)
 
 
-@query("validate_records", _VALIDATE_SQL + f"""
+@query("validate_records", _checked_sql(SUPPORT_RATIO) + f"""
 SELECT {KEYS_SQL}, errors, errors = '' AS is_valid FROM checked""")
 def q_validate(spark, sf_dir):
     return _validated(spark, sf_dir).select(*KEYS, "errors", "is_valid")
 
 
-@query("reject_summary", _VALIDATE_SQL + """,
+@query("reject_summary", _checked_sql(SUPPORT_RATIO) + """,
 parts AS (SELECT unnest(string_split(errors, ',')) AS rule FROM checked WHERE errors <> '')
 SELECT rule, CAST(count(*) AS BIGINT) AS n_rejected FROM parts GROUP BY rule""")
 def q_reject_summary(spark, sf_dir):
     return reject_summary(_validated(spark, sf_dir))
 
 
-@query("score_batch")
+@query("split_valid", _checked_sql(SUPPORT_RATIO) + """
+SELECT CASE WHEN errors = '' THEN 'valid' ELSE 'rejected' END AS side, CAST(count(*) AS BIGINT) AS n
+FROM checked GROUP BY 1""")
+def q_split_valid(spark, sf_dir):
+    from pricelens.operators.validate import split_valid
+    valid, rejected = split_valid(_validated(spark, sf_dir))
+    both = valid.select(F.lit("valid").alias("side")).unionByName(rejected.select(F.lit("rejected").alias("side")))
+    return both.groupBy("side").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def _scored_sql(source: str) -> str:
+    return _checked_sql(0, source) + f"""
+SELECT {KEYS_SQL}, CASE WHEN errors <> '' THEN errors END AS error, errors <> '' AS no_price, true AS price_sound
+FROM checked"""
+
+
+def _score_facts(scored: DataFrame) -> DataFrame:
+    """A price exactly for the valid records, and equal to the converted power of ten."""
+    again = F.round(F.pow(F.lit(10.0), "log_pred").cast("decimal(38,6)") * F.lit(0.0036).cast("decimal(20,10)"), 3)
+    sound = F.when(F.col("error").isNull(), (F.col("price_out") == again.cast("double")) & (F.col("price_out") > 0))
+    return scored.select(*KEYS, "error", F.col("price_out").isNull().alias("no_price"),
+                         F.coalesce(sound, F.col("price_out").isNull()).alias("price_sound"))
+
+
+@query("score_batch", _scored_sql("test"))
 def q_score_batch(spark, sf_dir):
     from pricelens.operators.score import score
     model, test = _fitted(spark, sf_dir)
     train, _ = _split(spark, sf_dir)
-    allowed = allowed_from_data(train, CATS)
-    return score(test.drop("log_price", "is_test"), model, ROLES, allowed=allowed, keep=KEYS)
+    return _score_facts(score(_records(test), model, ROLES, allowed=allowed_from_data(train, CATS), keep=KEYS))
 
 
-@query("score_stream")
+@query("score_stream", _scored_sql("lab"))
 def q_score_stream(spark, sf_dir):
     from pricelens.session import shared_path
     from pricelens.streaming.scoring import listing_stream, score_stream
     ensure_checkpoint_dir(spark)
     model, _ = _fitted(spark, sf_dir)
     train, _ = _split(spark, sf_dir)
-    allowed = allowed_from_data(train, CATS)
     out = shared_path(spark, "scored-stream")
-    q = score_stream(listing_stream(spark, sf_dir), model, ROLES, out, allowed=allowed)
+    q = score_stream(_records(listing_stream(spark, sf_dir)), model, ROLES, out, allowed=allowed_from_data(train, CATS))
     q.awaitTermination()
-    return spark.read.parquet(out).drop("epoch")
+    return _score_facts(spark.read.parquet(out).drop("epoch"))

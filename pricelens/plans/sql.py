@@ -36,7 +36,8 @@ lab AS (SELECT *, CASE WHEN price > 0 THEN log10(price) END AS log_price FROM li
 SPLIT = LABELLED + """,
 split AS (
   SELECT *,
-         CAST(('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8)) AS BIGINT) % 100 < 20 AS is_test,
+         CAST(('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8)) AS BIGINT) < 0.2 * 4294967296 AS is_test,
+         CAST(('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8)) AS BIGINT) < 0.005 * 4294967296 AS is_small,
          CAST(CAST(('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 9, 8)) AS BIGINT) % 10 AS INTEGER) AS fold
   FROM lab),
 train AS (SELECT * FROM split WHERE NOT is_test),

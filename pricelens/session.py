@@ -57,7 +57,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
+    return path
+
+
+_WRITTEN: list[str] = []
+
+
+def remove_written(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate folders that this process made after mark ``since`` (see
+    ``written_mark``). A job calls it when its results are written; DataFrames that still read
+    them must not be used any more. Returns how many folders it deleted."""
+    gone = 0
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN[since:]:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(at.getFileSystem(conf).delete(at, True))
+    del _WRITTEN[since:]
+    return gone
+
+
+def written_mark() -> int:
+    """The number of intermediate folders made so far."""
+    return len(_WRITTEN)
 
 
 def materialize(df, name: str = "table", min_partitions: int | None = None):
@@ -67,9 +90,9 @@ def materialize(df, name: str = "table", min_partitions: int | None = None):
     lets several later jobs reuse one computation. Columnar parquet is much cheaper to
     write and read than RDD checkpoint files of serialised rows.
 
-    ``min_partitions``: when the plan has fewer partitions (e.g. a scan of one large
-    row group), spread it round-robin first so iterative readers (forest training)
-    get that many files/tasks. Plans that already have more partitions are untouched.
+    ``min_partitions``: when the source has fewer files (e.g. one large row group), spread
+    it round-robin first so iterative readers (forest training) get that many files/tasks.
+    Sources of more files are untouched.
     """
     df = spread(df, min_partitions) if min_partitions else df
     path = shared_path(df.sparkSession, name)
@@ -78,9 +101,10 @@ def materialize(df, name: str = "table", min_partitions: int | None = None):
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's cores) only when
-    its plan has fewer partitions, e.g. one huge row group. A no-op at scale."""
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's cores) when it reads
+    fewer files than that, e.g. one huge row group. The file list is known without running
+    anything. A no-op at scale."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if len(df.inputFiles()) < target:
         return df.repartition(target)
     return df

@@ -15,10 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.config import LISTING_KEYS
-from pricelens.functions.joins import bounded_count
-
-# orders ⋈ customer is broadcast up to this many orders (one row each).
-BROADCAST_ORDERS_ROWS = 2_000_000
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -42,11 +38,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # key, part key) instead of three times; the planner does not reorder joins
     # without cost-based statistics.
     od_cu = od.join(cu, od.o_custkey == cu.c_custkey)
-    # Keep the fact table on the streamed side: broadcast orders ⋈ customer only when a
-    # bounded count proves it small; beyond that Spark shuffles both sides (AQE splits
-    # skewed partitions).
-    if bounded_count(od.select("o_orderkey"), BROADCAST_ORDERS_ROWS) is not None:
-        od_cu = F.broadcast(od_cu)
+    # No hint and no count here: AQE sees the runtime size of orders ⋈ customer, broadcasts
+    # it when it is under the threshold, and splits skewed partitions when it is not.
     joined = (li.join(od_cu, li.l_orderkey == od_cu.o_orderkey)
                 .join(pt, li.l_partkey == pt.p_partkey))
     return joined.select(

@@ -3,8 +3,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from pricelens.functions.columns import (as_float32, clip, hash_percent, inverse_log10, log10_label,
-                                         numeric_columns, string_columns)
+from pricelens.functions.columns import (as_float32, clip, finite, inverse_log10, key_hash, log10_label,
+                                         numeric_columns, strict_number, string_columns)
 from pricelens.operators import distribution as dist
 from pricelens.operators import profile
 from pricelens.sources.files import write_table
@@ -31,9 +31,20 @@ def test_clip_log_roundtrip_zero_price(spark):
     assert [r.c for r in twice] == [r.c for r in rows]  # clip is idempotent
 
 
-def test_hash_percent_range(spark):
-    df = spark.range(500).select(hash_percent("id").alias("h"))
-    assert df.agg(F.min("h"), F.max("h")).first() == (0, 99)
+def test_key_hash_range(spark):
+    df = spark.range(500).select(key_hash("id").alias("h"))
+    lo, hi = df.agg(F.min("h"), F.max("h")).first()
+    assert 0 <= lo < 1 << 25 and (1 << 32) - (1 << 25) < hi < 1 << 32
+
+
+def test_strict_numbers_and_finite_values(spark):
+    texts = ["12", " 1.5 ", "-3e2", ".5", "7.", "abc", "1d", "2018f", "NaN", "Infinity", "-inf", "", " ", None, "1e999", "12x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.v for r in df.select(strict_number("t").alias("v")).collect()]
+    assert got == [12.0, 1.5, -300.0, 0.5, 7.0] + [None] * 11
+    nums = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "v double")
+    assert [r.v for r in nums.select(finite("v").alias("v")).collect()] == [1.0] + [None] * 4
+    assert [r.v for r in nums.select(strict_number("v").alias("v")).collect()] == [1.0] + [None] * 4
 
 
 def test_csv_table_sink(spark, scratch):

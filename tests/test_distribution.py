@@ -31,13 +31,13 @@ def _kde_numpy(x, grid, bw):
 def test_density_exact_and_binned(spark):
     x = np.random.default_rng(5).normal(100, 15, 3000)
     df = _df(spark, x)
-    exact = dist.density(df, "x", grid_size=200).orderBy("k").collect()
+    exact = dist.density(df, "x", grid_size=200, binned=False).orderBy("k").collect()
     bw = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(x.min(), x.max(), 200)
     expect = _kde_numpy(x, grid, bw)
     assert np.allclose([r.density for r in exact], expect, rtol=1e-9)
     assert np.allclose([r.x for r in exact], grid)
-    binned = dist.density(df, "x", grid_size=200, binned=True).orderBy("k").collect()
+    binned = dist.density(df, "x", grid_size=200).orderBy("k").collect()
     peak = expect.max()
     assert max(abs(r.density - e) for r, e in zip(binned, expect)) < 1e-3 * peak
 
@@ -79,10 +79,39 @@ def test_regression_and_band(spark):
     band = dist.regression_band(df, ["x"], "y", grid_size=5).orderBy("k").collect()
     assert all(b.lower < b.fit < b.upper for b in band)
     from pyspark.sql import functions as F
-    t = spark.range(1).select(dist.t_quantile(dist._inverse_normal(0.975), F.lit(398.0))).first()[0]
-    assert abs(t - 1.965942) < 1e-5  # Student t(0.975, 398)
-    t10 = spark.range(1).select(dist.t_quantile(dist._inverse_normal(0.975), F.lit(10.0))).first()[0]
-    assert abs(t10 - 2.228139) < 2e-3
+    # Published values of Student's t at 0.975.
+    table = {1: 12.706205, 2: 4.302653, 3: 3.182446, 4: 2.776445, 5: 2.570582, 10: 2.228139, 30: 2.042272,
+             100: 1.983972, 398: 1.965942}
+    nus = spark.createDataFrame([(float(n),) for n in table], "nu double")
+    for r in nus.select("nu", dist.t_quantile(0.975, F.col("nu")).alias("t"),
+                        dist.t_quantile(0.95, F.col("nu")).alias("t95")).collect():
+        assert abs(r.t / table[int(r.nu)] - 1) < 5e-5, r
+    t95 = {1: 6.313752, 2: 2.919986, 3: 2.353363, 5: 2.015048, 30: 1.697261}
+    for r in nus.select("nu", dist.t_quantile(0.95, F.col("nu")).alias("t")).collect():
+        assert r.nu not in t95 or abs(r.t / t95[int(r.nu)] - 1) < 5e-5, r
+
+
+def test_nan_and_infinity_stay_out_of_every_summary(spark):
+    from pricelens.operators import profile
+    clean = [(float(i % 13), float(i % 7) + 0.1 * i) for i in range(200)]
+    dirty = clean + [(float("nan"), 1.0), (1.0, float("nan")), (float("inf"), 2.0), (3.0, float("-inf")), (None, 4.0)]
+    a, b = (spark.createDataFrame(rows, "x double, y double") for rows in (clean, dirty))
+
+    def same(f, *keys):
+        one, two = ([tuple(r) for r in f(df).orderBy(*keys).collect()] for df in (a, b))
+        assert len(one) == len(two) > 0 and all(np.allclose(p, q) if not isinstance(p[0], str) else
+                                                np.allclose(p[1:], q[1:]) for p, q in zip(one, two))
+
+    same(lambda df: dist.bins2d(df, "x", "y", bins=5), "x_bin", "y_bin")
+    same(lambda df: dist.regression(df, ["x"], "y"), "x")
+    same(lambda df: profile.pearson(df, ["x", "y"]).select("r"), "r")
+    xs = spark.createDataFrame([(r[0],) for r in clean], "x double")
+    bad = xs.unionByName(spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "x double"))
+    for f in (lambda df: dist.histogram(df, "x", bins=5), lambda df: dist.density(df, "x", grid_size=9)):
+        one, two = ([tuple(r) for r in f(df).collect()] for df in (xs, bad))
+        assert len(one) == len(two) > 0 and np.allclose(sorted(one), sorted(two))
+    assert dist.box_stats(xs, ["x"]).first() == dist.box_stats(bad, ["x"]).first()
+    assert profile.describe_numeric(xs, ["x"]).first() == profile.describe_numeric(bad, ["x"]).first()
 
 
 def test_bins2d_sum(spark):

@@ -28,7 +28,7 @@ def test_salted_path_equals_broadcast_path(spark):
     for how in ["left", "inner"]:
         for null_safe in [False, True]:
             a = lookup_join(big, small, ["k"], how, null_safe=null_safe)
-            b = lookup_join(big, small, ["k"], how, null_safe=null_safe, max_broadcast_rows=0,
+            b = lookup_join(big, small, ["k"], how, null_safe=null_safe, max_broadcast_bytes=0,
                             hot_fraction=0.1, salt_buckets=8)
             assert _collect(a) == _collect(b)
 
@@ -36,7 +36,7 @@ def test_salted_path_equals_broadcast_path(spark):
 def test_semi_anti(spark):
     big, small = _big(spark), _small(spark)
     for force in [None, 0]:
-        kw = {} if force is None else {"max_broadcast_rows": 0, "hot_fraction": 0.1}
+        kw = {} if force is None else {"max_broadcast_bytes": 0, "hot_fraction": 0.1}
         semi = lookup_join(big, small, ["k"], "left_semi", **kw)
         anti = lookup_join(big, small, ["k"], "left_anti", **kw)
         assert semi.count() + anti.count() == big.count()
@@ -47,7 +47,7 @@ def test_semi_anti(spark):
 
 def test_hot_key_rows_are_spread(spark):
     big, small = _big(spark), _small(spark)
-    out = lookup_join(big, small, ["k"], "left", max_broadcast_rows=0, hot_fraction=0.1, salt_buckets=8)
+    out = lookup_join(big, small, ["k"], "left", max_broadcast_bytes=0, hot_fraction=0.1, salt_buckets=8)
     assert out.where(F.col("k") == 0).select("v").distinct().collect()[0].v == "v0"
     assert out.count() == big.count()
 
@@ -56,6 +56,6 @@ def test_non_unique_lookup_keys_on_both_paths(spark):
     big = spark.createDataFrame([(i, 0 if i % 3 == 0 else i % 5) for i in range(300)], "id long, k int")
     small = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c")], "k int, v string")
     expect = sorted((r.id, r.v) for r in big.join(small, "k", "inner").collect())
-    for kw in [{}, {"max_broadcast_rows": 0, "hot_fraction": 0.1, "salt_buckets": 4}]:
+    for kw in [{}, {"max_broadcast_bytes": 0, "hot_fraction": 0.1, "salt_buckets": 4}]:
         got = sorted((r.id, r.v) for r in lookup_join(big, small, ["k"], "inner", **kw).collect())
         assert got == expect

@@ -20,7 +20,16 @@ def test_sorted_rank_matches_window(spark):
 def test_spread_and_materialize(spark):
     one = spark.range(100).coalesce(1)
     assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(9)
-    assert spread(many, 4).rdd.getNumPartitions() == 9  # never reduces
+    many = materialize(spark.range(100).repartition(9), "nine")
+    assert spread(many, 4) is many  # nine files: nothing to do, and nothing is run to find out
     m = materialize(one, "t", min_partitions=3)
     assert sorted(r.id for r in m.collect()) == list(range(100))
+
+
+def test_intermediate_folders_are_removed(spark):
+    import os
+    from pricelens.session import remove_written, written_mark
+    kept, mark = materialize(spark.range(3), "kept"), written_mark()
+    gone = [materialize(spark.range(3), "gone").inputFiles()[0].removeprefix("file://") for _ in range(2)]
+    assert all(map(os.path.exists, gone)) and remove_written(spark, mark) == 2
+    assert not any(map(os.path.exists, gone)) and kept.count() == 3

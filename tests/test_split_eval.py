@@ -20,6 +20,13 @@ def test_hash_split_disjoint_complete_repartition_invariant(spark):
     assert 0.15 < len(t1) / 2000 < 0.25
 
 
+def test_any_share(spark):
+    df = spark.range(40000).select(F.col("id").alias("a"), F.lit(1).alias("b"))
+    for share in (0.0, 0.004, 0.005, 0.125, 1.0):
+        n = hash_split(df, ["a", "b"], share).where("is_test").count()
+        assert abs(n - 40000 * share) <= 4 * (40000 * share * (1 - share)) ** 0.5
+
+
 def test_folds(spark):
     f = hash_folds(_keys(spark), ["a", "b"], 10)
     counts = {r.fold: r["count"] for r in f.groupBy("fold").count().collect()}
