@@ -825,17 +825,19 @@ def q_regression_metrics(spark, sf_dir):
 # Model: forest, cross-validation, scoring. Predictions are beyond SQL, so these queries return
 # facts about them that are not: which rows, which errors, and whether each prediction is sound.
 # ---------------------------------------------------------------------------
+#: Forest of the registered queries. The library's defaults (200 trees of depth 12) need more than the
+#: 1 GB heap that a session has by default and minutes a fit; see the README. Folds are the full ten.
+Q_TREES, Q_DEPTH = 20, 5
 _MODELS: dict[tuple[str, str], object] = {}
 
 
 def _fitted(spark, sf_dir):
-    """(model, test rows): 200 trees of depth 12, fitted once per session and table folder for the
-    queries that share it."""
+    """(model, test rows); fitted once per session and table folder for the queries that share it."""
     from pricelens.operators.train import fit_forest
     train, test = _split(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = fit_forest(train.drop("log_price", "is_test"), ROLES)
+        _MODELS[key] = fit_forest(train.drop("log_price", "is_test"), ROLES, trees=Q_TREES, depth=Q_DEPTH)
     return _MODELS[key], test
 
 
@@ -859,7 +861,8 @@ def q_cv_metrics(spark, sf_dir):
     from pricelens.operators.train import cross_validate
     train, _ = _split(spark, sf_dir)
     spread = train.agg(F.stddev_samp("log_price")).first()[0]
-    _, metrics = cross_validate(train.drop("log_price", "is_test"), ROLES, refit=False)
+    _, metrics = cross_validate(train.drop("log_price", "is_test"), ROLES, trees=Q_TREES, depth=Q_DEPTH,
+                                refit=False)
     mean = metrics.agg(F.avg("rmse")).first()[0]
     sound = F.when(F.col("fold") >= 0, (F.col("rmse") > 0) & (F.col("rmse") < spread)).otherwise(
         F.abs(F.col("avg_rmse") - mean) < 1e-9)
