@@ -28,6 +28,17 @@ def table_bytes(df: DataFrame) -> int:
     return int(df.agg(F.sum(size.cast("long"))).first()[0] or 0)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, from the file system's listing: nothing is run."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        at = jvm.org.apache.hadoop.fs.Path(name)
+        total += at.getFileSystem(conf).getFileStatus(at).getLen()
+    return total
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     return table_bytes(df) <= max_bytes
 

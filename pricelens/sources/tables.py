@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.config import LISTING_KEYS
+from pricelens.functions.joins import input_bytes
+
+#: orders ⋈ customer (one row per order) is broadcast up to this many bytes of ``orders`` files.
+BROADCAST_BYTES = 16 << 20
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -38,8 +42,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # key, part key) instead of three times; the planner does not reorder joins
     # without cost-based statistics.
     od_cu = od.join(cu, od.o_custkey == cu.c_custkey)
-    # No hint and no count here: AQE sees the runtime size of orders ⋈ customer, broadcasts
-    # it when it is under the threshold, and splits skewed partitions when it is not.
+    # Keep the fact table on the streamed side: broadcast orders ⋈ customer when the files of
+    # ``orders`` are small (their lengths are known without running anything); beyond that Spark
+    # shuffles both sides and AQE splits skewed partitions.
+    if input_bytes(od) <= BROADCAST_BYTES:
+        od_cu = F.broadcast(od_cu)
     joined = (li.join(od_cu, li.l_orderkey == od_cu.o_orderkey)
                 .join(pt, li.l_partkey == pt.p_partkey))
     return joined.select(
