@@ -204,7 +204,9 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         return e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
 
     def least(e: DataFrame) -> DataFrame:
-        return e.groupBy("_a").agg(F.least(F.col("_a"), F.min("_b")).alias("_m"))
+        # Written, so that the join with the links shuffles both sides afresh and AQE can split the
+        # partition of a node that very many links share.
+        return written(e.groupBy("_a").agg(F.least(F.col("_a"), F.min("_b")).alias("_m")), "simhash-least")
 
     def large_star(e: DataFrame) -> DataFrame:
         e = both(e)
