@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import SPACE_CLASS, n_words, written
+from pricelens.llm.common import SPACE_CLASS, n_words, shuffle_partitions, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -119,7 +119,7 @@ def slots(sources: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: in
     last = F.ceil(F.col("_words") / block).cast("long") - 1
     runs = epochs.withColumn("_last", last).withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(RUN).cast("long"))))
-    runs = runs.repartition("_sid", "_epoch", "_from")
+    runs = runs.repartition(shuffle_partitions(sources.sparkSession), "_sid", "_epoch", "_from")
     one = runs.withColumn("_slot", F.explode(F.sequence("_from", F.least(F.col("_last"), F.col("_from") + RUN - 1))))
     slot, key = F.col("_slot"), [F.lit(seed), F.col("_sid"), F.col("_epoch")]
     return one.select(
@@ -144,7 +144,9 @@ def pieces(at: DataFrame, block: int = BLOCK) -> DataFrame:
 def taken_parts(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
     """``pieces`` joined with the slots that read them: ``_words`` words from ``_lo`` on, 0 if unread."""
     at, sources = placed(docs, block, **how)
-    joined = pieces(at, block).join(slots(sources, block), ["_sid", "_block"], "left")
+    # The planner takes the slots for as small as the table of sources they are made from; they grow
+    # with the corpus and must not be broadcast.
+    joined = pieces(at, block).join(slots(sources, block).hint("merge"), ["_sid", "_block"], "left")
     words = F.greatest(F.least(F.col("_hi"), F.col("_take")) - F.col("_lo"), F.lit(0))
     return joined.withColumn("_words", F.when(F.col("_take").isNull(), 0).otherwise(words))
 
