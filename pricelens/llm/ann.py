@@ -16,7 +16,7 @@ one entry with their ``k + 1`` smallest ids (no query needs more of them), so a
 rows share is searched and found once; its queries meet the hits in a join that AQE can split. A query
 for which the probes find fewer than ``k`` is searched again against all vectors, in the same blocks.
 
-On the given vectors (64 components, close to random: the 20th neighbour is at 0.75 of the mean distance)
+On the given vectors (64 components, close to random: the 20th neighbour is at about three quarters of the mean distance)
 a recall above 0.9 needs most buckets, so a query's candidates are a large share of the table; with data
 that has nearer neighbours fewer probes do. ``recall`` measures it against brute force.
 
