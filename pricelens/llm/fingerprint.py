@@ -37,8 +37,10 @@ from pricelens.llm.common import shuffle_partitions
 
 SAMPLES = 128
 #: (word, count) pairs that a worker remembers: 128 x 8 bytes each.
-ROWS = 1 << 17
+ROWS = 1 << 18
 SEED = 6
+#: An odd 64-bit number without pattern: 2^64 over the golden ratio.
+GOLDEN = 0x9E3779B97F4A7C15
 
 
 class Sampler:
@@ -47,26 +49,31 @@ class Sampler:
         #: ln a in the upper bits, in an order that integers keep, and the sample's hash in the lowest 16:
         #: the least of a column is the slot's sample.
         self.packed = np.empty((rows, samples), dtype=np.uint64)
-        self.slots = (np.arange(samples, dtype=np.uint64) * np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15)
+        self.slots = (np.arange(samples, dtype=np.uint64) * np.uint64(2)) * np.uint64(GOLDEN)
         self.row: dict[tuple[bytes, int], int] = {}
 
     def draw(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
         """The packed rows of (word, count) pairs. Everything hangs on the word's hash and the count."""
         word = np.array([xxhash.xxh64_intdigest(w, self.seed) for w, _ in pairs], dtype=np.uint64)[:, None]
         log_w = np.log(np.array([n for _, n in pairs], dtype=np.float64)).astype(np.float32)[:, None]
-
-        def uniforms(k: int) -> tuple[np.ndarray, np.ndarray]:
-            x = mix(word + self.slots + np.uint64((k * 0x9E3779B97F4A7C15) & (1 << 64) - 1))
-            return tuple(((h & np.uint64(0x7FFFFF)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 23)
-                         for h in (x, x >> np.uint64(32)))
-
-        (u, v), (x, y), (b, _) = uniforms(1), uniforms(2), uniforms(3)
-        r, log_c = -np.log(u * v), np.log(-np.log(x * y))
+        shape = (len(pairs), self.samples, 2)
+        one = mix(word + self.slots).view(np.uint32).reshape(shape)  # four numbers of 32 bits a slot
+        two = mix(word + self.slots + np.uint64(GOLDEN)).view(np.uint32).reshape(shape)
+
+        def uniform(x: np.ndarray) -> np.ndarray:
+            """1/2 to 2^23 - 1/2, from the lower 23 bits."""
+            return (x & np.uint32(0x7FFFFF)).view(np.int32).astype(np.float32) + np.float32(0.5)
+
+        scale = np.float32(46 * np.log(2))  # of a product of two
+        r = scale - np.log(uniform(one[..., 0]) * uniform(one[..., 1]))
+        log_c = np.log(scale - np.log(uniform(two[..., 0]) * uniform(two[..., 1])))
+        b = (one[..., 0] >> np.uint32(23)) | (one[..., 1] >> np.uint32(23) << np.uint32(9))  # the 18 bits left
+        b = (b.view(np.int32).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 18)
         t = np.floor(log_w / r + b)
         bits = (log_c - r * (t - b) - r).view(np.uint32)
-        order = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
-        mark = mix(word ^ mix(t.astype(np.uint64) + np.uint64(1)))
-        return order << np.uint64(16) | mark & np.uint64(0xFFFF)
+        order = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
+        mark = mix(word) + t.astype(np.int32).astype(np.uint64) * np.uint64(GOLDEN)
+        return order << np.uint64(16) | mark >> np.uint64(48)
 
     def least(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
         """Column-wise least of the pairs' rows, which are drawn where they are new."""
