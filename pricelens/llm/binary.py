@@ -20,9 +20,13 @@ text; equal rows are written once each; an empty table writes no part. Other col
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,10 @@ from pricelens.session import shared_path
 
 END_ID = 1
 #: Stretches between white space that each of two generations holds in a worker, and the longest of them.
-CACHE = 300_000
+CACHE = 500_000
 CACHED_CHARS = 48
+#: A comma or stop before a space that does not follow a letter or digit.
+AFTER_SYMBOL = re.compile(r"[.,](?<=[^\w\s][.,]|_[.,])[ \n]")
 
 
 class IdPacker:
@@ -52,37 +58,56 @@ class IdPacker:
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def learn(self, stretches: list[str]) -> dict[str, bytes]:
-        ids = self.library.encode_batch(stretches, add_special_tokens=False)
-        return {s: np.array(e.ids, dtype=self.dtype).tobytes() for s, e in zip(stretches, ids, strict=True)}
+    def learn(self, stretches: set[str]) -> dict[str, bytes]:
+        """Ids of stretches that the younger generation lacks; those it may keep go there."""
+        older, kind = self.older, self.dtype.char
+        out = {s: ids for s in stretches if (ids := older.get(s)) is not None}
+        new = list(stretches.difference(out))
+        encoded = self.library.encode_batch(new, add_special_tokens=False)
+        out.update(zip(new, [array(kind, e.ids).tobytes() for e in encoded], strict=True))
+        if len(self.cache) + len(out) > CACHE:
+            self.older, self.cache = self.cache, {}
+        self.cache.update([(s, ids) for s, ids in out.items() if len(s) <= CACHED_CHARS][:CACHE])
+        return out
 
     def pack(self, texts: list[str]) -> list[bytes]:
-        parts = [split_spaces(t) for t in texts]
-        got: dict[str, bytes] = {}
-        for stretches in parts:
-            for s in set(stretches):
-                if s not in self.cache:
-                    got[s] = self.older.get(s, b"?")
-        if new := [s for s, ids in got.items() if ids == b"?"]:
-            got |= self.learn(new)
-        for s, ids in got.items():
-            if len(s) <= CACHED_CHARS:
-                if len(self.cache) >= CACHE:
-                    self.older, self.cache = self.cache, {}
-                self.cache[s] = ids
-        cache, older = self.cache, self.older
-        out = []
-        for stretches in parts:
-            try:
-                out.append(b"".join([cache[s] for s in stretches]))
-            except KeyError:  # too long to keep, or a generation older
-                out.append(b"".join([cache.get(s) or got.get(s) or older.get(s) or self.learn([s])[s] for s in stretches]))
-        return out
+        parts = [split_spaces(separated(t)) for t in texts]
+        get = self.cache.get
+        found = [list(map(get, stretches)) for stretches in parts]
+        missing = set()
+        for stretches, ids in zip(parts, found, strict=True):
+            if None in ids:
+                missing.update([s for s, x in zip(stretches, ids) if x is None])
+        got = self.learn(missing)
+        return [b"".join(ids if None not in ids else [got[s] if x is None else x for s, x in zip(stretches, ids)])
+                for stretches, ids in zip(parts, found, strict=True)]
+
+
+def has_separators(text: str) -> bool:
+    """Whether the text holds one of the four control codes that only Python takes for white space."""
+    return any(c in text for c in "\x1c\x1d\x1e\x1f")
+
+
+def separated(text: str) -> str:
+    """A text of the same ids with fewer distinct stretches: in lower case, where the tokenizer's own (letter by
+    letter, after composing accents) gives the same, and then with a space before each comma or stop that
+    ends a stretch, if a letter or digit stands before all of them: such marks are split off anyway."""
+    # Special tokens keep their letters; a last capital sigma differs; control codes count as marks.
+    if "<|" in text or "\u03a3" in text or has_separators(text):
+        return text
+    low = text.lower()
+    if not (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low))):
+        return text
+    if not AFTER_SYMBOL.search(low):
+        low = low.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+    return low
 
 
 def split_spaces(text: str) -> list[str]:
-    """Stretches between ASCII spaces, tabs and line ends: white space for the tokenizer in any case."""
-    return [s for s in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if s]
+    """Stretches between white space, as the tokenizer and Python agree on it: all but four control codes."""
+    if has_separators(text):
+        return [s for s in re.split(r"[ \n\t\r]+", text) if s]
+    return text.split()
 
 
 _PACKERS: dict[str, IdPacker] = {}
@@ -91,6 +116,7 @@ _PACKERS: dict[str, IdPacker] = {}
 def packer_of(path: str) -> IdPacker:
     """The worker's tokenizer: later tasks of the same worker find it warm."""
     if path not in _PACKERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core: more threads only wait for it
         _PACKERS[path] = IdPacker(path)
     return _PACKERS[path]
 
