@@ -144,16 +144,20 @@ def tile_hits(data: DataFrame, queries: DataFrame, most: int, shard_rows: int, q
                 pos = np.minimum(np.searchsorted(buckets, keys), len(buckets) - 1)
                 visits[i, pos[buckets[pos] == keys]] = True
             near = np.flatnonzero(visits.any(axis=0)[bucket])  # vectors in a bucket that some query visits
-            scores = np.stack(some["_vec"].to_numpy()) @ x[near].T
+            vectors = np.stack(some["_vec"].to_numpy())
+            scores = vectors @ x[near].T
             scores[~visits[:, bucket[near]]] = -np.inf
             for i in range(len(some)):
                 row = scores[i]
                 floor = np.partition(row, -most)[-most] if len(row) > most else -np.inf
                 take = np.flatnonzero((row >= floor) & (row > -np.inf))
                 if len(take):
-                    take = take[np.lexsort((rep[near[take]], -row[take]))][:most]
+                    # Scored pair by pair: a product's last digit must not hang on the block it is in, or
+                    # a vector that two tables find would count twice.
+                    found, exact = rep[near[take]], (x[near[take]] * vectors[i]).sum(axis=1)
+                    best_first = np.lexsort((found, -exact))[:most]
                     kept.append(names[at + i])
-                    hits.append([{"away": a, "rep": r} for a, r in zip((-row[take]).tolist(), rep[near[take]].tolist())])
+                    hits.append([{"away": -exact[k], "rep": found[k]} for k in best_first])
         return pd.DataFrame({"_q": np.array(kept, dtype=np.int64), "_hits": hits})
 
     return data.groupBy(*tile).cogroup(queries.groupBy(*tile)).applyInPandas(
