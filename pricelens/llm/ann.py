@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
-Inner products are turned into distances: vectors are divided by the greatest norm and get one more
-component that makes them unit vectors (a query's is 0), so that the nearest by distance has the largest
-product. Each of ``TABLES`` tables hashes a vector by ``PROJECTIONS`` Gaussian projections, floor((a x +
+Inner products are turned into distances band by band of equal norm: every vector is divided by its own
+norm, so that among vectors of one norm the nearest has the largest product, and no vector's norm shrinks
+the others. Norms differ in what they need: a vector of a norm above ``LONG`` times the median one can be
+a neighbour at a wide angle, so these are no matter of buckets but seen by every query, in chunks like a
+hot bucket's. Each of ``TABLES`` tables hashes a vector by ``PROJECTIONS`` Gaussian projections, floor((a x +
 b) / ``WIDTH``). A query visits its own bucket and ``PROBES`` - 1 perturbed ones per table, in the order of
 estimated success: its coordinates' distances to their cell borders are sorted, and perturbation sets are
 taken in the order of the expected sum of squares of the distances at their ranks. Candidates of all
@@ -14,7 +16,8 @@ queries visit, is cut into chunks, and each pair of a vector chunk and a query c
 group is larger than two chunks. A group hands on ``k + 1`` hits per query, as one row. Equal vectors are
 one entry with their ``k + 1`` smallest ids (no query needs more of them), so a vector that a third of the
 rows share is searched and found once; its queries meet the hits in a join that AQE can split. A query
-for which the probes find fewer than ``k`` is searched again against all vectors, in the same blocks.
+for which the probes find fewer than ``k``, or none but negative products for the last, is searched again
+against all vectors, in the same blocks.
 
 On the given vectors (64 components, close to random: the 20th neighbour is at about three quarters of the mean distance)
 a recall above 0.9 needs most buckets, so a query's candidates are a large share of the table; with data
@@ -45,6 +48,7 @@ TABLES = 8
 PROJECTIONS = 8
 WIDTH = 2.2
 PROBES = 96
+LONG = 1.5
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
 SEED = 5
@@ -72,24 +76,23 @@ def perturbations(m: int, n: int) -> list[tuple[int, ...]]:
 class Hashes:
     """The tables' projections; the same on every worker."""
 
-    def __init__(self, dim: int, norm: float, tables: int, projections: int, width: float, seed: int = SEED):
+    def __init__(self, dim: int, tables: int, projections: int, width: float, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.norm, self.tables, self.m, self.width = norm, tables, projections, width
-        self.a = rng.normal(size=(tables, dim + 1, projections))
+        self.tables, self.m, self.width = tables, projections, width
+        self.a = rng.normal(size=(tables, dim, projections))
         self.b = rng.uniform(0, width, size=(tables, projections))
         self.key = rng.integers(1, 1 << 62, size=(tables, projections), dtype=np.int64) | 1
 
-    def cells(self, x: np.ndarray, table: int, query: bool) -> tuple[np.ndarray, np.ndarray]:
+    def cells(self, x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
         """Bucket keys, and the place of each coordinate within its cell (0 to 1)."""
-        x = x / (np.linalg.norm(x, axis=1, keepdims=True) if query else self.norm)
-        rest = np.zeros((len(x), 1)) if query else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1, keepdims=True)))
-        f = (np.hstack([x, rest]) @ self.a[table] + self.b[table]) / self.width
+        x = x / np.abs(x).max(axis=1, keepdims=True)  # no square of it overflows
+        f = (x / np.linalg.norm(x, axis=1, keepdims=True) @ self.a[table] + self.b[table]) / self.width
         cell = np.floor(f)
         return (cell.astype(np.int64) * self.key[table]).sum(axis=1), f - cell
 
     def probes(self, x: np.ndarray, table: int, sets: list[tuple[int, ...]]) -> np.ndarray:
         """Keys of the buckets to visit, a row per vector."""
-        own, inside = self.cells(x, table, query=True)
+        own, inside = self.cells(x, table)
         order = np.argsort(np.hstack([inside, 1 - inside]), axis=1)  # a lower neighbour, then an upper one
         step = np.hstack([-self.key[table], self.key[table]])[order]
         out = np.empty((len(x), len(sets)), dtype=np.int64)
@@ -164,10 +167,11 @@ def tile_hits(data: DataFrame, queries: DataFrame, most: int, shard_rows: int, q
         score, "_q long, _hits array<struct<away: double, rep: long>>")
 
 
-def best(hits: DataFrame, most: int) -> DataFrame:
+def best(hits: DataFrame, most: int, tables: int) -> DataFrame:
     """The best ``most`` hits of each query over all tables and chunks. A query has at most ``most`` from
-    each shard it visits, and visits at most as many as it has probes."""
-    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_hits"))))
+    each shard it visits, and visits at most as many as it has probes. A vector is found once a table, with
+    one score, so the first ``most * tables`` hold ``most`` vectors if there are so many."""
+    merged = F.array_distinct(F.slice(F.sort_array(F.flatten(F.collect_list("_hits"))), 1, most * tables))
     return hits.groupBy("_q").agg(F.slice(merged, 1, most).alias("_hits"))
 
 
@@ -178,26 +182,26 @@ def neighbours(embeddings: DataFrame, k: int = K, query_step: int = QUERY_STEP,
     reps, rows = entries(embeddings, k, id_col, vec_col)
     queries = rows.where(F.pmod("_id", F.lit(query_step)) == 0).join(reps.select("_h", "_g", "_rep"), ["_h", "_g"])
     queries = written(queries.select(F.col("_id").alias("query_id"), F.col("_rep").alias("_q")), "ann-queries")
-    about = reps.agg(F.count("*"), F.max(F.sqrt(F.aggregate("_vec", F.lit(0.0), lambda s, x: s + x * x))),
-                     F.max(F.size("_vec"))).first()
-    n, norm, dim = about[0], about[1] or 1.0, about[2] or 1
+    norm = F.sqrt(F.aggregate("_vec", F.lit(0.0), lambda s, x: s + x * x))
+    about = reps.agg(F.count("*"), F.percentile_approx(norm, 0.5), F.max(F.size("_vec"))).first()
+    n, long, dim = about[0], norm > LONG * (about[1] or 1.0), about[2] or 1
     shards = max(1, -(-n // shard_rows))
     asked = reps.select("_rep", "_vec").join(queries.select(F.col("_q").alias("_rep")).distinct(), "_rep", "left_semi")
     asked = written(asked, "ann-asked")
     sets = perturbations(projections, probes)
 
     def index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes(dim, norm, tables, projections, width)
+        hashes = Hashes(dim, tables, projections, width)
         for f in frames:
             if len(f):
                 x = np.stack(f["_vec"].to_numpy())
                 for t in range(tables):
-                    key = hashes.cells(x, t, query=False)[0]
+                    key = hashes.cells(x, t)[0]
                     yield pd.DataFrame({"_table": t, "_shard": shard_of(key, shards), "_bucket": key,
                                         "_rep": f["_rep"], "_vec": f["_vec"]})
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes(dim, norm, tables, projections, width)
+        hashes = Hashes(dim, tables, projections, width)
         for f in frames:
             if len(f):
                 x = np.stack(f["_vec"].to_numpy())
@@ -208,18 +212,28 @@ def neighbours(embeddings: DataFrame, k: int = K, query_step: int = QUERY_STEP,
                            for i in range(len(f)) for s in np.unique(to[i]).tolist()]
                     yield pd.DataFrame(out, columns=["_shard", "_q", "_vec", "_buckets"]).assign(_table=t)
 
-    data = reps.select("_rep", "_vec").mapInPandas(
+    def whole(vectors: DataFrame, table: int) -> DataFrame:
+        """One bucket of ``vectors``; ``searched`` are the queries that see all of it."""
+        return vectors.select(F.lit(table).alias("_table"), F.lit(0).cast("long").alias("_shard"),
+                              F.lit(0).cast("long").alias("_bucket"), "_rep", "_vec")
+
+    def searched(queries: DataFrame, table: int) -> DataFrame:
+        return queries.select(F.lit(0).cast("long").alias("_shard"), F.col("_rep").alias("_q"), "_vec",
+                              F.array(F.lit(0).cast("long")).alias("_buckets"), F.lit(table).alias("_table"))
+
+    data = reps.where(~long).select("_rep", "_vec").mapInPandas(
         index, "_table int, _shard long, _bucket long, _rep long, _vec array<double>")
     probing = asked.select("_rep", "_vec").mapInPandas(
         visit, "_shard long, _q long, _vec array<double>, _buckets array<long>, _table int")
-    found = written(best(tile_hits(data, probing, k + 1, shard_rows, QUERY_ROWS), k + 1), "ann-found")
-    # Queries with too few hits see every vector: one bucket, cut into chunks like any hot bucket.
-    few = asked.join(found.where(F.size("_hits") >= min(k + 1, n)).select(F.col("_q").alias("_rep")), "_rep", "left_anti")
-    one = {"_table": F.lit(0), "_shard": F.lit(0)}
-    again = tile_hits(reps.select("_rep", "_vec", F.lit(0).cast("long").alias("_bucket")).withColumns(one),
-                      few.select(F.col("_rep").alias("_q"), "_vec", F.array(F.lit(0).cast("long")).alias("_buckets"))
-                      .withColumns(one), k + 1, shard_rows, QUERY_ROWS)
-    found = found.where(F.size("_hits") >= min(k + 1, n)).unionByName(best(again, k + 1))
+    data = data.unionByName(whole(reps.where(long), tables))
+    probing = probing.unionByName(searched(asked, tables))
+    found = written(best(tile_hits(data, probing, k + 1, shard_rows, QUERY_ROWS), k + 1, tables), "ann-found")
+    # Other queries see every vector: too few hits, or products so small that the nearest are beyond a right
+    # angle, where buckets say nothing. One bucket, cut into chunks like any hot bucket.
+    enough = (F.size("_hits") >= n) | ((F.size("_hits") > k) & (F.element_at("_hits", -1)["away"] < 0))
+    few = asked.join(found.where(enough).select(F.col("_q").alias("_rep")), "_rep", "left_anti")
+    again = tile_hits(whole(reps, 0), searched(few, 0), k + 1, shard_rows, QUERY_ROWS)
+    found = found.where(enough).unionByName(best(again, k + 1, 1))
     hits = found.select("_q", F.explode("_hits").alias("_hit"))
     hits = hits.select("_q", (-F.col("_hit.away")).alias("score"), F.col("_hit.rep").alias("_rep"))
     hits = hits.join(reps.select("_rep", "_ids"), "_rep").select("_q", "score", F.explode("_ids").alias("vec_id"))

@@ -74,3 +74,24 @@ def test_perturbations_are_in_order_and_never_both_ways():
     sets = ann.perturbations(4, 40)
     assert sets[0] == () and sets[1] == (1,) and len(set(sets)) == 40
     assert all(9 - j not in s for s in sets for j in s)
+
+
+def test_recall_at_registered_parameters_when_norms_differ(spark):
+    rng = np.random.default_rng(3)
+    unit = rng.normal(size=(1000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    outlier = np.where(np.arange(1000) == 7, 3.0, 1.0)
+    for norms in (outlier, rng.lognormal(0, 0.5, 1000), rng.lognormal(0, 1.5, 1000)):
+        vectors = unit * norms[:, None]
+        got, want = found(ann.neighbours(frame(spark, vectors))), brute(vectors, range(1000), 20, 20)
+        hit = sum(len({j for j, _ in want[q]} & {j for j, _ in got[q]}) for q in want)
+        assert got.keys() == want.keys() and hit >= 0.9 * 20 * len(want)
+
+
+def test_query_with_negative_products_only(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(400, 16)) * rng.uniform(0.2, 1, size=(400, 1))
+    vectors[:, 0] = np.abs(vectors[:, 0]) + 0.5
+    vectors[0] = -np.eye(16)[0]
+    got, want = found(ann.neighbours(frame(spark, vectors), query_step=400)), brute(vectors, range(400), 20, 400)
+    assert [j for j, _ in got[0]] == [j for j, _ in want[0]]
