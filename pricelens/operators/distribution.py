@@ -85,7 +85,9 @@ def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: in
     The grid runs from ``min - cut*bw`` to ``max + cut*bw`` (``cut=0``: histogram
     overlay; ``cut=2``, 100 points: violin). By default each group is first reduced to
     ``bins`` weighted bin centres (error below ``bin width / 2`` in x), so the kernel
-    work is ``bins x grid`` per group; ``binned=False`` evaluates every row. Output:
+    work is ``bins x grid`` per group; ``binned=False`` evaluates every row. Where an extreme
+    value makes these bins wider than an eighth of the bandwidth, bins have that width instead
+    and stand for the mean of their values; only non-empty bins are kept. Output:
     ``by..., k, x, density, n, bw``; a group with zero spread has no density rows.
     """
     by = list(by)
@@ -115,11 +117,15 @@ def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: in
     weight = None
     points = data
     if binned:
-        width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-        pts = attach(data, ["mn", "mx"])
-        pts = pts.withColumn("__b", F.least(F.floor((F.col("__x") - F.col("mn")) / width), F.lit(bins - 1)))
-        points = (pts.groupBy(*by, "__b", "mn", "mx").agg(F.count(F.lit(1)).alias("__wt"))
-                     .select(*by, (F.col("mn") + (F.col("__b") + 0.5) * width).alias("__x"),
+        width, narrow = (F.col("mx") - F.col("mn")) / F.lit(float(bins)), F.col("bw") / F.lit(8.0)
+        off = F.col("__x") - F.col("mn")
+        pts = attach(data, ["mn", "mx", "bw"])
+        pts = pts.withColumn("__b", F.when(narrow < width, F.floor(off / narrow))
+                             .otherwise(F.least(F.floor(off / width), F.lit(bins - 1))))
+        points = (pts.groupBy(*by, "__b", "mn", "mx", "bw")
+                     .agg(F.count(F.lit(1)).alias("__wt"), F.avg(off).alias("__off"))
+                     .select(*by, F.when(narrow < width, F.col("mn") + F.col("__off"))
+                             .otherwise(F.col("mn") + (F.col("__b") + 0.5) * width).alias("__x"),
                              F.col("__wt").cast("double").alias("__wt")))
         weight = "__wt"
     points = attach(points, ["__lo", "__step", "bw"]).withColumnRenamed("bw", "__bw")

@@ -42,6 +42,17 @@ def test_density_exact_and_binned(spark):
     assert max(abs(r.density - e) for r, e in zip(binned, expect)) < 1e-3 * peak
 
 
+def test_binned_density_with_one_extreme_value(spark):
+    from pyspark.sql import functions as F
+    bulk = spark.range(0, 200_000, 1, 4).select(F.lit("a").alias("g"), F.exp(10 + F.randn(3)).alias("x"))
+    df = bulk.unionByName(spark.createDataFrame([("a", 1e9)], "g string, x double"))
+    for of in (lambda **how: dist.density(df, "x", **how), lambda **how: dist.violin_density(df, "g", "x", **how)):
+        exact = [r.density for r in of(binned=False).orderBy("k").collect()]
+        binned = [r.density for r in of().orderBy("k").collect()]
+        assert np.allclose(binned, exact, rtol=1e-2, atol=1e-6 * max(exact))
+        assert np.isclose(max(binned), max(exact), rtol=2e-3)
+
+
 def test_density_by_group_and_zero_spread(spark):
     rows = [("a", float(v)) for v in range(50)] + [("b", 1.0)] * 10
     df = spark.createDataFrame(rows, "g string, x double")
