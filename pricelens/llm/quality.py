@@ -186,13 +186,16 @@ def _text(name: str):
 
 
 def sample_views(docs: DataFrame, ids: list[int], id_col: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Features of the named documents (a bounded list), computed on the executors."""
+    """Features of the named documents (a bounded list), computed on the executors: one row per id, of rows that
+    repeat it the one of the least hash of its text, then of all three columns."""
     if not ids:
         return {}
     spark = docs.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(i,) for i in ids], "_id long"))
     rows = docs.select(F.col(id_col).alias("_id"), *[_text(c).alias(c) for c in ("text", "lang", "source")])
     rows = rows.join(wanted, "_id", "left_semi")
+    least = F.struct(F.xxhash64("text").alias("_h"), F.xxhash64("text", "lang", "source").alias("_g"), "text", "lang", "source")
+    rows = rows.groupBy("_id").agg(F.min(least).alias("_row")).select("_id", "_row.text", "_row.lang", "_row.source")
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -48,3 +48,12 @@ def test_scores_do_not_hang_on_partitions(small_docs, spark):
     one = {r.doc_id: round(r.score, 9) for r in quality.quality_report(small_docs, labels).collect()}
     two = {r.doc_id: round(r.score, 9) for r in quality.quality_report(small_docs.repartition(5), labels).collect()}
     assert one == two
+
+
+def test_sample_has_one_row_per_id_in_any_order(spark):
+    rows = [(1, f"text {i} " * (i % 7 + 1), "en", "a") for i in range(60)] + [(2, "other", None, "b")]
+    got = [quality.sample_views(spark.createDataFrame(some, "doc_id long, text string, lang string, source string")
+                                .repartition(parts), [1, 2], "doc_id")
+           for some, parts in ((rows, 1), (rows[::-1], 1), (rows, 7))]
+    assert all(g.keys() == {1, 2} for g in got)
+    assert all(np.array_equal(g[i][v], got[0][i][v]) for g in got for i in (1, 2) for v in (0, 1))
