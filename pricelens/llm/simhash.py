@@ -263,15 +263,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, block
 def one_of_each_group(docs: DataFrame, words: int = WORDS, bits: int = BITS, blocks: int = BLOCKS,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near-duplicates: of each component the row of the least id stays (of rows that
-    repeat that id one, whichever has the least hash of its text, then of all columns). Rows with null id stay."""
+    repeat that id one, whichever has the least hash of its text, then of all columns). A null id comes after
+    all others."""
     rows = grouped(docs, words, bits, blocks, id_col, text_col)
-    best = written(rows.where(F.col("_id").isNotNull()).groupBy("_root").agg(
-        F.min(F.struct("_id", "_hash")).alias("_best")).select("_best._id", "_best._hash"), "simhash-kept")
+    best = written(rows.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")).alias("_best"))
+                   .select("_best._id", "_best._hash"), "simhash-kept")
     best = best.withColumnsRenamed({"_id": "_keep", "_hash": "_keep_hash"}).distinct()
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     mine = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), text_hash.alias("_hash"))
-    kept = mine.where(F.col("_id").isNotNull()).join(
-        best, (F.col("_id") == F.col("_keep")) & (F.col("_hash") == F.col("_keep_hash")), "left_semi")
+    kept = mine.join(best, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keep_hash")), "left_semi")
     alike = W.partitionBy("_id", "_hash").orderBy(F.xxhash64(*[F.col(f"_row.`{c}`") for c in docs.columns]))
     kept = kept.withColumn("_n", F.row_number().over(alike)).where("_n = 1")
-    return kept.select("_row.*").unionByName(docs.where(F.col(id_col).isNull()))
+    return kept.select("_row.*")

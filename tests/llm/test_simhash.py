@@ -109,3 +109,11 @@ def test_one_document_of_each_group_stays(messy):
     found = s.near_duplicates(messy).where("doc_id is not null").groupBy("component_id").agg(F.min("doc_id")).collect()
     assert sorted(i for i in got if i is not None) == sorted(r.component_id for r in found)
     assert got.count(None) == 1
+
+
+def test_rows_without_an_id_join_their_group(spark):
+    a, b, c = ("one two three four five six seven", "entirely other words stand in this row", "and a third text that is unlike both")
+    docs = spark.createDataFrame([(None, a, 1), (5, a, 2), (None, a, 3), (None, b, 4), (None, b, 5), (None, c, 6)],
+                                 "doc_id long, text string, n int")
+    got = [(r.doc_id, r.text) for r in s.one_of_each_group(docs).collect()]
+    assert len(got) == 3 and set(got) == {(5, a), (None, b), (None, c)}
