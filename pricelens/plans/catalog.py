@@ -828,17 +828,13 @@ def q_regression_metrics(spark, sf_dir):
 #: Forest of the registered queries. The library's defaults (200 trees of depth 12) need more than the
 #: 1 GB heap that a session has by default and minutes a fit; see the README. Folds are the full ten.
 Q_TREES, Q_DEPTH = 20, 5
-_MODELS: dict[tuple[str, str], object] = {}
 
 
 def _fitted(spark, sf_dir):
-    """(model, test rows); fitted once per session and table folder for the queries that share it."""
+    """(model, test rows); fitted anew in every query, on the tables as they are then."""
     from pricelens.operators.train import fit_forest
     train, test = _split(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = fit_forest(train.drop("log_price", "is_test"), ROLES, trees=Q_TREES, depth=Q_DEPTH)
-    return _MODELS[key], test
+    return fit_forest(train.drop("log_price", "is_test"), ROLES, trees=Q_TREES, depth=Q_DEPTH), test
 
 
 @query("rf_predict", f"WITH {SPLIT} SELECT {KEYS_SQL}, round(log_price, 9) AS log_price, true AS in_range FROM test")
