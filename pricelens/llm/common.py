@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +58,15 @@ def n_words(text: Column) -> Column:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later jobs and retries start from files."""
     return materialize(df, name)
+
+
+def text_slices(batch: pa.RecordBatch, text: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts (column number ``text``) hold about ``max_bytes`` at most, or one text."""
+    column, start, held = batch.column(text), 0, 0
+    for at, size in enumerate(pa.compute.binary_length(column).to_pylist()):
+        if held and held + (size or 0) > max_bytes:
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size or 0
+    if start < batch.num_rows:
+        yield batch.slice(start)

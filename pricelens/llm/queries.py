@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import (ann, binary, fingerprint, line_dedup, mixture, quality, sharding, simhash, sp_encode,
-                           url_filter)
+from pricelens.llm import (ann, binary, fingerprint, html_text, lexical, line_dedup, mixture, periodic, quality,
+                           sharding, simhash, sp_encode, url_filter)
 from pricelens.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.id_report(table(spark, sf_dir, "documents"), WORD_MODEL)
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(periodic.edited(table(spark, sf_dir, "documents")))
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -71,7 +83,7 @@ def _prepared(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _prepared(q) for q in (
     op1_url_filter, op2_simhash, op3_line_dedup, op4_mixture, op5_nearest, op6_fingerprint, op7_quality,
-    op8_sentencepiece, op9_sharding, op10_token_files)}
+    op8_sentencepiece, op9_sharding, op10_token_files, op11_html_text, op12_lexical_search, op13_periodic_runs)}
 
 
 def _rule_cases(column: int) -> str:
@@ -120,4 +132,24 @@ ORACLE: dict[str, str] = {
         select doc_id, count(*) as n_lines, cast(count(*) filter (lost) as bigint) as n_dropped,
                sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not coalesce(lost, false)), '')) as kept_sha256
         from marked group by row_id, doc_id""",
+    "op12_lexical_search": f"""
+        with docs as (
+            select row_number() over () as d, doc_id, list_filter(regexp_split_to_array({_LOWER.format('text')}, '{lexical.BETWEEN}'),
+                   lambda t: t <> '') as terms
+            from documents),
+        counted as (select d, doc_id, len(terms) as n, unnest(terms) as term from docs),
+        tfs as (select d, doc_id, n, term, count(*) as tf from counted group by all),
+        sums as (select count(*) as n_docs, cast(sum(len(terms)) as bigint) as n_terms from docs where len(terms) > 0),
+        dfs as (select term, count(*) as df from tfs group by term),
+        items as (
+            select row_number() over () as i, item_id, unnest(list_distinct(list_filter(
+                   regexp_split_to_array({_LOWER.format('text')}, '{lexical.BETWEEN}'), lambda t: t <> ''))) as term
+            from benchmark),
+        scores as (
+            select i, item_id, d, doc_id, cast(sum(cast(floor(1000 * ln((2.0 * n_docs + 2) / (2 * df + 1))) as bigint)
+                   * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) as bigint) as score
+            from items join tfs using (term) join dfs using (term) cross join sums group by i, item_id, d, doc_id)
+        select item_id, cast(row_number() over (partition by i order by score desc, doc_id) as integer) as rank, doc_id, score
+        from scores where score > 0
+        qualify rank <= {lexical.K}""",
 }
