@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,39 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, SPACE_CLASS + "+"))).cast("long")
 
 
+def in_ranges(rows: DataFrame, ranges: int, id_col: str = "_id", tie_col: str = "_tie") -> DataFrame:
+    """``rows`` with ``_range``: about equal ranges in the order of (id, tie), null ids in ranges of their own below
+    all others. ``tie_col`` holds 64-bit hashes: an id (or null) with the rows of several ranges is cut by them, so
+    no id makes a range too large. The cuts are approximate quantiles of the ids, one number a range."""
+    found = rows.agg(F.percentile_approx(id_col, [i / ranges for i in range(1, ranges)], 20 * ranges) if ranges > 1 else F.lit(None),
+                     F.count(F.lit(1)), F.count(id_col)).first()
+    nulls = max(1, round(ranges * (found[1] - found[2]) / max(1, found[1])))
+    times = Counter(found[0] or [])
+    # A bucket is [edge, next edge); hot ids (below 2^53, where doubles are exact) are buckets of their own.
+    edges, parts = [float("-inf")], [1]
+    for cut in sorted(times):
+        hot = times[cut] > 1 and abs(cut) < 1 << 53
+        if edges[-1] != cut:
+            edges.append(float(cut))
+            parts.append(1)
+        if hot:
+            parts[-1] = times[cut]
+            edges.append(float(cut + 1))
+            parts.append(1)
+    first = [nulls + sum(parts[:k]) for k in range(len(parts))]
+    at = rows.withColumn("_at", F.coalesce(F.col(id_col).cast("double"), F.lit(0.0)))
+    if len(edges) > 1:
+        at = Bucketizer(splits=[*edges, float("inf")], inputCol="_at", outputCol="_bucket").transform(at)
+    else:
+        at = at.withColumn("_bucket", F.lit(0))
+    bucket = F.col("_bucket").cast("int") + 1
+    null = F.col(id_col).isNull()
+    n = F.when(null, F.lit(nulls)).otherwise(F.element_at(F.lit(parts), bucket))
+    start = F.when(null, F.lit(0)).otherwise(F.element_at(F.lit(first), bucket))
+    share = F.shiftrightunsigned(F.col(tie_col).bitwiseXOR(F.lit(-1 << 63)), 33) / F.lit(float(1 << 31))  # 0 to 1
+    return at.withColumn("_range", (start + F.floor(share * n)).cast("int")).drop("_at", "_bucket")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later jobs and retries start from files."""
     return materialize(df, name)

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from pricelens.llm import fingerprint as f
 
@@ -12,10 +13,14 @@ def jaccard(a, b):
     return sum((a & b).values()) / whole if whole else 1.0
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
 def ordered(docs):
-    """Descending id, nulls last, equal ids by descending text."""
+    """Descending id, nulls last, equal ids by descending text hash, then text."""
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
-    rows.sort(key=lambda r: r[1].encode(), reverse=True)
+    rows.sort(key=lambda r: (signed(xxhash.xxh64_intdigest(r[1].encode(), 42)), r[1].encode()), reverse=True)
     return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
 
 
@@ -62,6 +67,21 @@ def test_a_full_array_starts_anew_and_changes_nothing():
     assert all((small.fingerprint(t) == large.fingerprint(t)).all() for t in texts)
 
 
+def test_hot_and_null_ids_span_ranges(spark):
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"row {i} of a table whose ids repeat {i % 11}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(docs)
+    keyed = f.in_ranges(docs.select(f.F.col("doc_id").alias("_id"), f.F.xxhash64("text").alias("_tie")), 32)
+    sizes = [r["count"] for r in keyed.groupBy("_range").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 60
+
+
+def test_gamma_numbers():
+    x = f.gamma_quantiles(10)
+    assert (np.diff(x) > 0).all()
+    assert np.allclose(1 - (1 + x) * np.exp(-x), (np.arange(1024) + 0.5) / 1024, atol=1e-9)
+
+
 def test_words_of_many_documents_in_ranges(spark):
     docs = spark.createDataFrame([(i % 37, f"text {i} " * (i % 5)) for i in range(300)], "doc_id long, text string")
     check(docs)
