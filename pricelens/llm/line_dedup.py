@@ -5,10 +5,10 @@ are counted per hash, and a key of at least ``min_chars`` code points found in a
 documents loses its lines everywhere but in the largest id that holds it. What stays is joined again in
 order of position. DataFrame operations only; keys are compared by their 128-bit MD5.
 
-Scale: only (id, 16-byte hash) rows are counted, deduplicated per document before they leave the task.
-The count spreads a line that a third of the documents hold over its documents first (two-step distinct
-count). Frequent keys are written, then joined back; that join's hot side can be split by AQE. Texts
-shuffle once, to meet their list of lost keys.
+Scale: texts are split and hashed once; rows of (id, text hash, position, 16-byte line hash) are counted, a line
+that a third of the documents hold spread over its documents first (two-step distinct count). Frequent keys are
+written, then joined back; that join's hot side can be split by AQE. Texts shuffle once, to meet the positions that they
+lose; the others are taken out by one hash lookup a line, so a text's cost is linear in its lines.
 
 Defined results: null or empty text is one empty line; rows that share an id are one document: counted
 once, and each loses the same lines; a row with null id counts for no key and keeps all its lines; an
@@ -39,23 +39,28 @@ def line_hash(line: Column, min_chars: int) -> Column:
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with columns ``_n_lines``, ``_n_dropped`` and ``_kept`` (the text that stays)."""
-    hashes = F.array_compact(F.transform(lines_of(F.col(text_col)), lambda x: line_hash(x, min_chars)))
-    held = written(docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.explode(F.array_distinct(hashes)).alias("_hash")), "line-hashes")
+    text = F.col(text_col)
+    # Rows of one id and text are alike: they hold the same lines at the same places.
+    tie = F.xxhash64(F.coalesce(text, F.lit("")))
+    marked = F.filter(F.transform(lines_of(text), lambda x, i: F.struct(i.alias("at"), line_hash(x, min_chars).alias("hash"))),
+                      lambda e: e["hash"].isNotNull())
+    held = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("_id"), tie.alias("_tie"), F.explode(marked).alias("_line"))
+    held = written(held.select("_id", "_tie", F.col("_line.at").alias("_at"), F.col("_line.hash").alias("_hash")), "line-hashes")
     frequent = written(held.groupBy("_hash").agg(F.count_distinct("_id").alias("_docs"), F.max("_id").alias("_last"))
                        .where(F.col("_docs") >= min_docs).select("_hash", "_last"), "frequent-lines")
     lost = (held.join(frequent, "_hash").where(F.col("_id") != F.col("_last"))
-            .groupBy("_id").agg(F.collect_set("_hash").alias("_lost")))
-    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id")).join(lost, "_id", "left")
-    lines = lines_of(F.col(f"_row.{text_col}"))
-
-    def stays(line: Column) -> Column:
-        return ~F.coalesce(F.array_contains(F.col("_lost"), line_hash(line, min_chars)), F.lit(False))
-
-    kept = F.when(F.col("_lost").isNull(), lines).otherwise(F.filter(lines, stays))
-    rows = rows.select("_row", F.size(lines).cast("long").alias("_n_lines"), kept.alias("_lines"))
-    return rows.select("_row", "_n_lines", (F.col("_n_lines") - F.size("_lines")).alias("_n_dropped"),
-                       F.concat_ws("\n", "_lines").alias("_kept"))
+            .groupBy("_id", "_tie").agg(F.collect_set("_at").alias("_lost")))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), tie.alias("_tie")).join(lost, ["_id", "_tie"], "left")
+    # ``_lines`` and ``_stay`` are columns of their own: inside a lambda they would be made anew for every line.
+    rows = rows.select("_row", "_lost", lines_of(F.col(f"_row.{text_col}")).alias("_lines"))
+    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    rows = rows.select("_row", "_lines", F.when(F.col("_lost").isNotNull(), F.array_except(every, F.col("_lost"))).alias("_stay"))
+    kept = F.when(F.col("_stay").isNull(), F.coalesce(F.col(f"_row.{text_col}"), F.lit(""))).otherwise(
+        F.concat_ws("\n", F.transform("_stay", lambda i: F.get("_lines", i))))
+    n = F.size("_lines").cast("long")
+    return rows.select("_row", n.alias("_n_lines"),
+                       F.when(F.col("_stay").isNull(), F.lit(0)).otherwise(n - F.size("_stay")).alias("_n_dropped"), kept.alias("_kept"))
 
 
 def line_report(docs: DataFrame, **how) -> DataFrame:
