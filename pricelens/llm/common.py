@@ -57,6 +57,12 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, SPACE_CLASS + "+"))).cast("long")
 
 
+def row_hash(df: DataFrame, at: str = "") -> Column:
+    """A 64-bit hash of a row over all its columns (``at``: the struct column that holds them), maps as their JSON."""
+    columns = [(F.col(f"{at}`{name}`"), kind) for name, kind in df.dtypes]
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else c for c, kind in columns])
+
+
 def in_ranges(rows: DataFrame, ranges: int, id_col: str = "_id", tie_col: str = "_tie") -> DataFrame:
     """``rows`` with ``_range``: about equal ranges in the order of (id, tie), null ids in ranges of their own below
     all others. ``tie_col`` holds 64-bit hashes: an id (or null) with the rows of several ranges is cut by them, so

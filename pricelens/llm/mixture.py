@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import SPACE_CLASS, n_words, shuffle_partitions, written
+from pricelens.llm.common import SPACE_CLASS, n_words, row_hash, shuffle_partitions, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -88,9 +88,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 def placed(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """(documents, sources): each document's place in its source's stream, without texts."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     sized = written(docs.select(
-        F.col(id_col).alias("_id"), row_hash.alias("_hash"), F.col(source_col).alias("_source"),
+        F.col(id_col).alias("_id"), row_hash(docs).alias("_hash"), F.col(source_col).alias("_source"),
         n_words(F.col(text_col)).alias("_size"),
     ).withColumn("_chunk", F.pmod(F.xxhash64("_id", "_hash"), F.lit(CHUNKS))), "mix-sizes")
     chunks = sized.groupBy("_source", "_chunk").agg(F.sum("_size").alias("_in_chunk"))
@@ -152,15 +151,36 @@ def taken_parts(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
 
 
 def mix_report(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
-    """Per document: ``doc_id, size, source_size, target, taken``."""
+    """Per document: ``doc_id, size, source_size, target, taken`` and ``n_shards``, the output shards that its
+    words were drawn into."""
     row = ["_id", "_hash", "_sid", "_at", "_size", "_size_of_source", "_target"]
-    per = taken_parts(docs, block, **how).groupBy(*row).agg(F.sum("_words").alias("taken"), F.count("*").alias("_n"))
+    per = taken_parts(docs, block, **how).groupBy(*row).agg(
+        F.sum("_words").alias("taken"), F.count("*").alias("_n"),
+        F.size(F.collect_set(F.when(F.col("_words") > 0, F.col("_shard")))).cast("long").alias("n_shards"))  # at most SHARDS
     # Equal rows without words share a place; their pieces count them.
     per = per.withColumn("_copies", F.when(F.col("_size") == 0, F.col("_n")).otherwise(F.lit(1)))
     per = per.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return per.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"),
                       F.col("_size_of_source").alias("source_size"), F.col("_target").cast("double").alias("target"),
-                      F.col("taken").cast("long").alias("taken"))
+                      F.col("taken").cast("long").alias("taken"), "n_shards")
+
+
+def mix_plan(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
+    """What every output shard holds: a row per piece, ``shard, source_number, epoch, slot, doc_id, first_word, n_words``.
+    A shard's slots in the order of a hash of (source, epoch, slot) are its content."""
+    read = taken_parts(docs, block, **how).where(F.col("_words") > 0)
+    return read.select(F.col("_shard").alias("shard"), F.col("_sid").alias("source_number"), F.col("_epoch").alias("epoch"),
+                       F.col("_slot").alias("slot"), F.col("_id").alias("doc_id"),
+                       (F.col("_block") * block + F.col("_lo") - F.col("_at")).alias("first_word"), F.col("_words").alias("n_words"))
+
+
+def shard_counts(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
+    """The multinomial draw: ``shard, source, n_slots, n_words``, a row per shard and source drawn."""
+    _, sources = placed(docs, block, **how)
+    drawn = slots(sources, block).groupBy("_shard", "_sid").agg(
+        F.count("*").alias("n_slots"), F.sum("_take").alias("n_words"))
+    return drawn.join(sources.select("_sid", F.col("_source").alias("source")), "_sid").select(
+        F.col("_shard").alias("shard"), "source", "n_slots", "n_words")
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
@@ -173,7 +193,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(start.alias("from"), F.col("_words").alias("n")))).alias("_ranges"),
         F.sum("_words").alias("_taken"))
     keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"),
-                        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_hash"))
+                        row_hash(docs).alias("_hash"))
     # Equal rows have one range each in ``ranges`` (their places differ), so one of them stands for all.
     alike = W.partitionBy("_id", "_hash").orderBy(F.lit(1))
     keyed = keyed.withColumn("_n", F.row_number().over(alike)).where("_n = 1").drop("_n")

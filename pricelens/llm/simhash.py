@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import shuffle_partitions, written
+from pricelens.llm.common import row_hash, shuffle_partitions, written
 
 WORDS = 4
 BITS = 4
@@ -272,6 +272,6 @@ def one_of_each_group(docs: DataFrame, words: int = WORDS, bits: int = BITS, blo
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     mine = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), text_hash.alias("_hash"))
     kept = mine.join(best, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keep_hash")), "left_semi")
-    alike = W.partitionBy("_id", "_hash").orderBy(F.xxhash64(*[F.col(f"_row.`{c}`") for c in docs.columns]))
+    alike = W.partitionBy("_id", "_hash").orderBy(row_hash(docs, "_row."))
     kept = kept.withColumn("_n", F.row_number().over(alike)).where("_n = 1")
     return kept.select("_row.*")

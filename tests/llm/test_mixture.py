@@ -85,3 +85,36 @@ def test_documents_of_the_mix(messy):
         it = iter(whole)
         assert all(w in it for w in words)  # in order
     assert dict(got) == {r.doc_id: r.taken for r in report if r.taken}
+
+
+def test_the_draw_fills_the_output_shards(small_docs):
+    """Counts by shard and source are a multinomial draw of all slots, and the plan holds them word for word."""
+    counts = [r.asDict() for r in mixture.shard_counts(small_docs, block=16).collect()]
+    targets = {r.source: round(r.target) for r in mixture.mix_report(small_docs).join(small_docs, "doc_id").collect()}
+    by_source, by_shard = defaultdict(int), defaultdict(int)
+    for c in counts:
+        by_source[c["source"]] += c["n_words"]
+        by_shard[c["shard"]] += c["n_slots"]
+    assert dict(by_source) == targets
+    slots = sum(by_shard.values())
+    expect = slots / mixture.SHARDS
+    chi2 = sum((by_shard.get(s, 0) - expect) ** 2 / expect for s in range(mixture.SHARDS))
+    assert 25 < chi2 < 115  # 63 degrees of freedom: beyond these once in 10,000 draws
+    plan = [r.asDict() for r in mixture.mix_plan(small_docs, block=16).collect()]
+    words, held = {r.doc_id: len((r.text or "").encode().split()) for r in small_docs.collect()}, defaultdict(int)
+    source = {r.doc_id: r.source for r in small_docs.collect()}
+    for p in plan:
+        assert 0 <= p["first_word"] and p["first_word"] + p["n_words"] <= words[p["doc_id"]]
+        held[p["shard"], source[p["doc_id"]]] += p["n_words"]
+    assert held == {(c["shard"], c["source"]): c["n_words"] for c in counts}
+    shards = defaultdict(set)
+    for p in plan:
+        shards[p["doc_id"]].add(p["shard"])
+    assert all(r.n_shards == len(shards[r.doc_id]) for r in mixture.mix_report(small_docs, block=16).collect())
+
+
+def test_columns_that_cannot_be_hashed(small_docs):
+    with_map = small_docs.limit(30).withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    assert mixture.mix_report(with_map).count() == 30
+    mixed = mixture.mixed_documents(with_map)
+    assert mixed.columns == with_map.columns and all(r.extra == {"k": r.doc_id} for r in mixed.collect())

@@ -117,3 +117,9 @@ def test_rows_without_an_id_join_their_group(spark):
                                  "doc_id long, text string, n int")
     got = [(r.doc_id, r.text) for r in s.one_of_each_group(docs).collect()]
     assert len(got) == 3 and set(got) == {(5, a), (None, b), (None, c)}
+
+
+def test_one_of_each_group_with_a_map_column(messy):
+    docs = messy.withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    want = sorted((str(r.doc_id), r.text or "") for r in s.one_of_each_group(messy).collect())
+    assert sorted((str(r.doc_id), r.text or "") for r in s.one_of_each_group(docs).collect()) == want
