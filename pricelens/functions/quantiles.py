@@ -6,11 +6,10 @@ position ``h = (n - 1) * q``, value ``x[floor h] + (h - floor h) * (x[ceil h] -
 
 Plan (what leaves the tasks is bounded by the sketch, not by the rows):
 
-1. one aggregate per group: row count, extremes, and for each quantile a bracket of two
-   values from an approximate-quantile sketch (``percentile_approx``: bounded memory,
-   mergeable) that the exact quantile lies between;
-2. one pass that counts the rows below each bracket and the distinct values inside it, with
-   map-side combine: only bracket rows (some ten-thousandths of the column) are shuffled;
+1. one aggregate per group: row count, extremes and a KLL sketch (bounded memory, mergeable), which
+   gives for each quantile a bracket of two values that the exact quantile lies between;
+2. the rows below each bracket as conditional sums, one row a group, and the distinct values inside it
+   with map-side combine: only bracket rows (some ten-thousandths of the column) are shuffled;
 3. running sums inside each bracket give the values at ``floor h`` and ``ceil h``. A bracket
    of more than ``task_rows`` distinct values is first narrowed: counts in 4,096 equal bins
    of its range tell which bins hold the two ranks, and the others are dropped.
@@ -18,6 +17,9 @@ Plan (what leaves the tasks is bounded by the sketch, not by the rows):
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,12 @@ from pricelens.functions.columns import finite
 from pricelens.functions.joins import lookup_join
 
 BINS = 4096
+#: Size of the KLL sketches, and their normalised rank error at 99 % (2.296 / k^0.9021).
+SKETCH_K = 8192
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    return 2.296 / k ** 0.9021
 
 
 def _qname(q: float) -> str:
@@ -36,17 +44,32 @@ def finite_values(df: DataFrame, value: str, by: list[str] | tuple = ()) -> Data
     return df.select(*by, finite(value).alias("__x")).where(F.col("__x").isNotNull())
 
 
-def bracket_aggregates(probs: list[float], accuracy: int, width: float) -> list:
+def bracket_aggregates(k: int = SKETCH_K) -> list:
     """Aggregates over ``__x`` that ``exact_from_brackets`` needs, to go with a caller's own."""
-    e = width / accuracy
-    points = [max(0.0, q - e) for q in probs] + [min(1.0, q + e) for q in probs]
     return [F.count("__x").cast("bigint").alias("__n"), F.min("__x").alias("__min"), F.max("__x").alias("__max"),
-            F.percentile_approx("__x", points, accuracy).alias("__points")]
+            F.kll_sketch_agg_double("__x", F.lit(k)).alias("__sketch")]
+
+
+def quantile_sketches(df: DataFrame, value: str, by: list[str] | tuple = (), k: int = SKETCH_K) -> DataFrame:
+    """``by..., n, sketch``: a KLL sketch per group as a binary column, to be stored and merged later."""
+    data = finite_values(df, value, list(by))
+    return data.groupBy(*by).agg(F.count("__x").cast("bigint").alias("n"), F.kll_sketch_agg_double("__x", F.lit(k)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: list[str] | tuple = (), k: int = SKETCH_K) -> DataFrame:
+    """Stored sketches of parts (days, files, finer groups) as one per group."""
+    return sketches.groupBy(*by).agg(F.sum("n").cast("bigint").alias("n"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, probs: list[float], names: list[str] | None = None) -> DataFrame:
+    """The sketches with their quantiles in place of the binary: right to ``rank_error`` of the rows."""
+    names = names or [_qname(q) for q in probs]
+    return sketches.select("*", *[F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(float(q)))).alias(c)
+                                  for q, c in zip(probs, names)]).drop("sketch")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tuple = (),
-                    names: list[str] | None = None, accuracy: int = 10_000,
-                    task_rows: int = 1_000_000) -> DataFrame:
+                    names: list[str] | None = None, task_rows: int = 1_000_000, k: int = SKETCH_K) -> DataFrame:
     """One row per group: ``by...``, ``n`` (count of finite values) and one column per prob.
 
     The source is read twice; pass a written table if it is costly to compute.
@@ -54,28 +77,30 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     from pricelens.session import materialize
     by = list(by)
     data = finite_values(df, value, by)
-    width = 4.0
-    while True:
-        g = data.groupBy(*by) if by else data.groupBy()
-        stats = materialize(g.agg(*bracket_aggregates(probs, accuracy, width)), "quantile-brackets")
-        out = exact_from_brackets(data, stats, probs, by, names, accuracy, task_rows)
-        if out is not None:
-            return out
-        width *= 16  # a sketch missed: wider brackets, in the end the whole column
+    g = data.groupBy(*by) if by else data.groupBy()
+    stats = materialize(g.agg(*bracket_aggregates(k)), "quantile-brackets")
+    return exact_from_brackets(data, stats, probs, by, names, task_rows, k=k)
 
 
 def exact_from_brackets(data: DataFrame, stats: DataFrame, probs: list[float], by: list[str],
-                        names: list[str] | None = None, accuracy: int = 10_000,
-                        task_rows: int = 1_000_000) -> DataFrame | None:
+                        names: list[str] | None = None, task_rows: int = 1_000_000, width: float = 3.0, k: int = SKETCH_K) -> DataFrame:
     """The exact quantiles of ``data`` (``by..., __x``), given its ``bracket_aggregates`` as a
-    written table ``stats``. None if a bracket does not hold its quantile."""
+    written table ``stats``. A bracket reaches ``width`` rank errors to both sides; if one does not hold its
+    quantile all are widened, in the end to the whole column."""
     from pricelens.session import materialize
-    k = len(probs)
+    n_probs = len(probs)
     names = names or [_qname(q) for q in probs]
     # Groups of few rows are their own bracket: near the ends ranks are too coarse for the sketch.
-    few = F.col("__n") < 8 * accuracy
-    lo = [F.when(few, F.col("__min")).otherwise(F.col("__points")[i]).alias(f"__lo{i}") for i in range(k)]
-    hi = [F.when(few, F.col("__max")).otherwise(F.col("__points")[k + i]).alias(f"__hi{i}") for i in range(k)]
+    e = width * rank_error(k)
+    few = F.col("__n") < 8 * k
+
+    def edge(i: int, q: float, end: str, name: str):
+        whole = not 0 < q < 1
+        inner = F.col(end) if whole else F.kll_sketch_get_quantile_double("__sketch", F.lit(q))
+        return F.when(few, F.col(end)).otherwise(inner).alias(f"{name}{i}")
+
+    lo = [edge(i, q - e, "__min", "__lo") for i, q in enumerate(probs)]
+    hi = [edge(i, q + e, "__max", "__hi") for i, q in enumerate(probs)]
     brackets = stats.where("__n > 0").select(*by, "__n", *lo, *hi)
     if by:
         near = lookup_join(data, brackets, by, "inner", null_safe=True, materialize=False)
@@ -85,15 +110,19 @@ def exact_from_brackets(data: DataFrame, stats: DataFrame, probs: list[float], b
             return data.sparkSession.createDataFrame([], ", ".join(["n bigint", *[f"{n} double" for n in names]]))
         near = data.select("*", *[F.lit(row[c]).alias(c) for c in brackets.columns])
     x = F.col("__x")
-    entries = F.filter(F.array(*[F.struct(
-        F.lit(i).alias("i"), F.when(x >= F.col(f"__lo{i}"), x).alias("key"), (x <= F.col(f"__hi{i}")).alias("in"))
-        for i in range(k)]), lambda e: e["in"])
-    near = near.select(*by, "__n", F.explode(entries).alias("__e"))
+    within = [x.between(F.col(f"__lo{i}"), F.col(f"__hi{i}")) for i in range(n_probs)]
+    # Rows below a bracket are counted where they lie; only rows inside one become entries.
+    below = near.groupBy(*by, "__n").agg(*[F.sum(F.when(x < F.col(f"__lo{i}"), 1).otherwise(0)).alias(f"__b{i}") for i in range(n_probs)])
+    below = below.select(*by, "__n", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__i"), F.lit(None).cast("double").alias("__key"), F.col(f"__b{i}").alias("__c"))
+        for i in range(n_probs)]))).where("__c > 0")
+    entries = F.filter(F.array(*[F.when(w, F.lit(i)) for i, w in enumerate(within)]), lambda i: i.isNotNull())
+    inside = near.where(functools.reduce(operator.or_, within)).select(
+        *by, "__n", F.explode(entries).alias("__i"), x.alias("__key"))
+    inside = inside.groupBy(*by, "__n", "__i", "__key").agg(F.count(F.lit(1)).alias("__c")).unionByName(below)
     cell = [*by, "__n", "__i"]
-    inside = near.groupBy(*by, "__n", F.col("__e.i").alias("__i"), F.col("__e.key").alias("__key")).agg(
-        F.count(F.lit(1)).alias("__c"))
     inside = materialize(inside, "quantile-rows")
-    while (inside.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0) > task_rows + 1:
+    while inside.count() > task_rows and (inside.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0) > task_rows + 1:
         smaller = materialize(_narrowed(inside, cell, probs), "quantile-rows")
         if smaller.count() == inside.count():
             break  # single values: nothing left to narrow
@@ -111,7 +140,7 @@ def exact_from_brackets(data: DataFrame, stats: DataFrame, probs: list[float], b
     picked = materialize(picked, "quantile-values")  # a row per group and quantile
     missed = picked.where(F.col("__a").isNull() | F.col("__b").isNull()).limit(1).count()
     if missed:
-        return None
+        return exact_from_brackets(data, stats, probs, by, names, task_rows, width * 16, k)
     value = F.col("__a") + (h - F.floor(h)) * (F.col("__b") - F.col("__a"))
     out = picked.withColumn("__v", value).groupBy(*by, "__n") if by else picked.withColumn("__v", value).groupBy("__n")
     out = out.agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(nm) for i, nm in enumerate(names)])

@@ -110,9 +110,8 @@ def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False,
         quant = approx_quantiles(data, "__x", probs, by=["variable"], names=names)
     else:
         data = materialize(finite_values(long, "value", ["variable"]), "describe-values")
-        base = materialize(data.groupBy("variable").agg(*moments, *bracket_aggregates(probs, 10_000, 4.0)), "describe")
-        quant = (exact_from_brackets(data, base, probs, ["variable"], names)
-                 or exact_quantiles(data, "__x", probs, ["variable"], names))
+        base = materialize(data.groupBy("variable").agg(*moments, *bracket_aggregates()), "describe")
+        quant = exact_from_brackets(data, base, probs, ["variable"], names)
     out = lookup_join(base.select("variable", "count", "mean", "std", "min", "max"), quant.drop("n"), ["variable"], "left",
                       small=True)
     cols = ["mean", "std", "min", "q25", "q50", "q75", "max"]
