@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from pricelens.functions.joins import lookup_join
 from pricelens.functions.kernels import kernel_partial_sums
 from pricelens.functions.quantiles import approx_quantiles, exact_quantiles
 from pricelens.operators.profile import melt_numeric
-from pricelens.session import materialize
+from pricelens.session import materialize, spread
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
@@ -278,6 +280,61 @@ def regression_band(df: DataFrame, xs: list[str], y: str, level: float = 0.95,
                      (fit - F.col("t") * se).alias("lower"), (fit + F.col("t") * se).alias("upper"))
 
 
+def bootstrap_band(df: DataFrame, xs: list[str], y: str, keys: list[str], level: float = 0.95, grid_size: int = 20,
+                   replicates: int = 200, seed: int = 0) -> DataFrame:
+    """Bootstrap confidence band of the fitted mean on a grid of each x: ``x, k, x0, lower, upper``.
+
+    A Poisson bootstrap in one pass: each row stands in each replicate a number of times that is drawn, Poisson with
+    mean 1, from a hash of its key and the replicate, so the draw does not depend on partitions or retries. A
+    task reduces every Arrow batch to the regression sums of all replicates (one matrix product); Spark adds
+    them up, 5 numbers per x and replicate. The band is the quantiles of the replicates' lines at each x0.
+    """
+    st = {r["x"]: r for r in regression(df, xs, y).where("n > 2").collect()}  # one row per x
+    names = [x for x in xs if x in st]
+    rows = df.select(F.xxhash64(*[F.col(c) for c in keys]).alias("__h"), finite(F.col(f"`{y}`")).alias("__y"),
+                     *[finite(F.col(f"`{x}`")).alias(f"__x{i}") for i, x in enumerate(names)]).where("__y is not null")
+    centres = [(st[x]["avg_x"], st[x]["avg_y"]) for x in names]
+
+    def sums(batches):
+        total = np.zeros((len(names), replicates, 5))
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                part = batch.iloc[at:at + 4096]
+                weight = poisson_weights(part["__h"].to_numpy(), replicates, seed)
+                for i, (cx, cy) in enumerate(centres):
+                    dx, dy = part[f"__x{i}"].to_numpy(dtype=float) - cx, part["__y"].to_numpy(dtype=float) - cy
+                    ok = ~np.isnan(dx)
+                    one = np.stack([ok.astype(float), dx, dy, dx * dx, dx * dy], axis=1)
+                    total[i] += weight.T @ np.where(ok[:, None], one, 0.0)
+        x, r = np.meshgrid(np.arange(len(names)), np.arange(replicates), indexing="ij")
+        yield pd.DataFrame({"__i": x.ravel(), "__r": r.ravel(), **{f"s{j}": total[:, :, j].ravel() for j in range(5)}})
+
+    parts = spread(rows).mapInPandas(sums, "__i int, __r int, s0 double, s1 double, s2 double, s3 double, s4 double")
+    lines = parts.groupBy("__i", "__r").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(5)])
+    slope = (F.col("s4") - F.col("s1") * F.col("s2") / F.col("s0")) / (F.col("s3") - F.col("s1") * F.col("s1") / F.col("s0"))
+    lines = lines.withColumn("slope", slope).withColumn("level", (F.col("s2") - F.col("slope") * F.col("s1")) / F.col("s0"))
+    grid = df.sparkSession.createDataFrame(
+        [(i, x, k, r["min_x"] + k * (r["max_x"] - r["min_x"]) / (grid_size - 1.0), r["avg_x"], r["avg_y"])
+         for i, x in enumerate(names) for r in [st[x]] for k in range(grid_size)],
+        "__i int, x string, k long, x0 double, cx double, cy double")
+    fits = lines.join(F.broadcast(grid), "__i").select(  # replicates x grid rows per x
+        "x", "k", "x0", (F.col("cy") + F.col("level") + F.col("slope") * (F.col("x0") - F.col("cx"))).alias("fit"))
+    tail = (1 - level) / 2
+    return fits.groupBy("x", "k", "x0").agg(F.percentile("fit", F.lit(tail)).alias("lower"),
+                                            F.percentile("fit", F.lit(1 - tail)).alias("upper"))
+
+
+def poisson_weights(hashes: np.ndarray, replicates: int, seed: int = 0) -> np.ndarray:
+    """Rows x replicates numbers, Poisson with mean 1, from 64-bit hashes by the inverse distribution."""
+    key = hashes.astype(np.int64).view(np.uint64)[:, None] + np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    key += np.uint64(seed)
+    key = (key ^ (key >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    key = (key ^ (key >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    share = ((key ^ (key >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    steps = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
+    return np.searchsorted(steps, share.ravel(), side="right").reshape(share.shape).astype(np.float64)
+
+
 def bins2d(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """Counts on a ``bins x bins`` grid over the data range (non-empty cells only)."""
     data = df.select(finite(F.col(f"`{x}`")).alias("__x"), finite(F.col(f"`{y}`")).alias("__y")) \

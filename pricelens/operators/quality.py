@@ -44,15 +44,22 @@ def duplicate_count(df: DataFrame, ignore: list[str] | tuple = ()) -> DataFrame:
 def duplicate_rows(df: DataFrame, order_by: str, ignore: list[str] | tuple = ()) -> DataFrame:
     """Rows that repeat an earlier row (smallest ``order_by`` is the original).
 
-    The duplicate groups (with their first ``order_by``) come from an aggregate, then
-    a null-safe lookup join on all compared columns tags every row. The groups table
-    can be as large as the data, so the join is size-checked and salts hot groups.
+    The table is written once with a 64-bit digest of the compared columns. Digests are
+    counted first; rows whose digest is unique are unique and never move. The others
+    are compared in full: their duplicate groups (with their first ``order_by``) come from
+    an aggregate, then a null-safe lookup join on all compared columns tags every row.
+    Both joins check the size of their lookup side and salt hot keys.
     """
+    from pricelens.session import materialize
     cols = _kept(df, list(ignore) + [order_by])
-    groups = (df.groupBy(*cols)
-                .agg(F.min(order_by).alias("__first"), F.count(F.lit(1)).alias("__n"))
-                .where(F.col("__n") > 1).drop("__n"))
-    tagged = lookup_join(df, groups, cols, "inner", null_safe=True)
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in cols], *[F.col(f"`{c}`").isNull() for c in cols])
+    rows = materialize(df.withColumn("__digest", digest), "digests")
+    repeated = rows.groupBy("__digest").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__digest")
+    near = materialize(lookup_join(rows, repeated, ["__digest"], "left_semi").drop("__digest"), "duplicate-candidates")
+    groups = (near.groupBy(*cols)
+                  .agg(F.min(order_by).alias("__first"), F.count(F.lit(1)).alias("__n"))
+                  .where(F.col("__n") > 1).drop("__n"))
+    tagged = lookup_join(near, groups, cols, "inner", null_safe=True)
     return tagged.where(F.col(order_by) != F.col("__first")).drop("__first")
 
 

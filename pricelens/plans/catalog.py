@@ -70,6 +70,29 @@ def q_scan(spark, sf_dir):
     return listings(spark, sf_dir)
 
 
+_CSV_LINE = """CASE WHEN l_orderkey % 50 = 7 THEN 'long' WHEN l_orderkey % 77 = 5 THEN 'short' ELSE 'good' END"""
+
+
+@query("csv_rejects", f"""WITH {LISTINGS}, lines AS (SELECT {_CSV_LINE} AS kind FROM listings)
+SELECT kind <> 'good' AS rejected, CAST(CASE kind WHEN 'long' THEN 8 WHEN 'short' THEN 4 ELSE 6 END AS INTEGER) AS n_fields,
+       CAST(count(*) AS BIGINT) AS n FROM lines GROUP BY 1, 2""")
+def q_csv_rejects(spark, sf_dir):
+    """Listings written as CSV lines, some with two fields too many or too few, and read again: no line is lost."""
+    from pricelens.session import shared_path
+    from pricelens.sources.files import read_checked_csv, write_lines
+    rows = listings(spark, sf_dir)
+    fields = [F.col(c).cast("string") for c in [*KEYS, "company", "mileage"]]
+    kind = F.expr(_CSV_LINE)
+    line = F.when(kind == "long", F.concat_ws(",", *fields, F.lit("x"), F.lit("y"))).when(
+        kind == "short", F.concat_ws(",", *fields[:-2])).otherwise(F.concat_ws(",", *fields))
+    folder = shared_path(spark, "csv-lines")
+    write_lines(rows.select(line.alias("line")), "line", folder)
+    good, bad = read_checked_csv(spark, folder, ROLES, names=[*KEYS, "company", "mileage"])
+    both = good.select(F.lit(False).alias("rejected"), F.lit(6).alias("n_fields")).unionByName(
+        bad.select(F.lit(True).alias("rejected"), "n_fields"))
+    return both.groupBy("rejected", "n_fields").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 @query("row_counts", f"""WITH {DIRTY}
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        CAST((SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (row_id) FROM dirty)) AS BIGINT) AS n_after_dedup
@@ -576,6 +599,19 @@ def q_regression_band(spark, sf_dir):
     return out.select("x", "k", *[R(c, 2).alias(c) for c in ["x0", "fit", "lower", "upper"]])
 
 
+@query("bootstrap_band", _band_sql().replace("SELECT x, k, ", "SELECT x, k, true AS near_closed_form, "))
+def q_bootstrap_band(spark, sf_dir):
+    """The bootstrap band beside the closed form that it estimates, whose columns these are: each edge is within
+    half of the closed form's half-width of it."""
+    df = listings(spark, sf_dir)
+    closed = dist.regression_band(df, _XS, "price", level=0.95, grid_size=20)
+    boot = dist.bootstrap_band(df, _XS, "price", KEYS, level=0.95, grid_size=20)
+    both = lookup_join(closed, boot.select("x", "k", F.col("lower").alias("low"), F.col("upper").alias("high")), ["x", "k"], small=True)
+    half = (F.col("upper") - F.col("lower")) / 2
+    near = (F.abs(F.col("low") - F.col("lower")) < half * 0.5) & (F.abs(F.col("high") - F.col("upper")) < half * 0.5)
+    return both.select("x", "k", near.alias("near_closed_form"), *[R(c, 2).alias(c) for c in ["x0", "fit", "lower", "upper"]])
+
+
 # ---------------------------------------------------------------------------
 # Encoders
 # ---------------------------------------------------------------------------
@@ -787,6 +823,15 @@ def q_split_hash_small(spark, sf_dir):
     return hash_split(listings(spark, sf_dir), KEYS, 0.005).select(*KEYS, "is_test")
 
 
+@query("split_exact", f"""WITH {LISTINGS},
+ranked AS (SELECT {KEYS_SQL}, row_number() OVER (ORDER BY md5(concat_ws('-', {KEYS_SQL}))) AS r FROM listings)
+SELECT {KEYS_SQL}, r <= (SELECT floor(count(*) * 0.2 + 0.5) FROM listings) AS is_test FROM ranked""")
+def q_split_exact(spark, sf_dir):
+    from pricelens.operators.split import exact_split
+    from pricelens.session import materialize
+    return exact_split(materialize(listings(spark, sf_dir).select(*KEYS), "split-keys"), KEYS, 0.2)
+
+
 @query("split_random", f"""WITH {LISTINGS}
 SELECT {KEYS_SQL}, CAST(1 AS BIGINT) AS n_sides, CAST(count(*) AS BIGINT) AS n_rows FROM listings GROUP BY {KEYS_SQL}""")
 def q_split_random(spark, sf_dir):

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from pricelens.config import CAR_DROPPED, CAR_ROLES, ColumnRoles
 from pricelens.functions.columns import strict_number
+from pricelens.session import materialize
 
 
 def read_listings_csv(spark: SparkSession, path: str, roles: ColumnRoles = CAR_ROLES,
@@ -35,6 +36,31 @@ def read_listings_csv(spark: SparkSession, path: str, roles: ColumnRoles = CAR_R
     return df.drop(*present)
 
 
+REJECTED = "_malformed"
+
+
+def read_checked_csv(spark: SparkSession, path: str, roles: ColumnRoles = CAR_ROLES,
+                     ignore: list[str] | tuple[str, ...] = tuple(CAR_DROPPED),
+                     parse: bool = True, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A listing CSV as (good rows, rejected lines): every line of the files but the header is in one of them.
+    ``names``: the columns of files without a header line.
+
+    Lines with too few or too many fields, or a quote that never ends, do not become rows with nulls or lost
+    fields: they go to the second table whole, as ``line`` and ``n_fields`` (of its plain commas). Read as text
+    columns without inference, written once, so that both tables come from one parse.
+    """
+    reader = spark.read.option("header", names is None).option("mode", "PERMISSIVE")
+    names = names or reader.csv(path).columns  # reads the header line
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, REJECTED]])
+    read = materialize(reader.schema(schema).option("columnNameOfCorruptRecord", REJECTED).csv(path), "csv-lines")
+    good = read.where(F.col(REJECTED).isNull()).drop(REJECTED)
+    if parse:
+        good = parse_numbers(good, roles)
+    bad = read.where(F.col(REJECTED).isNotNull()).select(
+        F.col(REJECTED).alias("line"), F.size(F.split(REJECTED, ",", -1)).alias("n_fields"))
+    return good.drop(*[c for c in ignore if c in good.columns]), bad
+
+
 def parse_numbers(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     """The numeric roles and the label as finite doubles; text that is no number becomes null."""
     numeric = set(roles.numeric) | {roles.label}
