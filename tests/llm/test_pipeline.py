@@ -43,4 +43,4 @@ def test_registered(spark):
 
     names = entry.queries()
     assert {*QUERIES, "pipeline"} <= set(names) and set(ORACLE) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
