@@ -1,74 +1,37 @@
-"""Gaussian kernel sums on a grid, computed per Arrow batch and summed by Spark.
+"""Gaussian kernel sums on a grid, in the JVM.
 
-Every task turns each Arrow batch of values into one partial sum per grid point
-(numpy, vectorised); Spark then adds the partial sums with an ordinary two-phase
-aggregate. No row is paired with the grid in a join and no group is gathered, so a
-group holding a third of all rows is spread over every task that reads it.
+Every point meets the grid points within ``REACH`` bandwidths only: their indices follow from the grid's
+start and step, so the point is exploded to them without a join. The sums over (group, grid point) combine
+before the shuffle: a task hands on one row per group and grid point at most, whatever its rows, and a group
+holding a third of all rows is spread over every task that reads it.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Grid-row chunk: bounds the (rows x grid) matrix a task builds to ~16 MB.
-_CHUNK_CELLS = 2_000_000
+# Beyond eight bandwidths the kernel is below exp(-32) = 1.3e-14 of its peak.
+REACH = 8.0
 
 
-def kernel_partial_sums(df: DataFrame, by: list[str], value: str, weight: str | None,
-                        grid_size: int) -> DataFrame:
-    """Partial sums ``sum_i w_i * exp(-0.5 * ((g_k - x_i) / bw)^2)`` per (by, k).
+def kernel_sums(df: DataFrame, by: list[str], value: str, weight: str | None, grid_size: int) -> DataFrame:
+    """``(by..., __k, __sum)`` with ``sum_i w_i * exp(-0.5 * ((g_k - x_i) / bw)^2)`` for the grid points in reach
+    of any point (the others have no row).
 
-    ``df`` must carry, per row, the group's grid start ``__lo``, step ``__step`` and
-    bandwidth ``__bw`` next to the value (and optional weight).
+    ``df`` carries, per row, the group's grid start ``__lo``, step ``__step`` and bandwidth ``__bw`` next to the
+    value (and optional weight); rows with a null value or a bandwidth that is null or not above 0 add nothing.
     """
     by = list(by)
-    cols = by + [value, "__lo", "__step", "__bw"] + ([weight] if weight else [])
-    from pricelens.session import spread
-    # The kernel work is CPU-heavy Python; make sure every core gets a share.
-    src = spread(df.select(*cols))
-    out_fields = [f for f in src.schema.fields if f.name in by] + [
-        T.StructField("__k", T.IntegerType(), False),
-        T.StructField("__s", T.DoubleType(), False)]
-    schema = T.StructType(out_fields)
-    by_dtypes = {f.name: f.dataType for f in out_fields if f.name in by}
-
-    def run(batches):
-        ks = np.arange(grid_size, dtype=np.float64)
-        for pdf in batches:
-            pdf = pdf[pdf[value].notna() & pdf["__bw"].notna() & (pdf["__bw"] > 0)]
-            if pdf.empty:
-                continue
-            groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
-            frames = []
-            for key, g in groups:
-                x = g[value].to_numpy(dtype=np.float64)
-                w = g[weight].to_numpy(dtype=np.float64) if weight else None
-                lo = float(g["__lo"].iloc[0]); step = float(g["__step"].iloc[0])
-                bw = float(g["__bw"].iloc[0])
-                grid = lo + ks * step
-                total = np.zeros(grid_size)
-                chunk = max(1, _CHUNK_CELLS // grid_size)
-                for s in range(0, len(x), chunk):
-                    xs = x[s:s + chunk]
-                    z = (grid[None, :] - xs[:, None]) / bw
-                    kern = np.exp(-0.5 * z * z)
-                    if w is not None:
-                        total += (kern * w[s:s + chunk, None]).sum(axis=0)
-                    else:
-                        total += kern.sum(axis=0)
-                part = pd.DataFrame({"__k": np.arange(grid_size, dtype=np.int32), "__s": total})
-                key = key if isinstance(key, tuple) else (key,)
-                for b, kv in zip(by, key):
-                    part[b] = kv
-                frames.append(part)
-            if frames:
-                yield pd.concat(frames, ignore_index=True)[[f.name for f in out_fields]]
-
-    partial = src.mapInPandas(run, schema)
-    # Restore exact key types (pandas may widen ints while grouping).
-    partial = partial.select(*[F.col(b).cast(by_dtypes[b]).alias(b) for b in by], "__k", "__s")
-    return partial.groupBy(*by, "__k").agg(F.sum("__s").alias("__sum"))
+    x, lo, step, bw = F.col(value), F.col("__lo"), F.col("__step"), F.col("__bw")
+    # The bounds are cut to the grid as doubles first: an index far outside it would not fit an int.
+    top = F.lit(float(grid_size - 1))
+    first = F.greatest(F.lit(0.0), F.least(F.ceil((x - REACH * bw - lo) / step).cast("double"), top + 1)).cast("int")
+    last = F.least(top, F.greatest(F.floor((x + REACH * bw - lo) / step).cast("double"), F.lit(-1.0))).cast("int")
+    rows = df.where(x.isNotNull() & (bw > 0) & (step > 0)).select(
+        *by, x.alias("__x"), lo, step, bw, (F.col(weight) if weight else F.lit(1.0)).alias("__w"),
+        first.alias("__first"), last.alias("__last"))
+    near = rows.where(F.col("__first") <= F.col("__last"))
+    near = near.withColumn("__k", F.explode(F.sequence("__first", "__last")))
+    z = (lo + F.col("__k") * step - F.col("__x")) / bw
+    return near.groupBy(*by, "__k").agg(F.sum(F.col("__w") * F.exp(-0.5 * z * z)).alias("__sum"))

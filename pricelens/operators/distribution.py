@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions.columns import finite
 from pricelens.functions.joins import lookup_join
-from pricelens.functions.kernels import kernel_partial_sums
+from pricelens.functions.kernels import kernel_sums
 from pricelens.functions.quantiles import approx_quantiles, exact_quantiles
 from pricelens.operators.profile import melt_numeric
 from pricelens.session import materialize, spread
@@ -87,7 +87,7 @@ def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: in
     The grid runs from ``min - cut*bw`` to ``max + cut*bw`` (``cut=0``: histogram
     overlay; ``cut=2``, 100 points: violin). By default each group is first reduced to
     ``bins`` weighted bin centres (error below ``bin width / 2`` in x), so the kernel
-    work is ``bins x grid`` per group; ``binned=False`` evaluates every row. Where an extreme
+    work is ``bins x grid`` per group at most; a point adds to the grid points within eight bandwidths; ``binned=False`` evaluates every row. Where an extreme
     value makes these bins wider than an eighth of the bandwidth, bins have that width instead
     and stand for the mean of their values; only non-empty bins are kept. Output:
     ``by..., k, x, density, n, bw``; a group with zero spread has no density rows.
@@ -131,7 +131,12 @@ def density(df: DataFrame, value: str, by: list[str] | tuple = (), grid_size: in
                              F.col("__wt").cast("double").alias("__wt")))
         weight = "__wt"
     points = attach(points, ["__lo", "__step", "bw"]).withColumnRenamed("bw", "__bw")
-    sums = kernel_partial_sums(points, by, "__x", weight, grid_size)
+    # Kernel work is CPU-heavy: rows of one large file are spread over the cores first.
+    sums = kernel_sums(points if binned else spread(points), by, "__x", weight, grid_size)
+    # Grid points that no value reaches have density 0: one more row per group and grid point.
+    groups = stats.select(*by) if by else df.sparkSession.range(1 if one is not None else 0).select()
+    empty = groups.select(*by, F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("__k"), F.lit(0.0).alias("__sum"))
+    sums = sums.unionByName(empty).groupBy(*by, "__k").agg(F.sum("__sum").alias("__sum"))
     out = attach(sums, ["n", "bw", "__lo", "__step"])
     return out.select(
         *by, F.col("__k").cast("bigint").alias("k"),

@@ -20,7 +20,7 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelens.config import ADDITIVE_SMOOTHING, SIGMOID_MIN_SAMPLES_LEAF, ColumnRoles
@@ -110,6 +110,54 @@ def attach_values(df: DataFrame, values: DataFrame, column: str, out: str, defau
     return joined.withColumn(out, F.coalesce(F.col(f"`{out}`"), default)).drop("__cat")
 
 
+def out_of_fold_encode(df: DataFrame, columns: list[str], label: str, fold: str, smoothing: float = ADDITIVE_SMOOTHING,
+                       suffix: str = "_te", max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with ``<column><suffix>``: the additive target encoding fitted on the rows of all other folds, so that
+    a row's label is never in its own feature.
+
+    ONE aggregate gives sums and counts per (column, category, fold); a category's own fold is subtracted from
+    its total. With sum S and count N over the other folds and g the mean label of the other folds,
+    the value is ``(S + smoothing * g) / (N + smoothing)``, and g where no other fold has a label in the category.
+
+    Rows whose ``fold`` is null (a test side) add nothing and get the statistics of all folds. Null labels add
+    nothing; a null category gets g, as in ``SmoothedTargetEncoder``; where no other fold has any label, g and
+    the values that hang on it are null. The table of statistics has a row per category and fold: it is
+    broadcast up to ``max_broadcast_bytes``, beyond that joined with salted hot keys.
+    """
+    y = F.when(F.col(f"`{fold}`").isNotNull(), F.col(f"`{label}`").cast("double"))
+    long = (df.select(y.alias("__y"), F.col(f"`{fold}`").alias("__fold"),
+                      *[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+              .unpivot(["__y", "__fold"], columns, "feature", "category"))
+    raw = materialize(long.groupBy("feature", "category", "__fold").agg(
+        F.coalesce(F.sum("__y"), F.lit(0.0)).alias("sum"), F.count("__y").cast("bigint").alias("n")), "fold-sums")
+
+    def others(name: str, by: list[str]) -> list:
+        total = Window.partitionBy(*by)  # a row per fold
+        return [(F.sum(c).over(total) - F.col(c)).alias(f"{name}_{c}") for c in ("sum", "n")]
+
+    # The prior: the first column's statistics summed over its categories.
+    prior = raw.where(F.col("feature") == columns[0]).groupBy("__fold").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"))
+    whole = prior.agg(F.sum("sum").alias("__s"), F.sum("n").alias("__n"))  # one row
+    prior = materialize(prior.join(F.broadcast(whole)).select(
+        "__fold", F.when(F.col("__n") > F.col("n"), (F.col("__s") - F.col("sum")) / (F.col("__n") - F.col("n"))).alias("__g")), "fold-priors")
+    stats = raw.where(F.col("category").isNotNull()).select(
+        "feature", "category", "__fold", *others("o", ["feature", "category"]))
+    stats = lookup_join(stats, prior, ["__fold"], "left", null_safe=True, max_broadcast_bytes=max_broadcast_bytes, materialize=False)
+    s, n, g = F.lit(float(smoothing)), F.col("o_n"), F.col("__g")
+    value = F.when(n > 0, (F.col("o_sum") + F.when(s > 0, s * g).otherwise(0.0)) / (n + s)).otherwise(g)
+    stats = materialize(stats.select("feature", "category", "__fold", value.alias("__value")), "fold-values")
+    small = table_bytes(stats) <= max_broadcast_bytes
+    out = lookup_join(df.withColumn("__fold", F.col(f"`{fold}`")), prior, ["__fold"], "left", null_safe=True,
+                      max_broadcast_bytes=max_broadcast_bytes, materialize=False)
+    for c in columns:
+        values = stats.where(F.col("feature") == c).select("category", "__fold", F.col("__value"))
+        out = lookup_join(out.withColumn("__cat", F.col(f"`{c}`").cast("string")), values.withColumnRenamed("category", "__cat"),
+                          ["__cat", "__fold"], "left", null_safe=True, materialize=False, small=small)
+        out = out.withColumn(f"{c}{suffix}", F.when(F.col("__cat").isNull(), F.col("__g")).otherwise(F.col("__value")))
+        out = out.drop("__cat", "__value")
+    return out.drop("__fold", "__g")
+
+
 class SmoothedTargetEncoderModel(Model, _TargetParams, MLReadable, MLWritable):
     """``rows`` and ``bytes_`` of the statistics are known from the fit, so a transform counts nothing."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -85,6 +86,60 @@ def freq_share(df: DataFrame, columns: list[str]) -> DataFrame:
     return sorted_rank(vc, order, by=["feature"], name="rank")
 
 
+def _tracked(ratio: int, tracked: int | None) -> int:
+    """Values that a sketch follows: enough that its error is below half the threshold, at most Spark's million."""
+    return min(max(int(tracked or 35 * ratio), 6 * ratio), 1_000_000)
+
+
+def frequent_sketches(df: DataFrame, columns: list[str], ratio: int, by: list[str] | tuple = (),
+                      tracked: int | None = None) -> DataFrame:
+    """``(by..., feature, rows, sketch)``: a frequent-items sketch of each column, enough to find every value that holds
+    at least ``1 / ratio`` of the rows. One pass in memory bounded by ``tracked`` values (default: 35 x ``ratio``)
+    however many there are; sketches can be stored and merged (``frequent_items``). Null is one more value."""
+    by = list(by)
+    marked = [F.coalesce(F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")), F.lit("n")).alias(c) for c in columns]
+    long = df.select(*by, *marked).unpivot(by, list(columns), "feature", "__v")
+    size = _tracked(ratio, tracked)
+    return long.groupBy(*by, "feature").agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k_accumulate(__v, {size})").alias("sketch"))
+
+
+def frequent_items(sketches: DataFrame, ratio: int, tracked: int | None = None) -> DataFrame:
+    """``(feature, category, lower, upper, rows)`` of merged ``frequent_sketches``: bounds of the count of every value
+    that may hold at least ``1 / ratio`` of the rows. None that does is missing; with the default size at most
+    ``1.2 * ratio`` values a feature are listed.
+
+    The sketch's map has at least ``tracked / 0.75`` slots m, a power of two, and its count is too high by at most
+    3.5 / m of the rows: a tenth of the threshold by default, below half of it for any ``tracked`` (which must be what the
+    sketches were made with) up to a ``ratio`` of 160,000.
+    """
+    size = _tracked(ratio, tracked)
+    slots = 1 << math.ceil(math.log2(size / 0.75))
+    merged = sketches.groupBy("feature").agg(
+        F.sum("rows").alias("rows"), F.expr(f"approx_top_k_combine(sketch, {size})").alias("__s"))
+    # As many as the sketch can hold: the threshold decides, not a number of values.
+    items = merged.select("feature", "rows", F.explode(F.expr(f"approx_top_k_estimate(__s, {size})")).alias("__e"))
+    upper, value = F.col("__e.count"), F.col("__e.item")
+    low = F.greatest(F.lit(0), upper - F.floor(F.col("rows") * F.lit(3.5 / slots)))
+    return items.where(upper * F.lit(int(ratio)) >= F.col("rows")).select(
+        "feature", F.when(value.startswith("v"), F.substr(value, F.lit(2))).alias("category"),
+        low.cast("bigint").alias("lower"), upper.cast("bigint").alias("upper"), F.col("rows").cast("bigint").alias("rows"))
+
+
+def frequent_counts(df: DataFrame, columns: list[str], ratio: int, tracked: int | None = None) -> DataFrame:
+    """``(feature, category, count, lower, upper)``: exactly the values that hold at least ``1 / ratio`` of the rows, with
+    their exact counts. The sketch names the candidates; a second pass counts those alone, so rare values, however
+    many, are neither shuffled nor kept. Null is a value."""
+    from pricelens.session import materialize
+    found = materialize(frequent_items(frequent_sketches(df, columns, ratio, tracked=tracked), ratio, tracked), "frequent-items")
+    long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], list(columns), "feature", "category")
+    # A few rows per ``ratio`` and feature: small by construction.
+    near = lookup_join(long, found.select("feature", "category"), ["feature", "category"], "left_semi", null_safe=True, small=True)
+    counts = near.groupBy("feature", "category").agg(F.count(F.lit(1)).alias("count"))
+    both = lookup_join(found, counts, ["feature", "category"], "inner", null_safe=True, small=True)
+    return both.where(F.col("count") * F.lit(int(ratio)) >= F.col("rows")).select("feature", "category", "count", "lower", "upper")
+
+
 def melt_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Long ``(variable, value)`` table of numeric columns, values as double."""
     return (df.select(*[F.col(c).cast("double").alias(c) for c in columns])

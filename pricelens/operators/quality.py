@@ -103,3 +103,36 @@ def unique_counts_approx(df: DataFrame, columns: list[str] | None = None,
         exprs.append((F.approx_count_distinct(c, rsd) +
                       F.max(F.col(c).isNull().cast("int"))).cast("bigint").alias(c))
     return df.agg(*exprs).unpivot([], columns, "column", "n_unique_approx")
+
+
+def distinct_sketches(df: DataFrame, columns: list[str] | None = None, by: list[str] | tuple = (),
+                      lg_k: int = 12) -> DataFrame:
+    """``(by..., column, sketch)``: a HyperLogLog sketch of each column's values, per group of ``by``.
+
+    One pass with map-side combine; a sketch has about ``2 ** lg_k`` bytes whatever its rows, so the table can be
+    stored per day or per file and merged later without the rows (``distinct_estimates``). Values are compared as
+    text; null is one more value. An empty table has one empty sketch a column without ``by``, no rows with it.
+    """
+    by = list(by)
+    columns = columns or [c for c in df.columns if c not in by]
+    marked = {c: F.coalesce(F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")), F.lit("n")) for c in columns}
+    wide = df.groupBy(*by).agg(*[F.hll_sketch_agg(x, F.lit(lg_k)).alias(f"__s_{c}") for c, x in marked.items()])
+    long = wide.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`__s_{c}`").alias("sketch")) for c in columns])).alias("__e"))
+    return long.select(*by, "__e.column", "__e.sketch")
+
+
+def merge_sketches(sketches: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
+    """``(by..., column, sketch)``: the sketches of a column merged, to coarser groups or to one."""
+    return sketches.groupBy(*by, "column").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
+    """``(by..., column, n_unique_approx)`` of merged sketches; relative standard error ``1.04 / sqrt(2 ** lg_k)``.
+
+    A sketch that has seen its rows in one go estimates with their order, a merged one cannot. Each is united with
+    itself first, which leaves its registers as they are and makes the estimate a function of them alone: the
+    same values give the same number however they were grouped and merged.
+    """
+    merged = merge_sketches(sketches, by)
+    return merged.select(*by, "column", F.hll_sketch_estimate(F.hll_union("sketch", "sketch")).cast("bigint").alias("n_unique_approx"))

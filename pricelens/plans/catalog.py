@@ -22,7 +22,7 @@ from pricelens.operators.evaluate import regression_metrics
 from pricelens.operators.split import fold_of, hash_split
 from pricelens.operators.validate import allowed_from_data, reject_summary, validate
 from pricelens.plans.sql import DIRTY, KEYS_SQL, LABELLED, LISTINGS, SPLIT, freq_codes, target_stats
-from pricelens.session import ensure_checkpoint_dir
+from pricelens.session import ensure_checkpoint_dir, materialize
 from pricelens.sources.tables import dirty_listings, listings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,6 +241,19 @@ def q_unique_approx(spark, sf_dir):
     return both.select("column", "n_unique", near.alias("within_3_rsd"))
 
 
+@query("unique_counts_sketch", f"SELECT *, true AS within_3_rsd, true AS merge_is_one_pass FROM ({_UNIQUE_SQL})")
+def q_unique_sketch(spark, sf_dir):
+    """Sketches per model year, stored, then merged: within three standard errors of the exact count, and equal to the
+    estimate of one pass over all rows."""
+    df = materialize(dirty_listings(spark, sf_dir).select(*FEATURES, F.col("model_year").alias("part")), "sketched")
+    stored = materialize(quality.distinct_sketches(df, FEATURES, by=["part"]), "distinct-sketches")
+    merged = quality.distinct_estimates(stored)
+    one = quality.distinct_estimates(quality.distinct_sketches(df, FEATURES)).withColumnRenamed("n_unique_approx", "one")
+    both = lookup_join(lookup_join(quality.unique_counts(df, FEATURES), merged, ["column"], "left", small=True), one, ["column"], "left", small=True)
+    near = F.abs(F.col("n_unique_approx") - F.col("n_unique")) <= 3 * 1.04 / 64 * F.col("n_unique") + 1
+    return both.select("column", "n_unique", near.alias("within_3_rsd"), (F.col("n_unique_approx") == F.col("one")).alias("merge_is_one_pass"))
+
+
 # ---------------------------------------------------------------------------
 # Aggregations, reshape, correlation
 # ---------------------------------------------------------------------------
@@ -287,6 +300,21 @@ def q_freq_share(spark, sf_dir):
 _MELT = "\n  UNION ALL ".join(f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM listings" for c in NUMS)
 
 
+_FREQUENT = [*CATS, "model_year", "mileage"]
+
+
+@query("frequent_items", f"""WITH {DIRTY},
+vc AS (""" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, count(*) AS n FROM dirty GROUP BY {c}" for c in _FREQUENT) + f""")
+SELECT feature, category, CAST(n AS BIGINT) AS n, true AS in_bounds FROM vc
+WHERE n * {RARE_RATIO} >= (SELECT count(*) FROM dirty)""")
+def q_frequent_items(spark, sf_dir):
+    """The frequent values found by sketch, with their exact counts and whether these lie within the sketch's bounds."""
+    out = profile.frequent_counts(dirty_listings(spark, sf_dir), _FREQUENT, RARE_RATIO)
+    return out.select("feature", "category", F.col("count").cast("bigint").alias("n"),
+                      F.col("count").between(F.col("lower"), F.col("upper")).alias("in_bounds"))
+
+
 @query("melt_numeric", f"WITH {LISTINGS}, m AS ({_MELT}) SELECT * FROM m")
 def q_melt(spark, sf_dir):
     return profile.melt_numeric(listings(spark, sf_dir), NUMS)
@@ -663,6 +691,38 @@ def q_encode_train_only(spark, sf_dir):
     return _te_spark(train, test)
 
 
+def _oof_sql() -> str:
+    def sums(*by):
+        return "\n  UNION ALL ".join(
+            f"SELECT '{c}' AS feature, {c} AS category, {''.join(b + ', ' for b in by)}sum(log_price) AS s, count(log_price) AS n "
+            f"FROM src WHERE f IS NOT NULL GROUP BY {', '.join([c, *by])}" for c in _TE)
+    cols, joins = [], []
+    for i, c in enumerate(_TE):
+        n = f"(coalesce(t{i}.n, 0) - coalesce(o{i}.n, 0))"
+        cols.append(f"round(CASE WHEN {n} > 0 THEN (t{i}.s - coalesce(o{i}.s, 0) + 5.0 * r.g) / ({n} + 5.0) ELSE r.g END, 9) AS {c}_te")
+        joins.append(f"LEFT JOIN t t{i} ON t{i}.feature = '{c}' AND t{i}.category = r.{c} "
+                     f"LEFT JOIN o o{i} ON o{i}.feature = '{c}' AND o{i}.category = r.{c} AND o{i}.f = r.f")
+    return f"""WITH {SPLIT},
+src AS (SELECT *, CASE WHEN NOT is_test THEN fold END AS f FROM split),
+gt AS (SELECT sum(log_price) AS s, count(log_price) AS n FROM src WHERE f IS NOT NULL),
+gf AS (SELECT f, sum(log_price) AS s, count(log_price) AS n FROM src WHERE f IS NOT NULL GROUP BY f),
+t AS ({sums()}),
+o AS ({sums('f')}),
+r AS (SELECT src.*, (gt.s - coalesce(gf.s, 0)) / (gt.n - coalesce(gf.n, 0)) AS g
+      FROM src CROSS JOIN gt LEFT JOIN gf ON gf.f = src.f)
+SELECT {", ".join("r." + k for k in KEYS)}, coalesce(r.f, -1) AS fold, {", ".join(cols)}
+FROM r {" ".join(joins)}"""
+
+
+@query("target_encode_oof", _oof_sql())
+def q_target_encode_oof(spark, sf_dir):
+    """Training rows by the other nine folds, test rows (no fold) by all ten."""
+    df = hash_split(_labelled(spark, sf_dir), KEYS, 0.2).withColumn("fold", F.when(~F.col("is_test"), fold_of(KEYS, 10)))
+    df = materialize(df.select(*KEYS, *_TE, "log_price", "fold"), "folds")
+    out = encode.out_of_fold_encode(df, _TE, "log_price", "fold")
+    return out.select(*KEYS, F.coalesce("fold", F.lit(-1)).alias("fold"), *[R(c + "_te", 9).alias(c + "_te") for c in _TE])
+
+
 def _ordinal_sql(alphabetical: bool) -> str:
     cols = ", ".join(
         f"CAST(coalesce(i{i}.code, (SELECT count(*) FROM idx WHERE feature = '{c}')) AS DOUBLE) AS {c}_idx"
@@ -1072,3 +1132,23 @@ def q_score_stream(spark, sf_dir):
     q = score_stream(_records(listing_stream(spark, sf_dir)), model, ROLES, out, allowed=allowed_from_data(train, CATS))
     q.awaitTermination()
     return _score_facts(spark.read.parquet(out).drop("epoch"))
+
+
+@query("stream_sinks", _checked_sql(0, "lab") + f"""
+SELECT {KEYS_SQL}, CASE WHEN errors = '' THEN 'valid' ELSE 'rejected' END AS side, errors, true AS counted FROM checked""")
+def q_stream_sinks(spark, sf_dir):
+    """Every first line item arrives twice; both sinks hold every record once, and the commits count them all."""
+    from pricelens.session import shared_path
+    from pricelens.streaming.scoring import listing_stream, read_routed, route_stream
+    train, _ = _split(spark, sf_dir)
+    copies = F.explode(F.when(F.col("l_linenumber") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    arriving = listing_stream(spark, sf_dir).withColumn("__copy", copies).drop("__copy")
+    out = shared_path(spark, "routed-stream")
+    route_stream(_records(arriving), ROLES, out, allowed_from_data(train, CATS), KEYS).awaitTermination()
+    valid, rejected, commits = read_routed(spark, out)
+    sides = valid.select(*KEYS, F.lit("valid").alias("side"), F.lit("").alias("errors")).unionByName(
+        rejected.select(*KEYS, F.lit("rejected").alias("side"), "errors"))
+    said = commits.agg(F.sum("n_valid").alias("valid"), F.sum("n_rejected").alias("rejected")).unpivot([], ["valid", "rejected"], "side", "said")
+    held = sides.groupBy("side").agg(F.count(F.lit(1)).alias("held"))
+    counted = lookup_join(said, held, ["side"], "left", small=True).select("side", (F.col("said") == F.col("held")).alias("counted"))
+    return lookup_join(sides, counted, ["side"], "left", small=True)

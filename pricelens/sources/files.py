@@ -91,11 +91,14 @@ def nested_encoding_map(encoding_map: DataFrame, entries: int = 10_000) -> DataF
 
     A feature has one object per about ``entries`` categories (dealt by hash), so none
     is built from an unbounded group and no width is refused; a reader merges the parts.
-    The null category has the key ``__null__``; the prior is an object of its own, kind
+    The null category has the key ``__null__``; a category of that very text, after any backslashes, gets one
+    backslash more in front, so that no two share a key. The prior is an object of its own, kind
     ``global_mean``, with the label's name as key.
     """
-    key = F.when(F.col("kind") == "global_mean", F.col("feature")).otherwise(
-        F.coalesce(F.col("category"), F.lit(NULL_CATEGORY)))
+    category = F.col("category")
+    literal = F.ltrim(category, F.lit("\\")) == F.lit(NULL_CATEGORY)
+    key = F.when(F.col("kind") == "global_mean", F.col("feature")).when(category.isNull(), F.lit(NULL_CATEGORY)).when(
+        literal, F.concat(F.lit("\\"), category)).otherwise(category)
     keyed = encoding_map.select("kind", "feature", key.alias("__key"), "value")
     parts = keyed.groupBy("kind", "feature").agg(  # one row per feature
         F.ceil(F.count(F.lit(1)) / F.lit(entries)).cast("int").alias("__parts"))

@@ -1,0 +1,188 @@
+"""Out-of-fold encoding, mergeable distinct counts, frequent items, densities in the JVM, a stream with two sinks."""
+
+import os
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pricelens.config import ColumnRoles
+from pricelens.operators import distribution as dist
+from pricelens.operators import profile, quality
+from pricelens.operators.encode import out_of_fold_encode
+from pricelens.operators.validate import allowed_from_lists
+
+HOT = [(i, "hot" if i % 3 == 0 else f"c{i % 17}" if i % 11 else None, float(i % 13) if i % 19 else None, i % 5 if i % 7 else None)
+       for i in range(2000)]
+
+
+def plain_oof(rows, s):
+    """Straight from the definition: for each row the labels of all rows of other folds."""
+    out = {}
+    known = [(c, y, f) for _, c, y, f in rows if f is not None and y is not None]
+    for i, cat, _, fold in rows:
+        rest = [(c, y) for c, y, f in known if f != fold]
+        g = sum(y for _, y in rest) / len(rest) if rest else None
+        mine = [y for c, y in rest if c == cat and cat is not None]
+        out[i] = (sum(mine) + s * g) / (len(mine) + s) if mine else g
+    return out
+
+
+@pytest.mark.parametrize("bound", [64 << 20, 0])
+def test_out_of_fold_is_the_definition(spark, bound):
+    rows = HOT[:300] + [(5000, "only one fold", 9.0, 3), (5001, "only test", None, None), (5002, "c1", 4.0, None)]
+    df = spark.createDataFrame(rows, "id long, cat string, y double, fold int")
+    out = out_of_fold_encode(df, ["cat"], "y", "fold", smoothing=5.0, max_broadcast_bytes=bound)
+    assert out.columns == ["id", "cat", "y", "fold", "cat_te"]
+    got, want = {r.id: r.cat_te for r in out.collect()}, plain_oof(rows, 5.0)
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i] == pytest.approx(want[i], rel=1e-12)
+
+
+def test_out_of_fold_does_not_leak(spark):
+    """A category of one row says nothing of its label; one fold alone has no other to learn from."""
+    df = spark.range(400).select("id", F.col("id").cast("string").alias("cat"), F.rand(1).alias("y"), (F.col("id") % 4).alias("fold"))
+    df = df.persist()
+    out = out_of_fold_encode(df, ["cat"], "y", "fold", smoothing=0.0)
+    assert out.select("fold", F.round("cat_te", 12)).distinct().count() == 4  # the prior of each fold
+    single = out_of_fold_encode(df.withColumn("fold", F.lit(1)), ["cat"], "y", "fold")
+    assert single.where("cat_te is not null").count() == 0
+    assert out_of_fold_encode(df.where("false"), ["cat"], "y", "fold").collect() == []
+
+
+def test_distinct_sketches_merge_like_one_pass(spark):
+    n = 40_000
+    df = spark.range(n).select((F.col("id") * 7919 % 30011).alias("many"), (F.col("id") % 6).alias("few"),
+                               F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("some"), (F.col("id") % 9).alias("day"))
+    cols = ["many", "few", "some"]
+    one = {r.column: r.n_unique_approx for r in quality.distinct_estimates(quality.distinct_sketches(df, cols)).collect()}
+    by_day = quality.distinct_sketches(df.repartition(5), cols, by=["day"])
+    weeks = quality.merge_sketches(by_day.withColumn("week", F.col("day") % 2), by=["week"])
+    for sketches in (by_day, weeks, quality.distinct_sketches(df.repartition(1), cols)):
+        assert {r.column: r.n_unique_approx for r in quality.distinct_estimates(sketches).collect()} == one
+    exact = {"many": 30011, "few": 6, "some": 26667}  # null is a value
+    assert all(abs(one[c] - exact[c]) <= 0.05 * exact[c] for c in cols) and one["few"] == 6
+    days = {(r.day, r.column): r.n_unique_approx for r in quality.distinct_estimates(by_day, by=["day"]).collect()}
+    assert len(days) == 27 and abs(days[0, "few"] - 2) <= 0
+    empty = quality.distinct_estimates(quality.distinct_sketches(df.where("false"), cols)).collect()
+    assert {r.n_unique_approx for r in empty} == {0}
+
+
+@pytest.mark.parametrize("tracked", [None, 64])
+def test_frequent_items(spark, tracked):
+    rng = np.random.default_rng(5)
+    values = [None if v % 23 == 0 else f"v{v}" for v in (rng.zipf(1.2, 30_000) % 100_000)]
+    rows = [(v, i % 4) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "a string, b int").repartition(6)
+    want = {("a", k): n for k, n in Counter(values).items() if n * 50 >= len(rows)}
+    want |= {("b", str(k)): len(rows) // 4 for k in range(4)}
+    out = profile.frequent_counts(df, ["a", "b"], 50, tracked=tracked).collect()
+    assert {(r.feature, r.category): r["count"] for r in out} == want
+    assert all(r.lower <= r["count"] <= r.upper for r in out)
+    parts = profile.frequent_sketches(df.withColumn("day", F.col("b") % 3), ["a"], 50, by=["day"], tracked=tracked)
+    bounds = {r.category: (r.lower, r.upper) for r in profile.frequent_items(parts, 50, tracked).collect()}
+    exact = Counter(values)
+    assert all(lo <= exact[v] <= up for v, (lo, up) in bounds.items())
+    assert {k for f, k in want if f == "a"} <= set(bounds)
+    assert profile.frequent_counts(df.where("false"), ["a"], 50).collect() == []
+
+
+def plain_density(x, grid, cut):
+    bw = np.std(x, ddof=1) * len(x) ** -0.2
+    at = np.linspace(x.min() - cut * bw, x.max() + cut * bw, grid)
+    return at, np.exp(-0.5 * ((at[:, None] - x[None, :]) / bw) ** 2).sum(axis=1) / (len(x) * bw * np.sqrt(2 * np.pi))
+
+
+@pytest.mark.parametrize("cut, far", [(0.0, False), (2.0, False), (1.0, True)])
+def test_density_is_numpy_and_stays_in_the_jvm(spark, cut, far):
+    """Also with a value so far out that most grid points are out of every value's reach."""
+    x = np.random.default_rng(8).normal(3.0, 2.0, 1500)
+    if far:
+        x = np.append(x, [1e9])
+    rows = [(float(v), "g" if i % 3 else None) for i, v in enumerate(x)] + [(None, "g"), (float("nan"), None), (5.0, "alone")]
+    df = spark.createDataFrame(rows, "v double, g string")
+    out = dist.density(df.where("g is null or g != 'alone'"), "v", grid_size=60, cut=cut, binned=False)
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    got = sorted(out.collect(), key=lambda r: r.k)
+    at, want = plain_density(x, 60, cut)
+    assert [r.k for r in got] == list(range(60)) and np.allclose([r.x for r in got], at, rtol=1e-9)
+    assert np.allclose([r.density for r in got], want, rtol=1e-9, atol=1e-9 * want.max())
+    groups = defaultdict(list)
+    for r in dist.density(df, "v", by=["g"], grid_size=40, cut=cut, binned=False).collect():
+        groups[r.g].append((r.k, r.density))
+    assert groups.keys() == {"g", None}  # one value has no spread
+    for name, dens in groups.items():
+        _, want = plain_density(np.array([v for v, g in rows if g == name and v is not None and v == v]), 40, cut)
+        assert np.allclose([d for _, d in sorted(dens)], want, rtol=1e-9, atol=1e-9 * want.max())
+
+
+def test_density_of_nothing(spark):
+    df = spark.createDataFrame([(1.0, "a"), (1.0, "a")], "v double, g string")
+    assert dist.density(df, "v").collect() == [] and dist.density(df.where("false"), "v", by=["g"]).collect() == []
+
+
+def test_nested_map_keeps_a_category_named_like_null(spark, scratch):
+    from pricelens.sources.files import read_nested_encoding_map, write_encoding_map
+    rows = [("target", "f", None, 1.0), ("target", "f", "__null__", 2.0), ("target", "f", "\\__null__", 3.0), ("target", "f", "x\\", 4.0)]
+    path = f"{scratch}/null-named"
+    write_encoding_map(spark.createDataFrame(rows, "kind string, feature string, category string, value double"), path, nested=True)
+    back = {r.key: r.value for r in read_nested_encoding_map(spark, path).collect()}
+    assert back == {"__null__": 1.0, "\\__null__": 2.0, "\\\\__null__": 3.0, "x\\": 4.0}
+
+
+ROLES = ColumnRoles(target=["make"], ordinal=[], onehot=[], numeric=["year"], label="price", keys=("id",))
+SCHEMA = "id long, make string, year string, price double"
+
+
+def routed(spark, src, out):
+    from pricelens.streaming.scoring import read_routed, route_stream
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(src)
+    route_stream(stream, ROLES, out, allowed_from_lists(spark, {"make": ["a", "b"]}), ["id"]).awaitTermination()
+    valid, rejected, commits = read_routed(spark, out)
+    said = commits.agg(F.sum("n_valid"), F.sum("n_rejected")).first()
+    ok, bad = valid.select("id").collect(), {(r.id, r.errors) for r in rejected.collect()}
+    assert (len(ok), rejected.count()) == tuple(said)
+    return sorted(r.id for r in ok if r.id is not None), bad, len(ok)
+
+
+def test_stream_with_two_sinks_restart_and_replay(spark, scratch):
+    """Repeats in a batch and across batches are dropped; a restart adds nothing; a batch whose commit was lost, or that
+    stopped between the sinks, is run again and stands once."""
+    src, out = os.path.join(scratch, "route-src"), os.path.join(scratch, "route-out")
+    os.makedirs(src)
+
+    def put(name, rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").json(src)
+
+    put("one", [(1, "a", "2000", 1.0), (1, "a", "2000", 1.0), (2, "z", "2000", 1.0), (3, "b", "old", 1.0)])
+    assert routed(spark, src, out) == ([1], {(2, "make:not_allowed"), (3, "year:not_integer")}, 1)
+    put("two", [(1, "a", "2000", 1.0), (4, "b", "1999", None), (2, "z", "2000", 1.0), (None, "a", "2001", 1.0), (None, "b", "2001", 1.0)])
+    second = routed(spark, src, out)
+    assert second == ([1, 4], {(2, "make:not_allowed"), (3, "year:not_integer")}, 4)
+    assert routed(spark, src, out) == second
+    # The stream's own note of its last batch is lost: the batch runs again on the same files.
+    notes = os.path.join(out, "_checkpoint", "commits")
+    last = max(int(n) for n in os.listdir(notes) if n.isdigit())
+    os.remove(os.path.join(notes, str(last)))
+    for name in (f".{last}.crc",):
+        if os.path.exists(os.path.join(notes, name)):
+            os.remove(os.path.join(notes, name))
+    assert routed(spark, src, out) == second
+
+
+def test_uncommitted_epoch_is_not_read(spark, scratch, monkeypatch):
+    from pricelens.streaming import scoring
+    out = os.path.join(scratch, "half-out")
+    allowed = allowed_from_lists(spark, {"make": ["a"]})
+    first = spark.createDataFrame([(1, "a", "2000", 1.0), (2, "q", "2000", 1.0)], SCHEMA)
+    scoring.route_batch(first, 0, ROLES, out, allowed)
+    spark.createDataFrame([(9, "a", "2000", 1.0)], SCHEMA).write.parquet(f"{out}/valid/epoch=1")  # stopped before its commit
+    valid, rejected, commits = scoring.read_routed(spark, out)
+    assert [r.id for r in valid.collect()] == [1] and [r.id for r in rejected.collect()] == [2] and commits.count() == 1
+    for _ in range(2):  # run again, twice
+        scoring.route_batch(spark.createDataFrame([(9, "a", "2000", 1.0), (8, "a", None, 1.0)], SCHEMA), 1, ROLES, out, allowed)
+    valid, rejected, commits = scoring.read_routed(spark, out)
+    assert sorted(r.id for r in valid.collect()) == [1, 9] and sorted(r.id for r in rejected.collect()) == [2, 8] and commits.count() == 2
