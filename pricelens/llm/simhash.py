@@ -6,12 +6,14 @@ differing bits, and documents that links connect form a component named by its s
 
 Search: equal fingerprints are one node. The 64 bits are cut into ``blocks`` blocks; two fingerprints within
 ``bits`` bits agree in at least ``blocks - bits`` whole blocks, so each fingerprint goes to one shard for
-every choice of that many blocks, and linked fingerprints share a shard. In its task a shard's BK-tree
-is built (children keyed by their Hamming distance to the parent) and every fingerprint of the shard is
-searched in it, following only edges within the radius. The trees are not broadcast: they grow with the
-corpus, so each is built where its shard lies. A shard of more than ``shard_rows`` fingerprints is cut into
-chunks by hash and each pair of chunks is a task's work, so no task holds more than two chunks. A shard
-hands on a spanning forest of its links, not all pairs.
+every choice of that many blocks, and linked fingerprints share a shard. The number of blocks follows from the
+number of distinct fingerprints (``choose_blocks``): the fewest, hence the fewest shards a fingerprint goes to,
+with which an evenly filled shard has at most ``TREE_ROWS``, so the work a fingerprint causes has a bound at every
+size of the corpus. In its task a shard's fingerprints are searched in its BK-tree (children keyed by
+their Hamming distance to the parent), following only edges within the radius, and then added to it. The trees
+are not broadcast: they grow with the corpus, so each is built where its shard lies. A shard of more than
+``shard_rows`` fingerprints is cut into chunks by hash and each pair of chunks is a task's work, so no task holds
+more than two chunks. A shard hands on a spanning forest of its links, not all pairs.
 
 Components: alternating large-star and small-star steps on the links, each step written to the shared
 folder, until nothing changes. Hot fingerprints meet their documents in a join AQE can split.
@@ -39,8 +41,9 @@ from pricelens.llm.common import row_hash, shuffle_partitions, written
 WORDS = 4
 BITS = 4
 SEED = 42
-BLOCKS = 6
 SHARD_ROWS = 2048
+#: Fingerprints that an evenly filled shard holds at most.
+TREE_ROWS = 64
 
 
 def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
@@ -115,8 +118,9 @@ class BKTree:
         return found
 
 
-def forest(tree_values: list[int], queries: list[int], radius: int) -> list[tuple[int, int]]:
-    """Links that connect what the tree's values and the queries within ``radius`` connect, no cycle among them."""
+def forest(tree_values: list[int], queries: list[int] | None, radius: int) -> list[tuple[int, int]]:
+    """Links that connect what the tree's values and the queries within ``radius`` connect, no cycle among them.
+    Without queries, the values among themselves: each is searched before it is added."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -126,11 +130,14 @@ def forest(tree_values: list[int], queries: list[int], radius: int) -> list[tupl
         return x
 
     tree = BKTree()
-    for v in tree_values:
+    for v in tree_values if queries is not None else ():
         tree.add(v)
     out = []
-    for q in queries:
-        for at in tree.within(q, radius):
+    for q in tree_values if queries is None else queries:
+        found = tree.within(q, radius)
+        if queries is None:
+            tree.add(q)
+        for at in found:
             v = tree.value[at]
             a, b = find(v), find(q)
             if a != b:
@@ -147,12 +154,28 @@ def block_masks(blocks: int, bits: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def links(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links ``(_a, _b)`` between distinct fingerprints (column ``_print``) that connect all that are within
-    ``bits`` bits of each other."""
+def choose_blocks(n: int, bits: int = BITS, tree_rows: int = TREE_ROWS) -> int:
+    """The least number of blocks with which ``n`` fingerprints spread evenly over the values of the agreeing
+    blocks make shards of ``tree_rows`` at most. Four agreeing blocks (32 bits of 64 at 4 differing ones) are the
+    most: 70 shards a fingerprint; beyond 2.7e11 fingerprints shards grow, and are cut by ``shard_rows``."""
+    for blocks in range(bits + 1, bits + 4):
+        if n <= tree_rows << ((blocks - bits) * (64 // blocks)):
+            return blocks
+    return bits + 4
+
+
+def shards_of(prints: DataFrame, bits: int, blocks: int) -> DataFrame:
+    """``(_print, _kind, _key)``: the shards of every fingerprint, one for each choice of agreeing blocks."""
     masks = F.array(*[F.lit(m).cast("long") for m in block_masks(blocks, bits)])
-    shards = prints.select("_print", F.posexplode(masks).alias("_kind", "_mask")).select(
+    return prints.select("_print", F.posexplode(masks).alias("_kind", "_mask")).select(
         "_print", "_kind", F.col("_print").bitwiseAND(F.col("_mask")).alias("_key"))
+
+
+def links(prints: DataFrame, bits: int = BITS, blocks: int | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Links ``(_a, _b)`` between distinct fingerprints (column ``_print``) that connect all that are within
+    ``bits`` bits of each other. ``blocks``: see ``choose_blocks``, which counts the fingerprints (a written table)."""
+    blocks = blocks or choose_blocks(prints.count(), bits)
+    shards = shards_of(prints, bits, blocks)
     sizes = shards.groupBy("_kind", "_key").agg(F.count("*").alias("_n")).where("_n > 1")
     sizes = written(sizes.withColumn("_chunks", F.ceil(F.col("_n") / shard_rows).cast("int")), "simhash-shards")
     mine = F.when(F.col("_chunks") > 1, F.pmod(F.xxhash64("_print"), F.col("_chunks"))).otherwise(0).cast("int")
@@ -187,7 +210,7 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS, shard_rows:
                 if (values[a] ^ values[a + 1]).bit_count() <= bits:
                     found.append((values[a], values[a + 1]))
             elif low[a] == high[a]:
-                found += forest(values[a:b], values[a:b], bits)
+                found += forest(values[a:b], None, bits)
             else:
                 cut = a + int(np.searchsorted(chunk[a:b], high[a]))
                 found += forest(values[a:cut], values[cut:b], bits)
@@ -242,7 +265,7 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     return edges.select(F.col("_a").alias("_node"), F.col("_b").alias("_root")).unionByName(roots)
 
 
-def grouped(docs: DataFrame, words: int, bits: int, blocks: int, id_col: str, text_col: str) -> DataFrame:
+def grouped(docs: DataFrame, words: int, bits: int, blocks: int | None, id_col: str, text_col: str) -> DataFrame:
     """``_id, _hash, _print, _root`` of every row, ``_root`` the least fingerprint connected with its own."""
     prints = written(fingerprints(docs, words, id_col, text_col), "simhash-prints")
     nodes = written(prints.select("_print").distinct(), "simhash-nodes")
@@ -251,7 +274,7 @@ def grouped(docs: DataFrame, words: int, bits: int, blocks: int, id_col: str, te
     return rooted.select("_id", "_hash", "_print", F.coalesce("_root", "_print").alias("_root"))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, blocks: int = BLOCKS,
+def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, blocks: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, fingerprint`` (16 hex digits), ``component_id``."""
     rows = written(grouped(docs, words, bits, blocks, id_col, text_col), "simhash-rows")
@@ -260,7 +283,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, block
         F.col("_id").alias("doc_id"), F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, words: int = WORDS, bits: int = BITS, blocks: int = BLOCKS,
+def one_of_each_group(docs: DataFrame, words: int = WORDS, bits: int = BITS, blocks: int | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near-duplicates: of each component the row of the least id stays (of rows that
     repeat that id one, whichever has the least hash of its text, then of all columns). A null id comes after

@@ -4,6 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from pricelens.llm import simhash as s
+from pricelens.llm.common import prepare
 
 
 def naive(text):
@@ -69,7 +70,7 @@ def planted(n, seed):
 def test_links_and_components_of_planted_chains(spark):
     values = planted(150, 1)
     prints = spark.createDataFrame([(signed(v),) for v in values], "_print long")
-    for blocks, shard_rows in ((6, 2048), (5, 3)):
+    for blocks, shard_rows in ((None, 2048), (None, 4), (6, 2048), (5, 3), (7, 2048), (8, 2048)):
         found = s.components(s.links(prints, 4, blocks, shard_rows)).collect()
         got = {v: v for v in map(signed, values)} | {r._node: r._root for r in found}
         want = groups(values, 4)
@@ -123,3 +124,47 @@ def test_one_of_each_group_with_a_map_column(messy):
     docs = messy.withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
     want = sorted((str(r.doc_id), r.text or "") for r in s.one_of_each_group(messy).collect())
     assert sorted((str(r.doc_id), r.text or "") for r in s.one_of_each_group(docs).collect()) == want
+
+
+def test_blocks_follow_from_the_count():
+    """Shards keep a bound while the fingerprints grow; fewer shards a fingerprint where fewer will do."""
+    assert [s.choose_blocks(n) for n in (0, 1000, 64 << 12, (64 << 12) + 1, 64 << 20, (64 << 20) + 1, 64 << 27, (64 << 27) + 1)] == [
+        5, 5, 5, 6, 6, 7, 7, 8]
+    assert s.choose_blocks(10**9, bits=0) >= 1 and len(s.block_masks(s.choose_blocks(10**6, 2), 2)) <= 15
+    for bits in (0, 1, 3, 4, 7):
+        for blocks in range(bits + 1, bits + 5):
+            masks = s.block_masks(blocks, bits)
+            assert all(bin(m & (1 << 64) - 1).count("1") >= (blocks - bits) * (64 // blocks) for m in masks)
+
+
+def test_trees_of_the_given_documents_are_searched(spark):
+    """At sf0.1 most shards have trees of more than two nodes, and a search meets the right ones without seeing all."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    prepare(spark)
+    nodes = s.written(s.fingerprints(docs.repartition(8)).select("_print").distinct(), "test-nodes")
+    blocks = s.choose_blocks(nodes.count())
+    shards = s.shards_of(nodes, 4, blocks).groupBy("_kind", "_key").agg(F.collect_list("_print").alias("p")).where("size(p) > 2")
+    trees = [[v & (1 << 64) - 1 for v in r.p] for r in shards.collect()]
+    seen = nodes_of_trees = linked = 0
+
+    class Counted(s.BKTree):
+        def within(self, value, radius):
+            nonlocal seen
+            stack = [0]
+            while stack:
+                at = stack.pop()
+                seen += 1
+                away = (self.value[at] ^ value).bit_count()
+                stack += [c for step, c in self.children[at].items() if away - radius <= step <= away + radius]
+            return super().within(value, radius)
+
+    for values in trees:
+        tree = Counted()
+        for v in values:
+            tree.add(v)
+        for q in values:
+            found = {tree.value[i] for i in tree.within(q, 4)}
+            assert found == {v for v in values if (v ^ q).bit_count() <= 4}
+            linked += len(found) - 1
+            nodes_of_trees += len(values)
+    assert len(trees) > 1000 and linked > 0 and seen < 0.9 * nodes_of_trees
