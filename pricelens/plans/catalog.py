@@ -93,6 +93,42 @@ def q_csv_rejects(spark, sf_dir):
     return both.groupBy("rejected", "n_fields").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+_NUMBERS = ["model_year", "mileage", "engine_capacity", "price"]
+
+
+@query("csv_roundtrip", f"""WITH {DIRTY} SELECT row_id, {", ".join(CATS)},
+       {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMBERS)} FROM dirty""")
+def q_csv_roundtrip(spark, sf_dir):
+    """The encoded-table sink as CSV, with an index column, read back without it: every row, null and number is there."""
+    from pricelens.session import shared_path
+    from pricelens.sources.files import read_listings_csv, write_table
+    cols = ["row_id", *CATS, *_NUMBERS]
+    rows = dirty_listings(spark, sf_dir).select(F.monotonically_increasing_id().alias("_c0"), *cols)
+    folder = shared_path(spark, "listing-csv")
+    write_table(rows, folder, fmt="csv")
+    return read_listings_csv(spark, folder, ROLES, ignore=["_c0"]).select(*cols)
+
+
+@query("text_lines", f"""WITH {LISTINGS}
+SELECT model AS line, CAST(count(*) AS BIGINT) AS n FROM listings GROUP BY model""")
+def q_text_lines(spark, sf_dir):
+    """The text-lines sink, read back as text."""
+    from pricelens.session import shared_path
+    from pricelens.sources.files import write_lines
+    folder = shared_path(spark, "lines")
+    write_lines(listings(spark, sf_dir), "model", folder)
+    return spark.read.text(folder).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("float32_cols", f"""WITH {LISTINGS} SELECT {KEYS_SQL},
+       {", ".join(f"CAST(CAST({c} AS REAL) AS DOUBLE) AS {c}" for c in _NUMBERS)} FROM listings""")
+def q_float32(spark, sf_dir):
+    """What is left of the numbers at the precision of a 32-bit model input."""
+    from pricelens.functions.columns import as_float32
+    out = as_float32(listings(spark, sf_dir), _NUMBERS)
+    return out.select(*KEYS, *[F.col(c).cast("double").alias(c) for c in _NUMBERS])
+
+
 @query("row_counts", f"""WITH {DIRTY}
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        CAST((SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (row_id) FROM dirty)) AS BIGINT) AS n_after_dedup
@@ -953,6 +989,26 @@ def q_rf_predict(spark, sf_dir):
                       F.col("prediction").between(lo, hi).alias("in_range"))
 
 
+@query("model_roundtrip", f"""WITH {SPLIT},
+width AS (SELECT {len(ROLES.target)} + {len(ROLES.ordinal)} + {len(ROLES.numeric)}
+                 + {" + ".join(f"count(DISTINCT {c}) + 1" for c in ROLES.onehot)} AS w FROM train)
+SELECT {KEYS_SQL}, CAST((SELECT w FROM width) AS BIGINT) AS n_features, true AS same FROM test""")
+def q_model_roundtrip(spark, sf_dir):
+    """The model saved, loaded and asked again: it predicts every test row as before, from as many features."""
+    from pricelens.operators.train import load_model, num_features, save_model
+    from pricelens.session import shared_path
+    model, test = _fitted(spark, sf_dir)
+    folder = shared_path(spark, "saved-model")
+    save_model(model, folder)
+    again = load_model(folder)
+    before = model.transform(materialize(test.drop("is_test"), "model-test"))
+    # Both models score the same row, side by side.
+    inner = [c for c in before.columns if c not in test.columns and c != "prediction"]
+    after = again.transform(before.drop(*inner).withColumnRenamed("prediction", "first"))
+    return after.select(*KEYS, F.lit(num_features(again)).cast("bigint").alias("n_features"),
+                        F.col("prediction").eqNullSafe(F.col("first")).alias("same"))
+
+
 @query("rf_predictions", None)
 def q_rf_predictions(spark, sf_dir):
     """The predictions themselves."""
