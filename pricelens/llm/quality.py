@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm.common import written
+
 DIM = 1024
 PAGE_DIM = 64
 LABELLED = 4000
@@ -211,14 +213,29 @@ def sample_views(docs: DataFrame, ids: list[int], id_col: str) -> dict[int, tupl
     return out
 
 
+def least_hashed(ids: DataFrame, wanted: int) -> DataFrame:
+    """The ``wanted`` rows of least hash of ``_id`` (distinct), or all if there are fewer.
+
+    Hashes are even, so a bound on them that follows from the count leaves little more than ``wanted`` rows: the
+    sort sees these alone, not ``wanted`` of every partition. Should the bound leave too few, all are sorted.
+    """
+    ids = written(ids, "quality-ids")
+    by_hash = F.xxhash64(F.lit("sample"), "_id")
+    share = (wanted + 8 * wanted**0.5 + 50) / max(1, ids.count())
+    if share < 0.5:
+        near = ids.where(by_hash < F.lit(round(share * 2**64) - 2**63))
+        if near.count() >= wanted:
+            ids = near
+    return ids.orderBy(by_hash, "_id").limit(wanted)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
           labelled: int = LABELLED, pool: int = POOL) -> CoTrained:
-    by_hash = F.xxhash64(F.lit("sample"), "_id")
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).where(
         F.col("_id").isNotNull() & F.col("_y").isNotNull()).groupBy("_id").agg(F.avg("_y").alias("_y"))
     ids = docs.select(F.col(id_col).alias("_id")).where("_id is not null")
-    rows = known.join(ids.distinct(), "_id", "left_semi").orderBy(by_hash, "_id").limit(labelled).collect()
-    others = ids.join(known, "_id", "left_anti").distinct().orderBy(by_hash, "_id").limit(pool).collect()
+    rows = least_hashed(known.join(ids.distinct(), "_id", "left_semi"), labelled).collect()
+    others = least_hashed(ids.join(known, "_id", "left_anti").distinct(), pool).collect()
     views = sample_views(docs, [r["_id"] for r in rows] + [r["_id"] for r in others], id_col)
 
     def stacked(some: list) -> tuple[np.ndarray, np.ndarray]:

@@ -57,3 +57,10 @@ def test_sample_has_one_row_per_id_in_any_order(spark):
            for some, parts in ((rows, 1), (rows[::-1], 1), (rows, 7))]
     assert all(g.keys() == {1, 2} for g in got)
     assert all(np.array_equal(g[i][v], got[0][i][v]) for g in got for i in (1, 2) for v in (0, 1))
+
+
+@pytest.mark.parametrize(("n", "wanted"), [(0, 5), (3, 5), (5, 5), (5000, 100), (40_000, 1000), (3000, 2900)])
+def test_sample_is_the_least_hashes(spark, n, wanted):
+    ids = spark.range(0, n * 3, 3).select(F.col("id").alias("_id"))
+    want = sorted((r.h, r._id) for r in ids.select("_id", F.xxhash64(F.lit("sample"), "_id").alias("h")).collect())[:wanted]
+    assert [r._id for r in quality.least_hashed(ids.repartition(3), wanted).collect()] == [i for _, i in want]
