@@ -6,11 +6,12 @@ whatever the number of columns: no per-column loop of jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelens.functions.joins import lookup_join
+#: Parts of a group of copies in ``duplicate_rows``.
+SALTS = 32
 
 
 def _kept(df: DataFrame, ignore) -> list[str]:
@@ -44,23 +45,23 @@ def duplicate_count(df: DataFrame, ignore: list[str] | tuple = ()) -> DataFrame:
 def duplicate_rows(df: DataFrame, order_by: str, ignore: list[str] | tuple = ()) -> DataFrame:
     """Rows that repeat an earlier row (smallest ``order_by`` is the original).
 
-    The table is written once with a 64-bit digest of the compared columns. Digests are
-    counted first; rows whose digest is unique are unique and never move. The others
-    are compared in full: their duplicate groups (with their first ``order_by``) come from
-    an aggregate, then a null-safe lookup join on all compared columns tags every row.
-    Both joins check the size of their lookup side and salt hot keys.
+    Two windows over the compared columns. The first has a salt from ``order_by``, so that a group of copies of any
+    size is shared by ``SALTS`` partitions, and finds the smallest value of each part; the second sees one
+    row or a tie of rows of each part and finds the smallest of all. Rows above either are repeats. Where the
+    source is already partitioned by some of the compared columns (a join's key), as in a join's output, Spark keeps
+    its partitions and moves no row again.
     """
-    from pricelens.session import materialize
     cols = _kept(df, list(ignore) + [order_by])
-    digest = F.xxhash64(*[F.col(f"`{c}`") for c in cols], *[F.col(f"`{c}`").isNull() for c in cols])
-    rows = materialize(df.withColumn("__digest", digest), "digests")
-    repeated = rows.groupBy("__digest").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__digest")
-    near = materialize(lookup_join(rows, repeated, ["__digest"], "left_semi").drop("__digest"), "duplicate-candidates")
-    groups = (near.groupBy(*cols)
-                  .agg(F.min(order_by).alias("__first"), F.count(F.lit(1)).alias("__n"))
-                  .where(F.col("__n") > 1).drop("__n"))
-    tagged = lookup_join(near, groups, cols, "inner", null_safe=True)
-    return tagged.where(F.col(order_by) != F.col("__first")).drop("__first")
+    value = F.col(f"`{order_by}`")
+    same = [F.col(f"`{c}`") for c in cols]
+    rows = df.withColumn("__salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
+    rows = rows.withColumn("__least", F.min(value).over(Window.partitionBy(*same, "__salt")))
+    # A part's least value goes on to the second window; the others are repeats and stay out of its groups.
+    rest = F.when(value != F.col("__least"), F.col("__salt") + 1).otherwise(F.lit(0))
+    rows = rows.withColumn("__rest", rest)
+    rows = rows.withColumn("__first", F.min(value).over(Window.partitionBy(*same, "__rest")))
+    repeat = (F.col("__rest") > 0) | (value != F.col("__first"))
+    return rows.where(repeat & value.isNotNull()).drop("__salt", "__least", "__rest", "__first")
 
 
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
