@@ -43,3 +43,15 @@ def test_repeats_of_one_hot_row_ties_and_nulls(spark):
     df = spark.createDataFrame(rows, "row_id long, a long, b string").repartition(3)
     got = quality.duplicate_rows(df, "row_id").collect()
     assert sorted(r.row_id for r in got) == [*range(1, 200), 301]
+
+
+def test_random_split_sorts_bounded_parts(spark, monkeypatch):
+    from pricelens.operators import split
+    monkeypatch.setattr(split, "SPLIT_ROWS", 100, raising=False)
+    df = spark.range(1000).select((F.col("id") % 10 == 0).alias("hot"), (F.col("id") % 4).alias("x")).coalesce(1)
+    train, test = split.random_split(df, (0.8, 0.2), 40)
+    per_part = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_part) == 10 and max(per_part) < 200
+    assert 100 < test.count() < 300
+    both = Counter(tuple(r) for r in train.collect()) + Counter(tuple(r) for r in test.collect())
+    assert both == Counter(tuple(r) for r in df.collect())
