@@ -24,6 +24,27 @@ def matches(df) -> int:
     return df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
 
 
+def test_numbers_are_read_once(spark):
+    df = records(spark).withColumn("n", F.col("id").cast("int"))
+    names = ["year", "km", "price", "n"]
+    got = with_numbers(df, {f"x_{c}": c for c in names}).select(*[f"x_{c}" for c in names]).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in df.select(*[strict_number(c) for c in names]).collect()]
+    labelled = add_label(df, ROLES).where("log_price is not null")
+    assert matches(labelled) == 0 and [r.id for r in labelled.orderBy("id").collect()] == [1, 6]
+
+
+def test_rules_are_judged_once(spark):
+    df = records(spark)
+    checked = validate(df, ROLES, allowed_from_lists(spark, {"make": ["a", "b"]}))
+    assert matches(checked.select("errors")) == len(ROLES.numeric)
+    assert matches(reject_summary(checked)) == len(ROLES.numeric)
+    errors = {r.id: r.errors for r in checked.collect()}
+    assert errors == {1: "", 2: "make:not_allowed,km:not_numeric", 3: "make:missing,year:below_1950,km:not_numeric",
+                      4: "year:not_integer,km:missing", 5: "", 6: "year:missing,km:not_numeric"}
+    want = Counter(rule for e in errors.values() if e for rule in e.split(","))
+    assert {r.rule: r.n_rejected for r in reject_summary(checked).collect()} == want
+
+
 def test_repeats_in_a_join_move_no_row_again(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
