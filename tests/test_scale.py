@@ -76,3 +76,15 @@ def test_random_split_sorts_bounded_parts(spark, monkeypatch):
     assert 100 < test.count() < 300
     both = Counter(tuple(r) for r in train.collect()) + Counter(tuple(r) for r in test.collect())
     assert both == Counter(tuple(r) for r in df.collect())
+
+
+def test_forest_tasks_hold_bounded_bytes(spark, scratch):
+    from pyspark.ml.linalg import Vectors
+    from pricelens.operators.train import bounded_tasks, point_bytes
+    table = spark.createDataFrame([(Vectors.dense([float(i), 1.0]), float(i)) for i in range(500)], ["features", "y"])
+    table.coalesce(1).write.parquet(f"{scratch}/points")
+    table = spark.read.parquet(f"{scratch}/points")
+    assert bounded_tasks(table, 20).rdd.getNumPartitions() == table.rdd.getNumPartitions()
+    split = bounded_tasks(table, 20, task_bytes=50 * point_bytes(2, 20))
+    assert split.rdd.getNumPartitions() == 10 and split.count() == 500
+    assert bounded_tasks(table.where("y < 0"), 20).count() == 0
