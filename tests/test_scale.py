@@ -45,6 +45,20 @@ def test_rules_are_judged_once(spark):
     assert {r.rule: r.n_rejected for r in reject_summary(checked).collect()} == want
 
 
+def test_routed_batch_is_judged_once(spark, scratch, monkeypatch):
+    from pricelens.streaming import scoring
+    seen = []
+
+    def split(checked):
+        seen.append(checked.is_cached)
+        return checked.where("is_valid"), checked.where("not is_valid")
+    monkeypatch.setattr(scoring, "split_valid", split)
+    scoring.route_batch(records(spark), 0, ROLES, f"{scratch}/judged-once", allowed_from_lists(spark, {"make": ["a", "b"]}))
+    valid, rejected, _ = scoring.read_routed(spark, f"{scratch}/judged-once")
+    assert seen == [True]
+    assert sorted(r.id for r in valid.collect()) == [1, 5] and sorted(r.id for r in rejected.collect()) == [2, 3, 4, 6]
+
+
 def test_repeats_in_a_join_move_no_row_again(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
